@@ -1,0 +1,14 @@
+"""Input layout."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread the rows of an input with fewer files than cores; others stay as they are.
+
+    Text work is bound by CPU, and a table in one small file would run in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -1,0 +1 @@
+"""Empty on purpose: every operator covered by this package is a batch operator."""
