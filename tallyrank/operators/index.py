@@ -37,6 +37,7 @@ class QueryTerms:
     rows: DataFrame
     n_queries: int
     n_terms: int
+    pushed: list[str] | None = None
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -111,7 +112,7 @@ class CorpusIndex:
         tokenized = placed.select("doc_id", text_fn.tokens("text", tokenizer).alias("tokens"))
         postings = corpus.term_counts(tokenized, "tokens")
         if effective is not None:
-            postings = _lemmatized_postings(postings, effective, lemma_rows)
+            postings = _lemmatized_postings(postings, effective, lemma_rows, n_buckets)
         table = f"tallyrank_write_{uuid.uuid4().hex}"
         (
             postings.select("doc_id", "term", "tf", "dl")
@@ -217,45 +218,69 @@ class CorpusIndex:
 
     # -- queries ---------------------------------------------------------------------
 
-    def query_terms(self, queries: DataFrame) -> QueryTerms:
+    def query_terms(self, queries: DataFrame, pushdown: bool = False) -> QueryTerms:
         """Distinct terms of ``queries(query_id, query)`` with their count ``qtf``, joined
-        to the statistics of the corpus; unknown terms have none and are left out."""
+        to the statistics of the corpus; unknown terms have none and are left out.
+
+        ``pushdown`` is for a single short query: its terms also become a filter on the
+        scan of the postings, whose files are sorted by term.
+        """
         split = queries.select(
             "query_id", text_fn.tokens("query", self.tokenizer).alias("tokens")
         )
-        counted = corpus.term_counts(split, "tokens", tf="qtf").where("term is not null")
+        terms = corpus.term_counts(split, "tokens", tf="qtf").where("term is not null")
+        terms = terms.select("query_id", "term", "qtf")
         if self.lemmas is not None:
-            counted = (
-                lemma.lemmatize(counted, "term", self.lemmas, self.lemma_rows)
+            terms = (
+                lemma.lemmatize(terms, "term", self.lemmas, self.lemma_rows)
                 .where("term is not null")
                 .groupBy("query_id", "term")
                 .agg(F.sum("qtf").alias("qtf"))
             )
-        terms = counted.select("query_id", "term", "qtf")
-        size = split.select(F.size(F.array_distinct("tokens")).alias("n")).agg(
+        size = split.agg(
             F.count(F.lit(1)).alias("n_queries"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_terms"),
+            F.coalesce(F.sum(F.size(F.array_distinct("tokens"))), F.lit(0)).alias("n_terms"),
         ).first()
         if fits_broadcast(size["n_terms"], self.broadcast_limit):
             found = self.terms.join(F.broadcast(terms), "term")
         else:
-            found = self.terms.join(terms, "term")
+            uses = terms.groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
+            found = lookup_join(
+                terms,
+                self.terms,
+                ["term"],
+                hot=hot_keys(uses, ["term"], "uses", shuffle_partitions(self.spark)),
+                spread_by=[F.col("query_id")],
+            )
+        pushed = None
+        if pushdown:
+            pushed = [r["term"] for r in terms.select("term").collect()]
         avgdl = self.stats.select("avgdl").scalar()
-        return QueryTerms(found.withColumn("avgdl", avgdl), size["n_queries"], size["n_terms"])
+        return QueryTerms(
+            found.withColumn("avgdl", avgdl), size["n_queries"], size["n_terms"], pushed
+        )
 
     def match(self, terms: QueryTerms) -> DataFrame:
         """One row per query term and document that holds it."""
+        postings = self.postings
+        if terms.pushed is not None:
+            postings = postings.where(F.col("term").isin(terms.pushed))
         return lookup_join(
-            self.postings, terms.rows, ["term"], dim_rows=terms.n_terms, **self._term_skew()
+            postings, terms.rows, ["term"], dim_rows=terms.n_terms, **self._term_skew()
         )
 
 
-def _lemmatized_postings(postings: DataFrame, effective: DataFrame, rows: int) -> DataFrame:
+def _lemmatized_postings(
+    postings: DataFrame, effective: DataFrame, rows: int, n_buckets: int
+) -> DataFrame:
     """Replace terms by lemmas and count again. Dropped tokens no longer count as length."""
     mapped = lemma.lemmatize(postings.drop("dl"), "term", effective, rows)
+    if not fits_broadcast(rows):
+        # The join moved the rows by term; bring each document's rows together again.
+        mapped = mapped.repartition(n_buckets, "doc_id")
     counted = mapped.groupBy("doc_id", "term").agg(
         F.sum(F.when(F.col("term").isNotNull(), F.col("tf")).otherwise(0)).alias("tf")
     )
-    # A document's rows are in one task already; the window adds no shuffle of its own.
+    # All rows of a document are in one task by now: the window adds no shuffle.
     whole = counted.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc_id")))
     return whole.where(F.col("term").isNotNull() | (F.col("dl") == 0))

@@ -53,12 +53,11 @@ class Ranker(ABC):
 
     # -- whole corpus ----------------------------------------------------------------
 
-    def _queries(self, queries: DataFrame | str) -> DataFrame:
-        if isinstance(queries, str):
-            return self.index.spark.createDataFrame(
-                [(0, queries)], "query_id long, query string"
-            )
-        return queries
+    def _terms(self, queries: DataFrame | str) -> tuple[DataFrame, QueryTerms]:
+        if not isinstance(queries, str):
+            return queries, self.index.query_terms(queries)
+        table = self.index.spark.createDataFrame([(0, queries)], "query_id long, query string")
+        return table, self.index.query_terms(table, pushdown=True)
 
     def _scores(self, terms: QueryTerms) -> DataFrame:
         weight = self.term_weight(
@@ -75,7 +74,7 @@ class Ranker(ABC):
 
         Every other document scores 0.0; see ``score_all`` for those.
         """
-        return self._scores(self.index.query_terms(self._queries(queries)))
+        return self._scores(self._terms(queries)[1])
 
     def score_all(self, query: str) -> DataFrame:
         """(doc_id, score) for one query and every document of the corpus."""
@@ -100,15 +99,17 @@ class Ranker(ABC):
         0, ``positive_only`` drops scores of 0 after the cut. ``texts(doc_id, text)`` adds
         the text of the surviving rows.
         """
-        queries = self._queries(queries)
-        terms = self.index.query_terms(queries)
+        queries, terms = self._terms(queries)
         ranked = top_documents(self._scores(terms), top_n, ties)
         if pad_zero:
             ranked = top_documents(self._padded(ranked, queries, top_n, ties), top_n, ties)
         if positive_only:
             ranked = ranked.where(F.col("score") > 0)
         result = ranked.select(
-            "query_id", "rank", "doc_id", F.round("score", weights.SCORE_DIGITS).alias("score")
+            "query_id",
+            F.col("rank").cast("long").alias("rank"),
+            "doc_id",
+            F.round("score", weights.SCORE_DIGITS).alias("score"),
         )
         if texts is None:
             return result
@@ -270,7 +271,9 @@ def score_candidates(
     )
     # Both maps meet by hashing; what they share is what the query finds in the document.
     met = F.map_zip_with(
-        F.map_from_entries("_runs"), F.col("_query"), lambda _, tf, q: F.struct(tf.alias("tf"), q.alias("q"))
+        F.map_from_entries("_runs"),
+        F.col("_query"),
+        lambda _, tf, q: F.struct(tf.alias("tf"), q.alias("q")),
     )
     hits = F.filter(
         F.map_values(met), lambda hit: hit["tf"].isNotNull() & hit["q"].isNotNull()

@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 TIES = ["product_id", "line_no", "esci_label"]
 
 _indexes: dict[tuple[str, str, str], CorpusIndex] = {}
+_tables: dict[tuple[str, str], DataFrame] = {}
 _queries: dict[str, Query] = {}
 
 
@@ -63,7 +64,7 @@ def _index(spark: SparkSession, sf_dir: str, kind: str) -> CorpusIndex:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _indexes:
         if kind == "judgements":
-            train = _processed(spark, sf_dir).where("split = 'train'")
+            train = _processed_table(spark, sf_dir).where("split = 'train'")
             index = experiment.fit(train, scratch_path(spark, "judgements"))
         elif kind == "lemmas":
             forms = _index(spark, sf_dir, "normalize").terms.select(F.col("term").alias("form"))
@@ -87,7 +88,7 @@ def tokens_normalize(spark, sf_dir):
     docs = spread_small_input(_documents(spark, sf_dir))
     tokens = docs.select("doc_id", text_fn.raw_tokens("text").alias("t"))
     return tokens.select(
-        "doc_id", F.size("t").alias("n_tokens"), text_fn.join_tokens("t").alias("normalized")
+        "doc_id", F.size("t").cast("long").alias("n_tokens"), text_fn.join_tokens("t").alias("normalized")
     )
 
 
@@ -96,7 +97,7 @@ def tokens_whitespace(spark, sf_dir):
     docs = spread_small_input(_documents(spark, sf_dir))
     tokens = docs.select("doc_id", text_fn.whitespace_tokens("text").alias("t"))
     return tokens.select(
-        "doc_id", F.size("t").alias("n_tokens"), text_fn.join_tokens("t").alias("words")
+        "doc_id", F.size("t").cast("long").alias("n_tokens"), text_fn.join_tokens("t").alias("words")
     )
 
 
@@ -319,9 +320,17 @@ def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_dataset(_examples(spark, sf_dir), items, extra=["line_no", "esci_label"])
 
 
+def _processed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed data set as a written table, as the steps after the build expect it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _tables:
+        _tables[key] = materialize(_processed(spark, sf_dir), "processed")
+    return _tables[key]
+
+
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = experiment.rankers(_index(spark, sf_dir, "judgements"))
-    test = _processed(spark, sf_dir).where("split = 'test'")
+    test = _processed_table(spark, sf_dir).where("split = 'test'")
     return predict_models(models, test, order=TIES)
 
 
@@ -399,8 +408,5 @@ def ndcg_summary(spark, sf_dir):
 
 @query
 def experiment_summary(spark, sf_dir):
-    return experiment.run(
-        _processed(spark, sf_dir),
-        scratch_path(spark, "experiment"),
-        order=TIES,
-    )
+    table = _processed_table(spark, sf_dir)
+    return experiment.run(table, scratch_path(spark, "experiment"), order=TIES)

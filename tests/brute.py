@@ -1,0 +1,71 @@
+"""Plain Python versions of the formulas, for small fixtures."""
+
+from __future__ import annotations
+
+import math
+import re
+
+from tallyrank.functions.text import STOPWORDS
+
+
+def split(text: str | None) -> list[str]:
+    return [t for t in re.findall("[a-z0-9]+", (text or "").lower()) if t not in STOPWORDS]
+
+
+class Corpus:
+    def __init__(self, docs: dict[int, list[str]]):
+        self.docs = docs
+        self.n = len(docs)
+        self.avgdl = sum(map(len, docs.values())) / self.n if docs else 0.0
+        self.df: dict[str, int] = {}
+        for tokens in docs.values():
+            for term in set(tokens):
+                self.df[term] = self.df.get(term, 0) + 1
+
+    def bm25(self, query: list[str], tokens: list[str], k=1.2, b=0.75, delta=1.0) -> float:
+        total = 0.0
+        for term in query:
+            tf = tokens.count(term)
+            if tf and self.avgdl and term in self.df:
+                idf = math.log((self.n - self.df[term] + 0.5) / (self.df[term] + 0.5) + 1)
+                norm = k * (1 - b + b * len(tokens) / self.avgdl)
+                total += idf * (delta + tf * (k + 1) / (tf + norm))
+        return total
+
+    def tfidf(self, query, tokens, tf_method="normalized", idf_method="smoothed", repeats=False):
+        if not repeats:
+            query = sorted(set(query))
+        total = 0.0
+        for term in query:
+            tf = tokens.count(term)
+            if not tf or term not in self.df:
+                continue
+            weight = {
+                "normalized": tf / len(tokens),
+                "boolean": 1.0,
+                "summation": float(tf),
+                "log_scaled": math.log10(1 + tf),
+            }[tf_method]
+            if idf_method == "standard":
+                idf = math.log10(self.n / self.df[term])
+            else:
+                idf = math.log10((self.n + 1) / (self.df[term] + 1)) + 1
+            total += weight * idf
+        return total
+
+
+def top(scores: dict[int, float], n: int, ascending_ties: bool = False):
+    sign = 1 if ascending_ties else -1
+    ordered = sorted(scores.items(), key=lambda kv: (-round(kv[1], 6), sign * kv[0]))
+    return [(i + 1, doc, round(score, 4)) for i, (doc, score) in enumerate(ordered[:n])]
+
+
+def ndcg(rows: list[tuple[float, float | None]], k: int) -> float:
+    """``rows``: (predicted, relevance) in table order; later rows win ties."""
+    if any(rel is None for _, rel in rows):
+        return 0.0
+    order = sorted(range(len(rows)), key=lambda i: (-rows[i][0], -i))[:k]
+    best = sorted((rel for _, rel in rows), reverse=True)[:k]
+    dcg = sum(rows[i][1] / math.log2(r + 2) for r, i in enumerate(order))
+    idcg = sum(rel / math.log2(r + 2) for r, rel in enumerate(best))
+    return dcg / idcg if idcg > 0 else 0.0
