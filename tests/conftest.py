@@ -19,7 +19,11 @@ def spark():
         "tallyrank-tests",
         master="local[8]",
         shuffle_partitions=8,
-        conf={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        conf={
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
