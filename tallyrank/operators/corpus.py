@@ -114,10 +114,17 @@ def distinct_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame
 
 
 def first_occurrence(docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
-    """Per term the smallest (document, position) at which it occurs."""
-    placed = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(tokens).alias("pos", "term"))
-    first = placed.groupBy("term").agg(F.min(F.struct("doc_id", "pos")).alias("first"))
-    return first.select("term", "first.doc_id", "first.pos")
+    """Per term the first document that holds it, and its place among that document's terms.
+
+    Distinct tokens keep their order, so the place orders terms as their first positions do.
+    """
+    placed = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.posexplode(F.array_distinct(tokens)).alias("place", "term"),
+    )
+    return placed.groupBy("term").agg(
+        F.min_by("place", "doc_id").alias("place"), F.min("doc_id").alias("doc_id")
+    )
 
 
 def with_dense_index(df: DataFrame, order: list[str], index: str = "term_index") -> DataFrame:

@@ -13,6 +13,7 @@ Layout of an index folder:
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -27,6 +28,9 @@ from tallyrank.operators import corpus, lemma
 from tallyrank.operators.skew import fits_broadcast, hot_keys, lookup_join, shuffle_partitions
 from tallyrank.sources.scratch import scratch_path
 
+# The scores of a bucket's documents for a batch of queries share one task's memory.
+DOCS_PER_BUCKET = 200_000
+
 _INFO_SCHEMA = "tokenizer string, id_type string, n_buckets int, lemma_rows long"
 
 
@@ -49,6 +53,11 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
         raise
 
 
+def _write_info(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    info = spark.createDataFrame(rows, _INFO_SCHEMA).coalesce(1)
+    info.write.mode("overwrite").parquet(f"{path}/index_info")
+
+
 class CorpusIndex:
     """Tables of a fitted corpus. Use ``fit`` or ``load``."""
 
@@ -56,6 +65,8 @@ class CorpusIndex:
         self.spark = spark
         self.path = path.rstrip("/")
         info = _read(spark, f"{self.path}/index_info", _INFO_SCHEMA).first()
+        if info is None:
+            raise FileNotFoundError(f"the index at {self.path} was not completed; fit it first")
         self.tokenizer = info["tokenizer"]
         self.id_type = info["id_type"]
         self.n_buckets = info["n_buckets"]
@@ -90,12 +101,15 @@ class CorpusIndex:
 
         ``docs`` has one row per document and unique ids. ``path`` defaults to a new
         folder under the session's checkpoint folder. ``lemmas(form, lemma)`` is applied
-        ``passes`` times after stopword removal. Choose ``n_buckets`` so that a bucket is
-        about 1 GB; one bucket is one task when queries run.
+        ``passes`` times after stopword removal. One bucket is one task when queries run;
+        by default a bucket has at most ``DOCS_PER_BUCKET`` documents on average.
         """
         spark = docs.sparkSession
         path = (path or scratch_path(spark, "index")).rstrip("/")
-        n_buckets = n_buckets or shuffle_partitions(spark)
+        # An index that is being written over counts as missing.
+        _write_info(spark, path, [])
+        if n_buckets is None:
+            n_buckets = max(shuffle_partitions(spark), math.ceil(docs.count() / DOCS_PER_BUCKET))
         id_type = docs.schema[id_col].dataType.simpleString()
 
         effective, lemma_rows = None, None
@@ -134,9 +148,7 @@ class CorpusIndex:
             "term"
         ).write.mode("overwrite").parquet(f"{path}/terms")
         spark.sql(f"DROP TABLE {table}")
-        spark.createDataFrame(
-            [(tokenizer, id_type, n_buckets, lemma_rows)], _INFO_SCHEMA
-        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/index_info")
+        _write_info(spark, path, [(tokenizer, id_type, n_buckets, lemma_rows)])
         return cls(spark, path)
 
     @classmethod

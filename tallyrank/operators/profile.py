@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrank.operators.skew import hot_keys, lookup_join, shuffle_partitions
+from tallyrank.sources.scratch import materialize
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -47,19 +48,19 @@ def n_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
 def duplicated(df: DataFrame, keys: list[str]) -> DataFrame:
     """All rows whose ``keys`` occur more than once.
 
-    Keys are counted with partial sums and joined back, so a key with a third of all rows
-    is not gathered in one task.
+    Keys are counted with partial sums and the repeated ones written and joined back, so a
+    key with a third of all rows is not gathered in one task.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    repeated = counts.where("_rows > 1")
+    repeated = materialize(counts.where("_rows > 1"), "repeated-keys")
     tasks = shuffle_partitions(df.sparkSession)
-    others = [F.col(c) for c in df.columns]
     return lookup_join(
         df,
         repeated.select(*keys),
         keys,
-        hot=hot_keys(counts, keys, "_rows", tasks),
-        spread_by=others,
+        dim_rows=repeated.count(),
+        hot=hot_keys(repeated, keys, "_rows", tasks),
+        spread_by=[F.col(c) for c in df.columns],
     ).select(*df.columns)
 
 

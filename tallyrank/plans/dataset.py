@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyrank.functions import text as text_fn
 from tallyrank.operators import lemma
 from tallyrank.schemas import PRODUCT_TEXT_COLUMNS
+from tallyrank.sources.scratch import materialize
 
 # Relevance per label. Irrelevant scores above complement.
 RELEVANCE = {"e": 1.0, "s": 0.6, "i": 0.1, "c": 0.0}
@@ -28,11 +29,10 @@ def product_document() -> Column:
 
 
 def _cleaned(
-    df: DataFrame, text: Column, name: str, lemmas: DataFrame | None
+    df: DataFrame, text: Column, name: str, effective: DataFrame | None
 ) -> DataFrame:
-    if lemmas is None:
+    if effective is None:
         return df.withColumn(name, text_fn.clean_text(text))
-    effective = lemma.effective_map(lemmas)
     stripped = df.withColumn("_text", text_fn.strip_tags(text_fn.html_unescape(text)))
     keyed = stripped.withColumn("digest", lemma.text_digest("_text"))
     texts = keyed.select("digest", text_fn.raw_tokens("_text").alias("tokens"))
@@ -57,6 +57,8 @@ def build_dataset(
     product with a large share of the judgements is split by the adaptive skew join.
     """
     extra = extra or []
+    if lemmas is not None:
+        lemmas = materialize(lemma.effective_map(lemmas), "lemmas")
     judged = examples.where((F.col("small_version") == 1) & (F.col("product_locale") == locale))
     judged = judged.select(
         "query_id",

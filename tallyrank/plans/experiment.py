@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tallyrank import schemas
-from tallyrank.operators.corpus import distinct_documents
 from tallyrank.operators.evaluate import evaluate, predict_models
 from tallyrank.operators.index import CorpusIndex
 from tallyrank.operators.rankers import BM25Ranker, Ranker, TfidfRanker
@@ -28,14 +27,15 @@ def fit(
     They differ in their weights only, so they share one index. An index that exists is
     reused unless ``overwrite`` is set.
     """
-    corpus = distinct_documents(train, "product_id", "clean_product_document")
+    if not overwrite and CorpusIndex.exists(train.sparkSession, model_dir):
+        return CorpusIndex.load(train.sparkSession, model_dir)
+    texts = train.select("clean_product_document").where("clean_product_document <> ''")
     # One product can stand for several texts, so a document is known by its text.
-    corpus = corpus.selectExpr(
+    corpus = texts.distinct().selectExpr(
         "sha2(clean_product_document, 256) AS doc_id", "clean_product_document AS text"
     )
-    return CorpusIndex.fit_or_load(
-        corpus, model_dir, overwrite=overwrite, lemmas=lemmas, n_buckets=n_buckets
-    )
+    corpus = materialize(corpus, "training-corpus")
+    return CorpusIndex.fit(corpus, model_dir, lemmas=lemmas, n_buckets=n_buckets)
 
 
 def rankers(index: CorpusIndex) -> dict[str, Ranker]:

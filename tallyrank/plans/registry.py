@@ -174,7 +174,7 @@ def vocabulary_sorted(spark, sf_dir):
 def vocabulary_first_seen(spark, sf_dir):
     docs = spread_small_input(_documents(spark, sf_dir))
     first = corpus.first_occurrence(docs, text_fn.whitespace_tokens("text"))
-    return corpus.with_dense_index(first, ["doc_id", "pos"]).select("term", "term_index")
+    return corpus.with_dense_index(first, ["doc_id", "place"]).select("term", "term_index")
 
 
 @query
