@@ -29,7 +29,7 @@ from tallyrank.operators.skew import fits_broadcast, hot_keys, lookup_join, shuf
 from tallyrank.sources.scratch import scratch_path
 
 # The scores of a bucket's documents for a batch of queries share one task's memory.
-DOCS_PER_BUCKET = 200_000
+DOCS_PER_BUCKET = 50_000
 
 _INFO_SCHEMA = "tokenizer string, id_type string, n_buckets int, lemma_rows long"
 
