@@ -12,7 +12,6 @@ Layout of an index folder:
 
 from __future__ import annotations
 
-import hashlib
 import math
 import uuid
 from dataclasses import dataclass
@@ -79,7 +78,7 @@ class CorpusIndex:
         self.lemmas = None
         if self.lemma_rows is not None:
             self.lemmas = _read(spark, f"{self.path}/lemma_map", schemas.LEMMA_MAP)
-        self._postings = self._register_postings()
+        self._postings = self._open_postings()
         self.broadcast_limit: int | None = None
 
     # -- fitting ---------------------------------------------------------------------
@@ -127,7 +126,7 @@ class CorpusIndex:
         postings = corpus.term_counts(tokenized, "tokens")
         if effective is not None:
             postings = _lemmatized_postings(postings, effective, lemma_rows, n_buckets)
-        table = f"tallyrank_write_{uuid.uuid4().hex}"
+        table = f"tallyrank_{uuid.uuid4().hex}"
         (
             postings.select("doc_id", "term", "tf", "dl")
             .write.mode("overwrite")
@@ -172,19 +171,23 @@ class CorpusIndex:
             return cls.load(spark, path)
         return cls.fit(docs, path, **options)
 
-    def _register_postings(self) -> DataFrame:
-        """Name the bucketed files in the session catalog, so that Spark knows the buckets."""
+    def _open_postings(self) -> DataFrame:
+        """A scan of the postings that knows their buckets.
+
+        Bucketing is a property of catalog tables, so the files get a table name just long
+        enough to resolve the scan.
+        """
         _read(self.spark, f"{self.path}/postings", "term string")
-        key = hashlib.sha1(self.path.encode()).hexdigest()[:20]
-        table = f"tallyrank_postings_{key}"
+        table = f"tallyrank_{uuid.uuid4().hex}"
         location = self.path.replace("'", "\\'")
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self.spark.sql(
             f"CREATE TABLE {table} (doc_id {self.id_type}, term string, tf bigint, dl bigint)"
             f" USING parquet CLUSTERED BY (doc_id) SORTED BY (term) INTO {self.n_buckets}"
             f" BUCKETS LOCATION '{location}/postings'"
         )
-        return self.spark.table(table)
+        postings = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")
+        return postings
 
     # -- tables ----------------------------------------------------------------------
 

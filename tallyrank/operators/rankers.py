@@ -244,6 +244,8 @@ def score_candidates(
     a candidate without a matching term keeps its row and scores 0.0.
     """
     index = next(iter(rankers.values())).index
+    if any(ranker.index is not index for ranker in rankers.values()):
+        raise ValueError("rankers that score together must share one index")
     terms = index.query_terms(queries)
     texts = candidates.withColumn("_tokens", text_fn.tokens(text_col, index.tokenizer))
     if index.lemmas is None:
@@ -256,17 +258,18 @@ def score_candidates(
             "_tokens", F.filter("_tokens", lambda t: ~F.array_contains("_dropped", t))
         )
     statistics = F.struct("term", "qtf", "idf_standard", "idf_smoothed", "idf_bm25", "avgdl")
+    # One row per form of a query term: that many entries reach every task in a broadcast.
+    n_entries = terms.n_terms if index.lemmas is None else entries.count()
     # One map per query, as long as the query's own text has distinct terms.
     profiles = entries.groupBy("query_id").agg(
         F.map_from_entries(F.collect_list(F.struct("form", statistics.alias("q")))).alias("_query")
     )
-    # All maps together hold at most n_terms entries, which bounds a broadcast.
     joined = lookup_join(
         corpus.token_runs(texts, "_tokens", "_runs").withColumnRenamed("dl", "_dl"),
         profiles,
         ["query_id"],
         "left",
-        dim_rows=terms.n_terms if index.lemmas is None else None,
+        dim_rows=n_entries,
         limit=index.broadcast_limit,
     )
     # Both maps meet by hashing; what they share is what the query finds in the document.
