@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyrank.operators import skew
+from tallyrank.operators.index import CorpusIndex
+from tallyrank.operators.rankers import BM25Ranker
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    """A third of the rows share one key, and some have none."""
+    key = (
+        F.when(F.col("id") % 3 == 0, F.lit(-1))
+        .when(F.col("id") % 101 == 0, F.lit(None))
+        .otherwise(F.col("id") % 5000)
+    )
+    return spark.range(30000).select(key.alias("k"), F.col("id").alias("v"))
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return spark.range(-1, 4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+
+
+def _counts(fact):
+    return fact.where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
+def test_hot_keys_are_few_and_weighted(fact):
+    hot = {r["k"]: r["_salts"] for r in skew.hot_keys(_counts(fact), ["k"], "n", 60).collect()}
+    assert set(hot) == {-1}
+    assert 20 <= hot[-1] <= 22  # a third of the rows, a third of the tasks
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_equals_plain_join(fact, dim, how):
+    hot = skew.hot_keys(_counts(fact), ["k"], "n", 60)
+    salted = skew.lookup_join(
+        fact, dim, ["k"], how, hot=hot, spread_by=[F.col("v")], dim_rows=4001, limit=0
+    )
+    plain = fact.join(dim, ["k"], how)
+    assert sorted(salted.columns) == sorted(plain.columns)
+    assert salted.select("k", "v", "w").exceptAll(plain.select("k", "v", "w")).count() == 0
+    assert salted.count() == plain.count()
+
+
+def test_salts_spread_the_hot_key(fact, spark):
+    hot = skew.hot_keys(_counts(fact), ["k"], "n", 60)
+    salted = (
+        fact.where("k = -1")
+        .join(F.broadcast(hot), ["k"])
+        .groupBy(F.pmod(F.xxhash64("v"), F.col("_salts")).alias("salt"))
+        .count()
+    )
+    sizes = [r["count"] for r in salted.collect()]
+    assert len(sizes) >= 20
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_broadcast_needs_a_known_and_small_size(fact, dim):
+    small = skew.lookup_join(fact, dim, ["k"], dim_rows=4001)
+    unknown = skew.lookup_join(fact, dim, ["k"], dim_rows=None)
+    large = skew.lookup_join(fact, dim, ["k"], dim_rows=skew.BROADCAST_ROWS + 1)
+    hint = "ResolvedHint (strategy=broadcast)"
+    plans = [d._jdf.queryExecution().analyzed().toString() for d in (small, unknown, large)]
+    assert [hint in p for p in plans] == [True, False, False]
+
+
+def test_corpus_with_one_word_in_most_postings(spark):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.lit("hot"))
+        .otherwise(F.concat_ws(" ", F.lit("hot"), F.concat(F.lit("w"), F.col("id"))))
+        .alias("text"),
+    )
+    queries = spark.createDataFrame([(0, "hot w1"), (1, "w7 w9 hot hot")], "query_id long, query string")
+    index = CorpusIndex.fit(docs)
+    small = BM25Ranker(index).rank(queries, 10).collect()
+    index.broadcast_limit = 0
+    assert sorted(BM25Ranker(index).rank(queries, 10).collect()) == sorted(small)
+    assert [r["doc_id"] for r in sorted(small, key=lambda r: (r["query_id"], r["rank"]))][0] == 1
