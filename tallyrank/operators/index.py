@@ -108,7 +108,10 @@ class CorpusIndex:
         # An index that is being written over counts as missing.
         _write_info(spark, path, [])
         if n_buckets is None:
-            n_buckets = max(shuffle_partitions(spark), math.ceil(docs.count() / DOCS_PER_BUCKET))
+            cores = spark.sparkContext.defaultParallelism
+            n_buckets = max(
+                min(shuffle_partitions(spark), cores), math.ceil(docs.count() / DOCS_PER_BUCKET)
+            )
         id_type = docs.schema[id_col].dataType.simpleString()
 
         effective, lemma_rows = None, None
