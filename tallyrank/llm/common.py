@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,19 +43,51 @@ def unused_name(df: DataFrame, wanted: str) -> str:
 
 
 def salted_lookup(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], spread: Column, salts: int = SALTS
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    spread: Column,
+    how: str = "inner",
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``lookup`` (one row per key) that bears hot keys.
+    """Join (inner or left) of ``rows`` with ``lookup``, one row per key, that bears hot keys.
 
     Each key is first reduced to its distinct salts, those few rows meet the lookup, and
     the rows then join on key and salt. No task gets more than 1 / ``salts`` of a hot key.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    pairs = salted.select(*keys, "_salt").distinct().join(lookup, keys)
+    pairs = salted.select(*keys, "_salt").distinct().join(lookup, keys, how)
     return salted.join(pairs, [*keys, "_salt"]).drop("_salt")
 
 
-def same_schema(df: DataFrame, extra: list[T.StructField]) -> T.StructType:
-    """The schema of ``df`` (all columns nullable) followed by ``extra``."""
-    fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
-    return T.StructType([*fields, *extra])
+def map_texts(
+    df: DataFrame,
+    text_col: str,
+    make: Callable[[], Callable[[bytes | None], tuple]],
+    extra: list[T.StructField],
+    keep: list[str],
+) -> DataFrame:
+    """The columns ``keep`` of ``df`` and, from each whole text, the columns ``extra``.
+
+    ``make()`` is called once per task and returns the function from a text's UTF-8 bytes
+    (None for null) to a value for each extra column. Batches come in bounded by bytes.
+    """
+    fields = [T.StructField(df.schema[c].name, df.schema[c].dataType, True) for c in keep]
+    schema = T.StructType([*fields, *extra])
+    kept = len(keep)
+    text = unused_name(df, "text_in")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        one = make()
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            rows = [one(x.as_buffer().to_pybytes() if x.is_valid else None) for x in batch.column(kept)]
+            columns = [batch.column(i).cast(arrow.field(i).type) for i in range(kept)]
+            for i in range(len(extra)):
+                columns.append(pa.array([r[i] for r in rows], type=arrow.field(kept + i).type))
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    picked = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias(text))
+    return picked.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import chat, exact_dedup, sharding
+from tallyrank.llm import chat, decontaminate, exact_dedup, sharding, simhash
 from tallyrank.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,32 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return marked.select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark"),
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (decontaminate.n_hit() > 0).alias("contaminated"),
+    )
+
+
 @query
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
