@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrank.llm import chat, decontaminate, exact_dedup, sharding, simhash
+from tallyrank.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    sharding,
+    simhash,
+    toxicity,
+)
 from tallyrank.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +56,20 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels, ~toxicity.held_out())
+    scored = toxicity.score(docs, model, "text", ["doc_id"])
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -58,6 +80,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_items(
