@@ -15,8 +15,10 @@ from tallyrank.llm import (
     sharding,
     simhash,
     toxicity,
+    warc,
 )
 from tallyrank.llm.common import table
+from tallyrank.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +72,22 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    root = scratch_path(spark, "warc")
+    files = warc.archive_pages(pages, root)
+    warc.delete_streams(spark, root)
+    number = pages.schema["page_id"].dataType
+    return warc.read_archives(files, f"{root}/records", payloads=False).select(
+        F.col("page_id").cast(number).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(number).alias("refers_to"),
+    )
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -14,6 +14,36 @@ from documents
 window same as (partition by {_LOWER})
 """
 
+# Base 32 of a SHA-1: its 160 bits in 32 groups of five.
+WARC = """
+with payloads as (
+    select page_id, encode(coalesce(html, '')) as payload from pages
+), digests as (
+    select page_id, octet_length(payload) as payload_bytes, payload,
+           sha1(payload) as hex
+    from payloads
+), bits as (
+    select *, list_aggregate(list_transform(range(1, 41), lambda i:
+           right(bin(16 + instr('0123456789abcdef', substr(hex, i::int, 1)) - 1), 4)),
+           'string_agg', '') as bits
+    from digests
+), ranked as (
+    select *, first_value(page_id) over same as first_page, row_number() over same as place
+    from bits
+    window same as (partition by payload order by page_id nulls last)
+)
+select page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda g:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + list_sum(list_transform(range(1, 6), lambda b:
+                      case when substr(bits, (5 * g + b)::int, 1) = '1'
+                           then (1 << (5 - b)::int) else 0 end))::int, 1)),
+           'string_agg', '') as payload_digest,
+       case when place = 1 then 'response' else 'revisit' end as record_type,
+       case when place > 1 then first_page end as refers_to
+from ranked
+"""
+
 CHAT_FORMATTING = r"""
 with turns as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
@@ -49,5 +79,6 @@ group by conv_id
 def queries() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
+        "op4_warc": WARC,
         "op10_chat_formatting": CHAT_FORMATTING,
     }
