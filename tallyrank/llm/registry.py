@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrank.llm import (
+    brown_lm,
     chat,
     decontaminate,
     exact_dedup,
@@ -98,6 +99,22 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, vocabulary = brown_lm.train(docs.where(~brown_lm.held_out()).select("text"))
+    scored = brown_lm.score(docs, model, vocabulary, "text", "doc_id")
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        brown_lm.held_out("id").alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
