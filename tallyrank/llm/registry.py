@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrank.llm import (
+    bpe,
     brown_lm,
     chat,
     decontaminate,
@@ -24,6 +26,7 @@ from tallyrank.sources.scratch import scratch_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
+TOKENIZER = "byte_bpe_50k.json"
 
 _queries: dict[str, Query] = {}
 
@@ -99,6 +102,28 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_spec(name: str = TOKENIZER) -> str:
+    """The JSON of a public tokenizer."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text()
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_digests(bpe.encode(docs, tokenizer_spec(), keep=["doc_id"]))
+
+
+def token_digests(coded: DataFrame) -> DataFrame:
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
