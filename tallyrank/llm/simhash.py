@@ -163,7 +163,9 @@ def near_duplicates(
     ``segment_bits`` (2, 4, 8 or 16) only sets how sharp the lower bound is.
     """
     prints = _fingerprints(docs, text_col, id_col, shingle)
-    nodes = prints.select("fp").distinct()
+    # A node is 8 bytes that become fifty rows: dealt to all tasks, not by size.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nodes = prints.select("fp").distinct().repartition(tasks)
     close = materialize(_not_alone(nodes, segment_bits), "close")
     roots = components(_links(close))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
