@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyrank.llm.common import map_texts, salted_lookup, unused_name
+from tallyrank.llm.common import map_texts, row_hash, salted_lookup, unused_name
 from tallyrank.sources.scratch import materialize
 
 WINDOW = 10
@@ -199,16 +199,20 @@ def _item_pieces(items: DataFrame, text_col: str, id_col: str, window: int) -> D
     )
 
 
-def _automata(items: DataFrame, window: int, block_words: int) -> Iterator:
-    """One broadcast block of items after another."""
+def _blocks(
+    items: DataFrame, text_col: str, id_col: str, window: int, block_words: int
+) -> list:
+    """The items as broadcasts of about ``block_words`` words, or one of none."""
     spark = items.sparkSession
-    items = materialize(items, "items")
-    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
-    place = F.pmod(F.xxhash64("name", "words"), F.lit(blocks))
-    for block in range(blocks):
-        rows = items.where(place == block).collect()  # about block_words words
-        yield spark.sparkContext.broadcast([(r["name"], list(r["words"])) for r in rows])
+    pieces = materialize(_item_pieces(items, text_col, id_col, window), "items")
+    total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
+    n = max(1, -(-total // block_words))
+    place = F.pmod(F.xxhash64("name", "words"), F.lit(n))
+    blocks = []
+    for block in range(n):
+        rows = pieces.where(place == block).collect()  # about block_words words
+        blocks.append(spark.sparkContext.broadcast([(r["name"], list(r["words"])) for r in rows]))
+    return blocks
 
 
 def _make_scanner(block, window: int):
@@ -238,8 +242,7 @@ def find_items(
     Columns of ``docs`` with these names are replaced.
     """
     docs = docs.drop(*[f.name for f in _FOUND])
-    pieces = _item_pieces(items, item_text_col, item_id_col, window)
-    blocks = list(_automata(pieces, window, block_words))
+    blocks = _blocks(items, item_text_col, item_id_col, window, block_words)
     if len(blocks) == 1:
         return map_texts(docs, text_col, _make_scanner(blocks[0], window), _FOUND, docs.columns)
     return _find_in_blocks(docs, text_col, blocks, window)
@@ -259,9 +262,7 @@ def _find_in_blocks(docs: DataFrame, text_col: str, blocks: list, window: int) -
         F.flatten(F.collect_list("stretches")).alias("stretches"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    keyed = keyed.withColumn(unused_name(docs, "spread"), F.monotonically_increasing_id())
-    spread = keyed.columns[-1]
-    joined = salted_lookup(keyed, found, [key], F.col(spread), "left")
+    joined = salted_lookup(keyed, found, [key], row_hash(docs), "left")
 
     def count():
         return lambda text: (sum(1 for _ in _words(text)),)
@@ -272,6 +273,7 @@ def _find_in_blocks(docs: DataFrame, text_col: str, blocks: list, window: int) -
     merge = F.udf(
         lambda xs: [{"first": a, "after": b} for a, b in _merge([tuple(x) for x in xs or []])],
         _FOUND[1].dataType,
+        useArrow=True,
     )
     return counted.select(
         *[F.col(f"`{c}`") for c in docs.columns],
@@ -291,10 +293,13 @@ def remove_contamination(
     docs: DataFrame,
     items: DataFrame,
     text_col: str = "text",
+    item_text_col: str = "text",
+    item_id_col: str = "item_id",
+    window: int = WINDOW,
+    block_words: int = BLOCK_WORDS,
     max_words: int = 0,
     max_share: float = 0.5,
     chars_col: str | None = None,
-    **finding,
 ) -> DataFrame:
     """``docs`` without the spans of words that occur in the items.
 
@@ -306,32 +311,51 @@ def remove_contamination(
     columns = docs.columns
     work = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
     at = f"c{columns.index(text_col)}"
-    found = find_items(work, items, text_col=at, **finding)
-    over = F.filter("stretches", lambda s: s["after"] - s["first"] > max_words)
-    found = found.withColumn("stretches", over).where(
-        n_hit() <= F.col("n_words") * F.lit(max_share)
-    )
-    cut = F.udf(_cut, T.StringType())
-    clean = F.size("stretches") == 0
-    text = F.when(clean, F.col(at)).otherwise(
-        # The condition inside keeps clean texts away from Python.
-        cut(F.when(~clean, F.col(at)), "stretches")
-    )
+    blocks = _blocks(items, item_text_col, item_id_col, window, block_words)
+
+    def judge(text: str | None, n_words: int, stretches) -> tuple[bool, str | None]:
+        over = [(a, b) for a, b in stretches if b - a > max_words]
+        keeps = sum(b - a for a, b in over) <= max_share * n_words
+        return keeps, _cut(text, over) if keeps and over else None
+
+    if len(blocks) == 1:
+
+        def make():
+            automaton = ItemAutomaton(blocks[0].value, window)
+
+            def one(raw):
+                n, stretches, _ = automaton.scan(_words(raw))
+                return judge(raw, n, stretches)
+
+            return one
+
+        judged = map_texts(work, at, make, _JUDGED, work.columns)
+    else:
+        found = _find_in_blocks(work, at, blocks, window)
+        verdict = F.udf(
+            lambda text, n, xs: judge(text and text.encode(), n, [tuple(x) for x in xs]),
+            T.StructType(_JUDGED),
+            useArrow=True,
+        )
+        judged = found.select(
+            *work.columns, verdict(F.col(at), "n_words", "stretches").alias("v")
+        ).select(*work.columns, "v.*")
     out = []
     for i, name in enumerate(columns):
         column = F.col(f"c{i}")
-        if f"c{i}" == at:
-            column = text
+        if name == text_col:
+            column = F.coalesce("changed", column)
         elif name == chars_col:
-            column = F.when(clean, column).otherwise(F.length(text).cast(docs.schema[name].dataType))
+            counted = F.length("changed").cast(docs.schema[name].dataType)
+            column = F.when(F.col("changed").isNotNull(), counted).otherwise(column)
         out.append(column.alias(name))
-    return found.select(*out)
+    return judged.where("keeps").select(*out)
 
 
-def _cut(text: str | None, stretches) -> str | None:
-    if text is None or not stretches:
-        return text
-    raw = text.encode()
+_JUDGED = [T.StructField("keeps", T.BooleanType()), T.StructField("changed", T.StringType())]
+
+
+def _cut(raw: bytes, stretches: list[tuple[int, int]]) -> str:
     places = [m.span() for m in _WORD.finditer(raw.lower())]
     kept, at = [], 0
     for first, after in stretches:
@@ -339,4 +363,3 @@ def _cut(text: str | None, stretches) -> str | None:
         at = places[after - 1][1]
     kept.append(raw[at:])
     return b"".join(kept).decode()
-

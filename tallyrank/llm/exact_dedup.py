@@ -138,7 +138,8 @@ def pick_rows(docs: DataFrame, kept: DataFrame, text: Column) -> DataFrame:
     found = docs.select(
         "*", row_hash(docs).alias(row), F.unhex(F.sha2(text, 256)).alias(digest)
     )
-    single = found.join(kept.where(F.col(n) == 1), [row, digest])
+    # The entries are narrow and unique: hashed, so that the texts are moved but not sorted.
+    single = found.join(kept.where(F.col(n) == 1).hint("shuffle_hash"), [row, digest])
     repeated = kept.where(F.col(n) > 1)
     if not repeated.isEmpty():
         copies = found.join(repeated, [row, digest])
