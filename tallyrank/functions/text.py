@@ -1,17 +1,14 @@
 """Text cleaning and tokenizing as column expressions.
 
-Everything here runs inside the JVM on one row at a time, so it never shuffles. The one
-exception is ``html_unescape``, an Arrow UDF that only receives the texts holding a ``&``.
+Everything here runs inside the JVM on one row at a time, so it never shuffles.
 """
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tallyrank.functions import entities
 
 # The stopword list.
 STOPWORDS = (
@@ -40,19 +37,9 @@ def _text(col: Column | str) -> Column:
     return F.coalesce(col, F.lit(""))
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_batch(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
 def html_unescape(col: Column | str) -> Column:
-    """Replace HTML entities.
-
-    Texts without ``&`` cannot change: they travel to the Python worker as NULL and keep
-    their own value.
-    """
-    text = _text(col)
-    return F.coalesce(_unescape_batch(F.when(F.contains(text, F.lit("&")), text)), text)
+    """Replace HTML character references."""
+    return entities.unescape(_text(col))
 
 
 def strip_tags(col: Column | str) -> Column:

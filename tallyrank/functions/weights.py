@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Names of the variants.
 TF_METHODS = ("normalized", "boolean", "summation", "log_scaled")
 IDF_METHODS = ("standard", "smoothed")
 
-# Scores are compared at this precision before ties are broken by document, so that the
-# order of a floating-point sum cannot change a ranking.
-RANK_DIGITS = 6
 SCORE_DIGITS = 4
 
 
+def rank_key(score: Column) -> Column:
+    """What scores are ordered by: their first 24 significant bits (7 digits).
+
+    The order of a floating-point sum then cannot change a ranking, and scores of any size
+    keep their order, however small the weights of a large corpus become.
+    """
+    return score.cast("float")
+
+
 def tf_weight(method: str, tf: Column, dl: Column) -> Column:
     if method == "normalized":
         return F.when(dl > 0, tf / dl).otherwise(F.lit(0.0))

@@ -44,7 +44,13 @@ def term_counts(df: DataFrame, tokens: str, tf: str = "tf") -> DataFrame:
     term, so that nothing is lost; drop those where only postings are wanted.
     """
     keep = [c for c in df.columns if c != tokens]
-    exploded = token_runs(df, tokens).select(*keep, "dl", F.explode_outer("runs").alias("_run"))
+    return explode_runs(token_runs(df, tokens), "runs", tf).select(*keep, "term", tf, "dl")
+
+
+def explode_runs(df: DataFrame, runs: str, tf: str = "tf") -> DataFrame:
+    """One row per run of ``token_runs``; a row without runs gives one with a NULL term."""
+    keep = [c for c in df.columns if c not in (runs, "dl")]
+    exploded = df.select(*keep, "dl", F.explode_outer(runs).alias("_run"))
     return exploded.select(
         *keep,
         F.col("_run.term").alias("term"),
@@ -58,11 +64,22 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def collection_frequency(postings: DataFrame) -> DataFrame:
-    """Number of occurrences per term and their share of all tokens."""
-    total = postings.agg(F.sum("tf").alias("total")).scalar()
-    counted = postings.groupBy("term").agg(F.sum("tf").alias("term_count"))
-    return counted.withColumn("frequency", F.col("term_count") / total)
+def term_statistics(postings: DataFrame) -> DataFrame:
+    """Per term: documents, occurrences, and the largest count and share in one document."""
+    return postings.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"),
+        F.sum("tf").alias("cf"),
+        F.max("tf").alias("max_tf"),
+        F.max(F.col("tf") / F.col("dl")).alias("max_share"),
+    )
+
+
+def collection_frequency(terms: DataFrame, stats: DataFrame) -> DataFrame:
+    """Number of occurrences per term and their share of all tokens, from a fitted index."""
+    total = stats.select("total_tokens").scalar()
+    return terms.select(
+        "term", F.col("cf").alias("term_count"), (F.col("cf") / total).alias("frequency")
+    )
 
 
 def corpus_stats(doc_stats: DataFrame) -> DataFrame:
@@ -157,13 +174,13 @@ def with_dense_index(df: DataFrame, order: list[str], index: str = "term_index")
     )
 
 
-def collection_lookup(postings: DataFrame, words: DataFrame) -> DataFrame:
+def collection_lookup(terms: DataFrame, stats: DataFrame, words: DataFrame) -> DataFrame:
     """Collection counts and frequencies of ``words(term)``, taken literally: a word that
     normalization would change is not found and counts 0."""
-    total = postings.agg(F.sum("tf").alias("total")).scalar()
+    total = stats.select("total_tokens").scalar()
     words = words.select("term").distinct()
-    counted = words.join(
-        postings.groupBy("term").agg(F.sum("tf").alias("term_count")), "term", "left"
-    ).select("term", F.coalesce("term_count", F.lit(0)).alias("term_count"))
+    counted = words.join(terms.select("term", "cf"), "term", "left").select(
+        "term", F.coalesce("cf", F.lit(0)).alias("term_count")
+    )
     share = F.when(total > 0, F.col("term_count") / total).otherwise(F.lit(0.0))
     return counted.withColumn("frequency", share)

@@ -73,7 +73,7 @@ def ndcg_per_query(
     group = ["model", "query_id"]
     later_first = [F.col(c).desc() for c in (ties or ["product_id"])]
     rows = predictions.where("query_id is not null").withColumn(
-        "_score", F.round("predicted_score", weights.RANK_DIGITS)
+        "_score", weights.rank_key(F.col("predicted_score"))
     )
     by_score = Window.partitionBy(*group).orderBy(F.col("_score").desc(), *later_first)
     by_label = Window.partitionBy(*group).orderBy(F.col("relevance_score").desc())

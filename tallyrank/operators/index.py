@@ -6,7 +6,8 @@ Layout of an index folder:
   each file. Buckets keep all postings of a document in one task, so scores are summed
   without a shuffle; the sort lets a filter on a few terms skip most pages of each file.
   A document without tokens has one row with a NULL term.
-* ``doc_stats(doc_id, dl)``, ``terms(term, df, idf_*)``, ``corpus_stats`` (one row),
+* ``doc_stats(doc_id, dl)``, ``terms(term, df, cf, max_tf, max_share, idf_*)``,
+  ``corpus_stats`` (one row),
   ``lemma_map(form, lemma)`` if lemmas were given, ``index_info`` (one row, written last).
 """
 
@@ -24,11 +25,19 @@ from tallyrank import schemas
 from tallyrank.functions import text as text_fn
 from tallyrank.functions import weights
 from tallyrank.operators import corpus, lemma
-from tallyrank.operators.skew import fits_broadcast, hot_keys, lookup_join, shuffle_partitions
-from tallyrank.sources.scratch import scratch_path
-
-# The scores of a bucket's documents for a batch of queries share one task's memory.
+from tallyrank.operators.skew import (
+    broadcast_size,
+    fits_broadcast,
+    hot_keys,
+    lookup_join,
+    shuffle_partitions,
+)
+from tallyrank.sources.scratch import materialize, scratch_path
+
+# The scores of a bucket's documents for a batch of queries share one task's memory, and its
+# postings are sorted in one task. Both spill where a bucket is larger.
 DOCS_PER_BUCKET = 50_000
+TOKENS_PER_BUCKET = 20_000_000
 
 _INFO_SCHEMA = "tokenizer string, id_type string, n_buckets int, lemma_rows long"
 
@@ -40,9 +49,16 @@ class QueryTerms:
     rows: DataFrame
     n_queries: int
     n_terms: int
+    n_bytes: int
     pushed: list[str] | None = None
 
 
+def bucket_count(n_docs: int, n_tokens: int, least: int, most: int) -> int:
+    """Buckets for a corpus: enough for its documents and tokens, and a legal number."""
+    wanted = max(math.ceil(n_docs / DOCS_PER_BUCKET), math.ceil(n_tokens / TOKENS_PER_BUCKET))
+    return max(1, min(most, max(least, wanted)))
+
+
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -101,17 +117,12 @@ class CorpusIndex:
         ``docs`` has one row per document and unique ids. ``path`` defaults to a new
         folder under the session's checkpoint folder. ``lemmas(form, lemma)`` is applied
         ``passes`` times after stopword removal. One bucket is one task when queries run;
-        by default a bucket has at most ``DOCS_PER_BUCKET`` documents on average.
+        by default their number follows documents and tokens, up to the most that Spark allows.
         """
         spark = docs.sparkSession
         path = (path or scratch_path(spark, "index")).rstrip("/")
         # An index that is being written over counts as missing.
         _write_info(spark, path, [])
-        if n_buckets is None:
-            cores = spark.sparkContext.defaultParallelism
-            n_buckets = max(
-                min(shuffle_partitions(spark), cores), math.ceil(docs.count() / DOCS_PER_BUCKET)
-            )
         id_type = docs.schema[id_col].dataType.simpleString()
 
         effective, lemma_rows = None, None
@@ -122,11 +133,29 @@ class CorpusIndex:
             effective = _read(spark, f"{path}/lemma_map", schemas.LEMMA_MAP)
             lemma_rows = effective.count()
 
-        placed = docs.select(
-            F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
-        ).repartition(n_buckets, "doc_id")
-        tokenized = placed.select("doc_id", text_fn.tokens("text", tokenizer).alias("tokens"))
-        postings = corpus.term_counts(tokenized, "tokens")
+        # Counted where they are read and written once: what is shuffled afterwards has no
+        # stopwords, punctuation or repeats, and a computed input is computed once.
+        counted = materialize(
+            corpus.token_runs(
+                docs.select(
+                    F.col(id_col).alias("doc_id"), text_fn.tokens(text_col, tokenizer).alias("tokens")
+                ),
+                "tokens",
+            ),
+            "tokenized",
+        )
+        if n_buckets is None:
+            size = counted.agg(
+                F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("dl"), F.lit(0)).alias("n_tokens")
+            ).first()
+            cores = spark.sparkContext.defaultParallelism
+            n_buckets = bucket_count(
+                size["n_docs"],
+                size["n_tokens"],
+                min(shuffle_partitions(spark), cores),
+                int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")),
+            )
+        postings = corpus.explode_runs(counted.repartition(n_buckets, "doc_id"), "runs")
         if effective is not None:
             postings = _lemmatized_postings(postings, effective, lemma_rows, n_buckets)
         table = f"tallyrank_{uuid.uuid4().hex}"
@@ -145,8 +174,8 @@ class CorpusIndex:
         doc_stats = _read(spark, f"{path}/doc_stats", f"doc_id {id_type}, dl long")
         corpus.corpus_stats(doc_stats).write.mode("overwrite").parquet(f"{path}/corpus_stats")
         stats = _read(spark, f"{path}/corpus_stats", schemas.CORPUS_STATS)
-        df = corpus.document_frequency(written.where("term is not null"))
-        corpus.with_idf(df, stats.select("n_docs").scalar()).sortWithinPartitions(
+        found = corpus.term_statistics(written.where("term is not null"))
+        corpus.with_idf(found, stats.select("n_docs").scalar()).sortWithinPartitions(
             "term"
         ).write.mode("overwrite").parquet(f"{path}/terms")
         spark.sql(f"DROP TABLE {table}")
@@ -205,7 +234,11 @@ class CorpusIndex:
         tf = weights.tf_weight(tf_method, F.col("tf"), F.col("dl"))
         idf = self.terms.select("term", F.col(f"idf_{idf_method}").alias("idf"))
         joined = lookup_join(
-            self.postings, idf, ["term"], dim_rows=self.n_terms(), **self._term_skew()
+            self.postings,
+            idf,
+            ["term"],
+            **broadcast_size(self.terms.select("term")),
+            **self._term_skew(),
         )
         return joined.select("doc_id", "term", (tf * F.col("idf")).alias("weight"))
 
@@ -258,8 +291,11 @@ class CorpusIndex:
         size = split.agg(
             F.count(F.lit(1)).alias("n_queries"),
             F.coalesce(F.sum(F.size(F.array_distinct("tokens"))), F.lit(0)).alias("n_terms"),
+            F.coalesce(
+                F.sum(F.octet_length(F.array_join(F.array_distinct("tokens"), ""))), F.lit(0)
+            ).alias("n_bytes"),
         ).first()
-        if fits_broadcast(size["n_terms"], self.broadcast_limit):
+        if fits_broadcast(size["n_terms"], self.broadcast_limit, size["n_bytes"]):
             found = self.terms.join(F.broadcast(terms), "term")
         else:
             uses = terms.groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
@@ -275,7 +311,11 @@ class CorpusIndex:
             pushed = [r["term"] for r in terms.select("term").collect()]
         avgdl = self.stats.select("avgdl").scalar()
         return QueryTerms(
-            found.withColumn("avgdl", avgdl), size["n_queries"], size["n_terms"], pushed
+            found.withColumn("avgdl", avgdl),
+            size["n_queries"],
+            size["n_terms"],
+            size["n_bytes"],
+            pushed,
         )
 
     def match(self, terms: QueryTerms) -> DataFrame:
@@ -284,7 +324,12 @@ class CorpusIndex:
         if terms.pushed is not None:
             postings = postings.where(F.col("term").isin(terms.pushed))
         return lookup_join(
-            postings, terms.rows, ["term"], dim_rows=terms.n_terms, **self._term_skew()
+            postings,
+            terms.rows,
+            ["term"],
+            dim_rows=terms.n_terms,
+            dim_bytes=terms.n_bytes,
+            **self._term_skew(),
         )
 
 

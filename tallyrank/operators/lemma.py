@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrank.functions.text import STOPWORDS
-from tallyrank.operators.skew import lookup_join
+from tallyrank.operators.skew import fits_broadcast, hot_keys, lookup_join, shuffle_partitions
 
 # Noun endings and their replacements, in order.
 NOUN_SUFFIXES = (
@@ -75,11 +75,12 @@ def effective_map(lemmas: DataFrame, passes: int = 1) -> DataFrame:
     """What ``passes`` rounds of (drop stopwords, lemmatize) do to a form.
 
     Only forms that change are kept. The lemma is NULL where a later round drops the
-    token, because its lemma from the round before is a stopword.
+    token, because its lemma from the round before is a stopword. Of a form listed with
+    several lemmas the first one in order counts.
     """
     if passes < 1:
         raise ValueError("passes must be at least 1")
-    step = lemmas.select("form", "lemma")
+    step = lemmas.groupBy("form").agg(F.min("lemma").alias("lemma"))
     result = step
     for _ in range(passes - 1):
         again = step.select(F.col("form").alias("lemma"), F.col("lemma").alias("next"))
@@ -89,30 +90,43 @@ def effective_map(lemmas: DataFrame, passes: int = 1) -> DataFrame:
     return result.where(changed & ~F.col("form").isin(*STOPWORDS))
 
 
-def lemmatize(df: DataFrame, term: str, effective: DataFrame, rows: int | None) -> DataFrame:
-    """Replace ``term`` by its lemma; NULL where the token is dropped."""
+def lemmatize(
+    df: DataFrame, term: str, effective: DataFrame, dim_rows: int | None, dim_bytes: int = 0
+) -> DataFrame:
+    """Replace ``term`` by its lemma; NULL where the token is dropped.
+
+    Beyond the broadcast limit the terms that many rows share are spread over tasks, and so
+    are the rows without a term.
+    """
     mapped = effective.select(
         F.col("form").alias(term), F.struct(F.col("lemma").alias("to")).alias("_lemma")
     )
-    joined = lookup_join(df, mapped, [term], "left", dim_rows=rows)
+    skew = {}
+    if not fits_broadcast(dim_rows, None, dim_bytes):
+        counts = df.groupBy(term).agg(F.count(F.lit(1)).alias("_rows"))
+        hot = hot_keys(counts, [term], "_rows", shuffle_partitions(df.sparkSession))
+        skew = {"hot": hot, "spread_by": [F.col(c) for c in df.columns if c != term]}
+    joined = lookup_join(df, mapped, [term], "left", dim_rows=dim_rows, dim_bytes=dim_bytes, **skew)
     lemma = F.when(F.col("_lemma").isNull(), F.col(term)).otherwise(F.col("_lemma.to"))
     return joined.withColumn(term, lemma).drop("_lemma").select(*df.columns)
 
 
-def text_digest(col: str) -> Column:
+def text_digest(col: Column | str) -> Column:
     """A 32-byte key for a text, so that long texts are not carried along with each token."""
-    return F.unhex(F.sha2(F.col(col), 256))
+    text = F.col(col) if isinstance(col, str) else col
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def join_lemmas(texts: DataFrame, effective: DataFrame, rows: int | None) -> DataFrame:
+def join_lemmas(
+    texts: DataFrame, effective: DataFrame, dim_rows: int | None, dim_bytes: int = 0
+) -> DataFrame:
     """(digest, clean): the tokens of each text, lemmatized and joined in order.
 
     ``texts(digest, tokens)`` may repeat a text; each is handled once. A text is regrouped
     from its own tokens only.
     """
-    distinct = texts.dropDuplicates(["digest"])
-    placed = distinct.select("digest", F.posexplode_outer("tokens").alias("pos", "term"))
-    mapped = lemmatize(placed, "term", effective, rows)
+    placed = texts.dropDuplicates(["digest"]).select("digest", F.posexplode_outer("tokens").alias("pos", "term"))
+    mapped = lemmatize(placed, "term", effective, dim_rows, dim_bytes)
     kept = F.when(F.col("term").isNotNull(), F.struct("pos", "term"))
     regrouped = mapped.groupBy("digest").agg(F.sort_array(F.collect_list(kept)).alias("kept"))
     return regrouped.select("digest", F.array_join("kept.term", " ").alias("clean"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrank.operators.skew import hot_keys, lookup_join, shuffle_partitions
+from tallyrank.operators.skew import broadcast_size, hot_keys, lookup_join, shuffle_partitions
 from tallyrank.sources.scratch import materialize
 
 
@@ -46,20 +46,22 @@ def n_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def duplicated(df: DataFrame, keys: list[str]) -> DataFrame:
-    """All rows whose ``keys`` occur more than once.
+    """All rows whose ``keys`` occur more than once; NULLs in keys are equal to each other.
 
     Keys are counted with partial sums and the repeated ones written and joined back, so a
-    key with a third of all rows is not gathered in one task.
+    key with a third of all rows is not gathered in one task. The keys are joined as one
+    struct, which is never NULL itself.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    keyed = df.withColumn("_key", F.struct(*keys))
+    counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
     repeated = materialize(counts.where("_rows > 1"), "repeated-keys")
     tasks = shuffle_partitions(df.sparkSession)
     return lookup_join(
-        df,
-        repeated.select(*keys),
-        keys,
-        dim_rows=repeated.count(),
-        hot=hot_keys(repeated, keys, "_rows", tasks),
+        keyed,
+        repeated.select("_key"),
+        ["_key"],
+        **broadcast_size(repeated.select("_key.*")),
+        hot=hot_keys(repeated, ["_key"], "_rows", tasks),
         spread_by=[F.col(c) for c in df.columns],
     ).select(*df.columns)
 

@@ -15,14 +15,19 @@ from tallyrank.functions import text as text_fn
 from tallyrank.functions import weights
 from tallyrank.operators import corpus
 from tallyrank.operators.index import CorpusIndex, QueryTerms
-from tallyrank.operators.skew import lookup_join
+from tallyrank.operators.skew import (
+    broadcast_size,
+    hot_keys,
+    lookup_join,
+    shuffle_partitions,
+)
 
 
 def _rank_order(ties: str) -> list[Column]:
     if ties not in ("desc", "asc"):
         raise ValueError("ties must be 'desc' (higher doc_id first) or 'asc'")
     doc = F.col("doc_id").desc() if ties == "desc" else F.col("doc_id").asc()
-    return [F.round("score", weights.RANK_DIGITS).desc(), doc]
+    return [weights.rank_key(F.col("score")).desc(), doc]
 
 
 def top_documents(scores: DataFrame, top_n: int, ties: str = "desc") -> DataFrame:
@@ -240,8 +245,9 @@ def score_candidates(
     """``candidates`` plus one score column per entry of ``rankers`` (same index for all).
 
     Each query is reduced to an array of its known terms, with their statistics. After one
-    join on ``query_id`` every candidate is scored inside its own row, whatever its copies;
-    a candidate without a matching term keeps its row and scores 0.0.
+    join on ``query_id`` every candidate is scored inside its own row, whatever its copies:
+    of its tokens only those of the query are kept and counted. A candidate without a
+    matching term keeps its row and scores 0.0.
     """
     index = next(iter(rankers.values())).index
     if any(ranker.index is not index for ranker in rankers.values()):
@@ -252,34 +258,28 @@ def score_candidates(
         entries = terms.rows.withColumn("form", F.col("term"))
     else:
         entries = _with_forms(terms.rows, index.lemmas)
-        # Forms whose lemma is a stopword: a few per stopword.
-        dropped = index.lemmas.where("lemma is null").agg(F.collect_set("form")).scalar()
-        texts = texts.withColumn("_dropped", dropped).withColumn(
-            "_tokens", F.filter("_tokens", lambda t: ~F.array_contains("_dropped", t))
-        )
+        texts = _without_dropped(texts, index.lemmas)
     statistics = F.struct("term", "qtf", "idf_standard", "idf_smoothed", "idf_bm25", "avgdl")
     # One row per form of a query term: that many entries reach every task in a broadcast.
-    n_entries = terms.n_terms if index.lemmas is None else entries.count()
+    size = {"dim_rows": terms.n_terms, "dim_bytes": 2 * terms.n_bytes}
+    if index.lemmas is not None:
+        size = broadcast_size(entries.select("form", "term"))
     # One map per query, as long as the query's own text has distinct terms.
     profiles = entries.groupBy("query_id").agg(
         F.map_from_entries(F.collect_list(F.struct("form", statistics.alias("q")))).alias("_query")
     )
+    sized = texts.withColumn("_length", F.size("_tokens").cast("long"))
     joined = lookup_join(
-        corpus.token_runs(texts, "_tokens", "_runs").withColumnRenamed("dl", "_dl"),
-        profiles,
-        ["query_id"],
-        "left",
-        dim_rows=n_entries,
-        limit=index.broadcast_limit,
-    )
-    # Both maps meet by hashing; what they share is what the query finds in the document.
-    met = F.map_zip_with(
-        F.map_from_entries("_runs"),
-        F.col("_query"),
-        lambda _, tf, q: F.struct(tf.alias("tf"), q.alias("q")),
+        sized, profiles, ["query_id"], "left", limit=index.broadcast_limit, **size
     )
-    hits = F.filter(
-        F.map_values(met), lambda hit: hit["tf"].isNotNull() & hit["q"].isNotNull()
+    # Only the tokens that the query asks for are counted.
+    asked = joined.withColumn(
+        "_tokens", F.filter("_tokens", lambda t: F.map_contains_key("_query", t))
+    ).withColumn("_tokens", F.coalesce("_tokens", F.array().cast("array<string>")))
+    joined = corpus.token_runs(asked, "_tokens", "_runs").drop("dl")
+    hits = F.transform(
+        "_runs",
+        lambda run: F.struct(run["tf"].alias("tf"), F.col("_query")[run["term"]].alias("q")),
     )
     staged = joined.withColumn("_hits", hits)
     if index.lemmas is not None:
@@ -289,7 +289,7 @@ def score_candidates(
         def add(acc: Column, hit: Column) -> Column:
             q = hit["q"]
             weight = ranker.term_weight(
-                hit["tf"], F.col("_dl"), q[ranker.idf_column], q["avgdl"]
+                hit["tf"], F.col("_length"), q[ranker.idf_column], q["avgdl"]
             )
             return acc + q["qtf"] * weight
 
@@ -301,6 +301,40 @@ def score_candidates(
     )
 
 
+# Forms that are looked up in a list inside each row; beyond it texts meet them in a join.
+_LISTED_FORMS = 200
+
+
+def _without_dropped(texts: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """``texts`` without the ``_tokens`` whose lemma is a stopword."""
+    dropped = lemmas.where("lemma is null").select("form")
+    kept = F.filter("_tokens", lambda t: ~F.array_contains("_dropped", t))
+    if dropped.limit(_LISTED_FORMS + 1).count() <= _LISTED_FORMS:
+        forms = dropped.agg(F.collect_set("form")).scalar()
+        return texts.withColumn("_dropped", forms).withColumn("_tokens", kept).drop("_dropped")
+    # What each different text has to drop is at most as long as the text.
+    keyed = texts.withColumn(
+        "_digest", F.unhex(F.sha2(F.array_join("_tokens", " "), 256))
+    )
+    words = keyed.select("_digest", F.explode(F.array_distinct("_tokens")).alias("form"))
+    found = words.join(dropped, "form", "left_semi").groupBy("_digest").agg(
+        F.collect_set("form").alias("_dropped")
+    )
+    tasks = shuffle_partitions(texts.sparkSession)
+    copies = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_rows"))
+    joined = lookup_join(
+        keyed,
+        found,
+        ["_digest"],
+        "left",
+        hot=hot_keys(copies, ["_digest"], "_rows", tasks),
+        spread_by=[F.col(c) for c in texts.columns],
+    )
+    none = F.array().cast("array<string>")
+    listed = joined.withColumn("_dropped", F.coalesce("_dropped", none))
+    return listed.withColumn("_tokens", kept).select(*texts.columns)
+
+
 def _hits_by_term(hits: Column) -> Column:
     """Add up the counts of forms that stand for the same query term."""
     terms = F.array_distinct(F.transform(hits, lambda hit: hit["q"]))

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The rows broadcast by this package are narrow (ids, a term, a few numbers): about
-# 100 bytes, so this limit is some 50 MB per executor.
+# The rows broadcast by this package hold ids, a term and a few numbers. Terms and ids have
+# no largest length, so their bytes are checked as well as the rows.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 # A key is hot when it holds more than 1 / HOT_KEYS of all rows. Hence there are fewer than
 # HOT_KEYS hot keys whatever the data, which bounds the broadcast of the hot-key list.
@@ -23,8 +24,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def fits_broadcast(rows: int | None, limit: int | None = None) -> bool:
-    return rows is not None and rows <= (BROADCAST_ROWS if limit is None else limit)
+def fits_broadcast(rows: int | None, limit: int | None = None, text_bytes: int = 0) -> bool:
+    """``text_bytes``: those of all strings in the rows, besides about 60 for the rest."""
+    if rows is None or rows > (BROADCAST_ROWS if limit is None else limit):
+        return False
+    return text_bytes + 60 * rows <= BROADCAST_BYTES
+
+
+def text_bytes(df: DataFrame) -> Column:
+    """An aggregate: the bytes of all strings in ``df``."""
+    strings = [F.octet_length(f.name) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    total = F.lit(0).cast("long")
+    for size in strings:
+        total = total + F.coalesce(size, F.lit(0))
+    return F.coalesce(F.sum(total), F.lit(0))
+
+
+def broadcast_size(df: DataFrame) -> dict[str, int]:
+    """``dim_rows`` and ``dim_bytes`` of a table, for ``lookup_join``."""
+    row = df.agg(F.count(F.lit(1)).alias("dim_rows"), text_bytes(df).alias("dim_bytes")).first()
+    return row.asDict()
 
 
 def hot_keys(counts: DataFrame, keys: list[str], count: str, tasks: int) -> DataFrame:
@@ -47,24 +66,30 @@ def lookup_join(
     how: str = "inner",
     *,
     dim_rows: int | None = None,
+    dim_bytes: int = 0,
     hot: DataFrame | None = None,
     spread_by: list[Column] | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Join ``fact`` with the per-key rows of ``dim`` (``how``: inner or left).
 
-    ``dim_rows`` is a proven bound on the rows of ``dim``. ``hot`` comes from ``hot_keys``
-    and ``spread_by`` names what separates the rows of one hot key. Without them the
-    shuffle join relies on the splitting of skewed partitions at run time.
+    ``dim_rows`` and ``dim_bytes`` (of its strings) are proven bounds on ``dim``. ``hot``
+    comes from ``hot_keys`` and ``spread_by`` names what separates the rows of one hot key.
+    Without them the shuffle join relies on the splitting of skewed partitions at run time.
     """
-    if fits_broadcast(dim_rows, limit):
+    if fits_broadcast(dim_rows, limit, dim_bytes):
         return fact.join(F.broadcast(dim), keys, how)
     if hot is None:
         return fact.join(dim, keys, how)
     hot = F.broadcast(hot)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
+    # Rows with a NULL key match nothing; each goes wherever its hash sends it.
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | F.col(key).isNull()
+    spread = F.xxhash64(*spread_by)
     salted_fact = fact.join(hot, keys, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_by), salts)
+        "_salt", F.when(no_key, spread).otherwise(F.pmod(spread, salts))
     )
     salted_dim = dim.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyrank.functions import text as text_fn
 from tallyrank.operators import lemma
+from tallyrank.operators.skew import broadcast_size, hot_keys, lookup_join, shuffle_partitions
 from tallyrank.schemas import PRODUCT_TEXT_COLUMNS
 from tallyrank.sources.scratch import materialize
 
@@ -28,18 +29,37 @@ def product_document() -> Column:
     return F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in PRODUCT_TEXT_COLUMNS])
 
 
+def vocabulary(examples: DataFrame, products: DataFrame) -> DataFrame:
+    """(form): all words of the queries and of the product texts."""
+    texts = examples.select(F.col("query").alias("text")).unionByName(
+        products.select(product_document().alias("text"))
+    )
+    return texts.select(F.explode(_word_forms("text")).alias("form")).distinct()
+
+
+def _word_forms(text: Column | str) -> Column:
+    return text_fn.raw_tokens(text_fn.strip_tags(text_fn.html_unescape(text)))
+
+
 def _cleaned(
     df: DataFrame, text: Column, name: str, effective: DataFrame | None
 ) -> DataFrame:
+    """``df`` with the cleaned ``text``. With lemmas each different text is cleaned once."""
     if effective is None:
         return df.withColumn(name, text_fn.clean_text(text))
-    stripped = df.withColumn("_text", text_fn.strip_tags(text_fn.html_unescape(text)))
-    keyed = stripped.withColumn("digest", lemma.text_digest("_text"))
-    texts = keyed.select("digest", text_fn.raw_tokens("_text").alias("tokens"))
-    clean = lemma.join_lemmas(texts, effective, effective.count())
-    return keyed.join(clean.withColumnRenamed("clean", name), "digest", "left").drop(
-        "_text", "digest"
-    )
+    keyed = df.withColumn("_digest", lemma.text_digest(text)).withColumn("_text", text)
+    distinct = keyed.select(F.col("_digest").alias("digest"), "_text").dropDuplicates(["digest"])
+    texts = distinct.select("digest", _word_forms("_text").alias("tokens"))
+    clean = lemma.join_lemmas(texts, effective, **broadcast_size(effective))
+    copies = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_rows"))
+    return lookup_join(
+        keyed.drop("_text"),
+        clean.select(F.col("digest").alias("_digest"), F.col("clean").alias(name)),
+        ["_digest"],
+        "left",
+        hot=hot_keys(copies, ["_digest"], "_rows", shuffle_partitions(df.sparkSession)),
+        spread_by=[F.col(c) for c in df.columns],
+    ).drop("_digest")
 
 
 def build_dataset(

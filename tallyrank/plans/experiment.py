@@ -49,8 +49,8 @@ def run(
     do_fit: bool = True,
     do_predict: bool = True,
     overwrite: bool = False,
-    train_size: int | None = 10_000,
-    test_size: int | None = 1_000,
+    train_size: int | None = None,
+    test_size: int | None = None,
     k: int = 10,
     seed: int = 42,
     order: list[str] | None = None,
@@ -58,8 +58,9 @@ def run(
 ) -> DataFrame | None:
     """The whole experiment; returns the summary, or None without ``do_predict``.
 
-    ``train_size`` and ``test_size`` sample rows; None takes them all. ``order`` fixes the
-    order of the rows of a query.
+    All rows count. ``train_size`` and ``test_size`` sample rows only when they are given; a
+    sampled test set has shorter candidate lists, which raises NDCG. ``order`` fixes the order
+    of the rows of a query.
     """
     schemas.require_columns(processed, schemas.PROCESSED.fieldNames())
     order = order or ["product_id"]

@@ -13,7 +13,8 @@ SELECT l.l_orderkey AS query_id, p0.p_name AS query,
             WHEN l.l_linenumber % 3 = 0 THEN 'I'
             WHEN l.l_linenumber % 3 = 1 THEN 'C' ELSE 'X' END AS esci_label,
        CASE WHEN l.l_orderkey % 5 = 0 THEN 'test' ELSE 'train' END AS split
-FROM {lineitem} l JOIN {part} p0 ON p0.p_partkey = l.l_orderkey % 200
+FROM (SELECT *, l_orderkey % (SELECT count(*) FROM {part}) AS query_part FROM {lineitem}) l
+JOIN {part} p0 ON p0.p_partkey = l.query_part
 """
 
 PRODUCTS_SQL = """
@@ -24,7 +25,7 @@ SELECT cast(p_partkey AS varchar(20)) AS product_id,
        cast(p_size AS varchar(20)) AS product_bullet_point,
        p_brand AS product_brand,
        CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE split_part(p_name, ' ', 1) END AS product_color
-FROM {part} WHERE p_partkey % 10 <> 0
+FROM {part}
 """
 
 

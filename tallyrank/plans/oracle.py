@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from tallyrank.functions.text import STOPWORDS
 from tallyrank.operators.lemma import NOUN_SUFFIXES
-from tallyrank.plans.judgements import EXAMPLES_SQL, PRODUCTS_SQL
+from tallyrank.plans.registry import ONE_QUERY
 
 _STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
 
@@ -92,7 +92,7 @@ def _top(n: int, scores: str = "scores", ties: str = "DESC") -> str:
 top AS (
   SELECT query_id, doc_id, score, rank FROM (
     SELECT query_id, doc_id, score, row_number() OVER (
-      PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id {ties}) AS rank
+      PARTITION BY query_id ORDER BY score::FLOAT DESC, doc_id {ties}) AS rank
     FROM {scores}) WHERE rank <= {n})"""
 
 
@@ -118,11 +118,12 @@ _TF = {
 }
 
 def _candidate_scores(*parts: str) -> str:
-    own = "own AS (SELECT * FROM scores WHERE query_id = doc_id % 40)"
+    asked = "doc_id % (SELECT count(*) FROM benchmark)"
+    own = f"own AS (SELECT * FROM scores WHERE query_id = {asked})"
     return _with(
         *parts,
         own,
-        select="""SELECT d.doc_id % 40 AS query_id, d.doc_id,
+        select=f"""SELECT d.{asked} AS query_id, d.doc_id,
        round(coalesce(score, 0.0), 4) AS predicted_score
 FROM documents d LEFT JOIN own ON own.doc_id = d.doc_id""",
     )
@@ -132,16 +133,22 @@ _VARIANTS = "(VALUES ('bm25', 1.2, 0.75, 0.0), ('bm25_plus', 1.2, 0.75, 1.0), ('
 
 _RULES = ", ".join(f"('{s}', '{e}', {i})" for i, (s, e) in enumerate(NOUN_SUFFIXES, 1))
 
-_LEMMAS = f"""
+
+
+def _lemma_map(words: str) -> str:
+    return f"""
 rules(suffix, ending, ord) AS (VALUES {_RULES}),
 candidates AS (
-  SELECT term AS form, term AS candidate, 0 AS ord FROM terms
+  SELECT term AS form, term AS candidate, 0 AS ord FROM {words}
   UNION ALL
   SELECT term, left(term, len(term) - len(suffix)) || ending, ord
-  FROM terms JOIN rules ON right(term, len(suffix)) = suffix AND len(term) >= len(suffix)),
+  FROM {words} JOIN rules ON right(term, len(suffix)) = suffix AND len(term) >= len(suffix)),
 lemma_map AS MATERIALIZED (
   SELECT form, arg_min(candidate, len(candidate) * 100 + ord) AS lemma
-  FROM candidates SEMI JOIN terms ON candidate = term GROUP BY form)"""
+  FROM candidates SEMI JOIN {words} ON candidate = term GROUP BY form)"""
+
+
+_LEMMAS = _lemma_map("terms")
 
 # Two rounds of "drop stopwords, then lemmatize".
 _LEMMA_CORPUS = f"""
@@ -166,8 +173,25 @@ _LEMMA_SCORES = _scores(
     "raw JOIN lens2 USING (doc_id) JOIN terms2 USING (term) JOIN qt2 USING (term), stats2",
 )
 
-_EXAMPLES = f"examples AS MATERIALIZED ({EXAMPLES_SQL.format(lineitem='lineitem', part='part')})"
-_PRODUCTS = f"products AS ({PRODUCTS_SQL.format(part='part')})"
+# The labelled queries in another wording than the plan's own.
+_EXAMPLES = """
+examples AS MATERIALIZED (
+  SELECT o.l_orderkey AS query_id, q.p_name AS query, o.l_partkey::VARCHAR AS product_id,
+         o.l_linenumber AS line_no, if(o.l_linestatus = 'O', 'us', 'es') AS product_locale,
+         (o.l_quantity <= 40)::INTEGER AS small_version,
+         coalesce(MAP {'A': 'E', 'R': 'S'}[o.l_returnflag],
+                  ['I', 'C', 'X'][1 + o.l_linenumber % 3]) AS esci_label,
+         if(o.l_orderkey % 5 = 0, 'test', 'train') AS split
+  FROM lineitem o, part q
+  WHERE o.l_orderkey % (SELECT count(*) FROM part) = q.p_partkey)"""
+_PRODUCTS = """
+products AS (
+  SELECT p_partkey::VARCHAR AS product_id,
+         ['es', 'us', 'us', 'us'][1 + p_partkey % 4] AS product_locale,
+         p_name AS product_title, nullif([NULL, p_type, p_type][1 + p_partkey % 3], '') AS product_description,
+         p_size::VARCHAR AS product_bullet_point, p_brand AS product_brand,
+         if(p_partkey % 2 = 1, string_split(p_name, ' ')[1], NULL) AS product_color
+  FROM part)"""
 
 _PRODUCT_TEXT = (
     "coalesce(product_title, '') || ' ' || coalesce(product_description, '') || ' ' ||"
@@ -193,20 +217,49 @@ processed AS MATERIALIZED (
     WHERE small_version = 1 AND product_locale = 'us'))"""
 
 
-def _sampled(split: str, n: int) -> str:
-    keys = ["query_id", "product_id", "line_no", "esci_label", "clean_product_document"]
-    key = ", ".join(["'42'", *[f"coalesce({k}::VARCHAR, '')" for k in keys]])
-    return f"""
-{split}_rows AS MATERIALIZED (
-  SELECT * FROM processed WHERE split = '{split}'
-  ORDER BY md5(concat_ws('|', {key})), {", ".join(keys)} LIMIT {n})"""
+# The same with lemmas: every different text is taken apart, lemmatized and put together.
+_JUDGEMENT_LEMMAS = (
+    f"""
+raw_texts AS MATERIALIZED (
+  SELECT DISTINCT text FROM (
+    SELECT query AS text FROM examples UNION ALL SELECT {_PRODUCT_TEXT} FROM products)),
+raw_words AS MATERIALIZED (
+  SELECT text, unnest(t) AS term, unnest(range(len(t))) AS pos
+  FROM (SELECT text, {_tokens(_strip('text'))} AS t FROM raw_texts)),
+vocabulary AS MATERIALIZED (SELECT DISTINCT term FROM raw_words)""",
+    _lemma_map("vocabulary"),
+    """
+cleaned AS MATERIALIZED (
+  SELECT text, string_agg(lemma, ' ' ORDER BY pos) AS clean
+  FROM raw_words JOIN lemma_map ON form = term GROUP BY text)""",
+    f"""
+processed AS MATERIALIZED (
+  SELECT query_id, product_id, coalesce(q.clean, '') AS clean_query,
+         coalesce(d.clean, '') AS clean_product_document,
+         CASE lower(esci_label) WHEN 'e' THEN 1.0 WHEN 's' THEN 0.6 WHEN 'i' THEN 0.1
+              WHEN 'c' THEN 0.0 END::DOUBLE AS relevance_score,
+         split, line_no, esci_label
+  FROM (
+    SELECT e.*, CASE WHEN p.product_id IS NOT NULL THEN {_PRODUCT_TEXT} END AS document
+    FROM examples e LEFT JOIN products p USING (product_locale, product_id)
+    WHERE small_version = 1 AND product_locale = 'us') j
+  LEFT JOIN cleaned q ON q.text = j.query LEFT JOIN cleaned d ON d.text = j.document)""",
+)
 
 
 def _whole(split: str) -> str:
     return f"\n{split}_rows AS (SELECT * FROM processed WHERE split = '{split}')"
 
 
-def _prediction_parts(train: str, test: str) -> list[str]:
+def _prediction_parts(lemmas: bool = False) -> list[str]:
+    # The second pass over cleaned text drops stopwords and lemmatizes once more.
+    def tokens(column: str) -> str:
+        plain = _tokens(column)
+        return f"[coalesce(lemma_of[t], t) FOR t IN {plain}]" if lemmas else plain
+
+    also = ", lemma_maps" if lemmas else ""
+    lemma_maps = "lemma_maps AS (SELECT map_from_entries(list((form, lemma))) AS lemma_of FROM lemma_map)"
+
     docs = """
 train_docs AS (
   SELECT clean_product_document AS doc_id, clean_product_document AS text FROM train_rows
@@ -218,11 +271,11 @@ firsts AS (
   FROM numbered GROUP BY query_id),
 fq AS (
   SELECT query_id, term, count(*) AS qtf
-  FROM (SELECT query_id, unnest({_tokens('query')}) AS term FROM firsts) GROUP BY ALL),
+  FROM (SELECT query_id, unnest({tokens('query')}) AS term FROM firsts{also}) GROUP BY ALL),
 cand AS (
   SELECT row_no, query_id, term, count(*) AS tf, any_value(dl) AS dl
   FROM (SELECT row_no, query_id, len(toks) AS dl, unnest(toks) AS term
-        FROM (SELECT *, {_tokens('clean_product_document')} AS toks FROM numbered))
+        FROM (SELECT *, {tokens('clean_product_document')} AS toks FROM numbered{also}))
   GROUP BY row_no, query_id, term),
 found AS (
   SELECT row_no, sum(qtf * tf / dl * idf_smoothed) AS tfidf, sum(qtf * {_bm25()}) AS bm25
@@ -234,18 +287,18 @@ predictions AS MATERIALIZED (
     return [
         _EXAMPLES,
         _PRODUCTS,
-        _PROCESSED,
-        train,
-        test,
+        *([*_JUDGEMENT_LEMMAS, lemma_maps] if lemmas else [_PROCESSED]),
+        _whole("train"),
+        _whole("test"),
         docs,
-        _corpus(_tokens("text"), "train_docs"),
+        _corpus(tokens("text"), f"train_docs{also}"),
         predictions,
     ]
 
 
 _NDCG = """
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY model, query_id ORDER BY round(predicted_score, 6) DESC,
+  SELECT *, row_number() OVER (PARTITION BY model, query_id ORDER BY predicted_score::FLOAT DESC,
            product_id DESC, line_no DESC, esci_label DESC) AS r,
          row_number() OVER (PARTITION BY model, query_id ORDER BY relevance_score DESC) AS ideal
   FROM predictions),
@@ -288,8 +341,8 @@ def queries() -> dict[str, str]:
     example_columns = (
         "query_id, query, product_id, line_no, product_locale, small_version, esci_label, split"
     )
-    whole = _prediction_parts(_whole("train"), _whole("test"))
-    sampled = _prediction_parts(_sampled("train", 10_000), _sampled("test", 1_000))
+    whole, lemmatized = _prediction_parts(), _prediction_parts(lemmas=True)
+    one = f"qt AS (SELECT 0 AS query_id, unnest({_tokens(repr(ONE_QUERY))}) AS term, 1 AS qtf)"
     result = {
         "tokens_normalize": f"""
 SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS normalized
@@ -382,6 +435,22 @@ FROM post JOIN terms USING (term)""",
             select="SELECT query_id, doc_id, round(score, 4) AS score FROM scores",
         ),
         "bm25_topk": _with(_NORMALIZED, _QT, bm25, _top(5), select=_TOP_COLUMNS),
+        "bm25_topk_reloaded": _with(_NORMALIZED, _QT, bm25, _top(5), select=_TOP_COLUMNS),
+        "bm25_score_all": _with(
+            _NORMALIZED,
+            one,
+            bm25,
+            select="""SELECT doc_id, round(coalesce(score, 0.0), 4) AS score
+FROM lens LEFT JOIN scores USING (doc_id)""",
+        ),
+        "tfidf_topk_text": _with(
+            _NORMALIZED,
+            _QT,
+            tfidf,
+            _top(5),
+            select=_TOP_COLUMNS.replace("AS score", "AS score, text")
+            + " JOIN documents USING (doc_id)",
+        ),
         "bm25_topk_text": _with(
             _NORMALIZED,
             _QT,
@@ -427,6 +496,13 @@ GROUP BY query_id, doc_id, variant""",
             _PRODUCTS,
             _PROCESSED,
             select="""SELECT query_id, product_id, clean_query, clean_product_document,
+       relevance_score, split, line_no, esci_label FROM processed""",
+        ),
+        "esci_csv_roundtrip": _with(
+            _EXAMPLES,
+            _PRODUCTS,
+            _PROCESSED,
+            select="""SELECT query_id, product_id, clean_query, clean_product_document,
        relevance_score, split, line_no, esci_label FROM processed""",
         ),
         "esci_label_counts": _with(
@@ -487,7 +563,20 @@ ORDER BY md5(concat_ws('|', '42', doc_id::VARCHAR)), doc_id LIMIT 100""",
             select="SELECT model, query_id, round(ndcg, 4) AS ndcg FROM per_query",
         ),
         "ndcg_summary": _with(*whole, _NDCG, select=_SUMMARY),
-        "experiment_summary": _with(*sampled, _NDCG, select=_SUMMARY),
+        "ndcg_summary_lemmas": _with(*lemmatized, _NDCG, select=_SUMMARY),
+        "predictions_lemmas": _with(
+            *lemmatized,
+            select="""SELECT model, query_id, product_id, round(predicted_score, 4) AS predicted_score,
+       relevance_score, line_no, esci_label FROM predictions""",
+        ),
+        "esci_build_lemmas": _with(
+            _EXAMPLES,
+            _PRODUCTS,
+            *_JUDGEMENT_LEMMAS,
+            select="""SELECT query_id, product_id, clean_query, clean_product_document,
+       relevance_score, split, line_no, esci_label FROM processed""",
+        ),
+        "experiment_summary": _with(*whole, _NDCG, select=_SUMMARY),
     }
     for tf, weight in _TF.items():
         for idf in ("standard", "smoothed"):

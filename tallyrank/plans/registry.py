@@ -15,16 +15,17 @@ from tallyrank.operators.index import CorpusIndex
 from tallyrank.operators.rankers import BM25Ranker, TfidfRanker, score_variants
 from tallyrank.operators.sampling import sample_rows
 from tallyrank.plans import experiment, judgements
-from tallyrank.plans.dataset import build_dataset
-from tallyrank.sources.layout import spread_small_input
+from tallyrank.plans.dataset import build_dataset, vocabulary
+from tallyrank.sources import tables
 from tallyrank.sources.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ONE_QUERY = "That heron and the onesen, the erblest"
 TIES = ["product_id", "line_no", "esci_label"]
 
 _indexes: dict[tuple[str, str, str], CorpusIndex] = {}
-_tables: dict[tuple[str, str], DataFrame] = {}
+_tables: dict[tuple[str, str, str], DataFrame] = {}
 _queries: dict[str, Query] = {}
 
 
@@ -66,6 +67,10 @@ def _index(spark: SparkSession, sf_dir: str, kind: str) -> CorpusIndex:
         if kind == "judgements":
             train = _processed_table(spark, sf_dir).where("split = 'train'")
             index = experiment.fit(train, scratch_path(spark, "judgements"))
+        elif kind == "judgements-lemmas":
+            train = _processed_table(spark, sf_dir, lemmas=True).where("split = 'train'")
+            lemmas = _judgement_lemmas(spark, sf_dir)
+            index = experiment.fit(train, scratch_path(spark, "judgements"), lemmas=lemmas)
         elif kind == "lemmas":
             forms = _index(spark, sf_dir, "normalize").terms.select(F.col("term").alias("form"))
             lemmas = materialize(lemma.corpus_lemma_map(forms), "lemmas")
@@ -85,7 +90,7 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 @query
 def tokens_normalize(spark, sf_dir):
-    docs = spread_small_input(_documents(spark, sf_dir))
+    docs = _documents(spark, sf_dir)
     tokens = docs.select("doc_id", text_fn.raw_tokens("text").alias("t"))
     return tokens.select(
         "doc_id", F.size("t").cast("long").alias("n_tokens"), text_fn.join_tokens("t").alias("normalized")
@@ -94,7 +99,7 @@ def tokens_normalize(spark, sf_dir):
 
 @query
 def tokens_whitespace(spark, sf_dir):
-    docs = spread_small_input(_documents(spark, sf_dir))
+    docs = _documents(spark, sf_dir)
     tokens = docs.select("doc_id", text_fn.whitespace_tokens("text").alias("t"))
     return tokens.select(
         "doc_id", F.size("t").cast("long").alias("n_tokens"), text_fn.join_tokens("t").alias("words")
@@ -103,13 +108,13 @@ def tokens_whitespace(spark, sf_dir):
 
 @query
 def clean_pages(spark, sf_dir):
-    pages = spread_small_input(_table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = _table(spark, sf_dir, "pages").select("page_id", "html")
     return pages.select("page_id", text_fn.clean_text("html", unescape=False).alias("clean"))
 
 
 @query
 def clean_pages_unescaped(spark, sf_dir):
-    pages = spread_small_input(_table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = _table(spark, sf_dir, "pages").select("page_id", "html")
     return pages.select("page_id", text_fn.clean_text("html").alias("clean"))
 
 
@@ -133,21 +138,22 @@ def postings(spark, sf_dir):
 
 @query
 def term_df_idf(spark, sf_dir):
-    terms = _index(spark, sf_dir, "normalize").terms
-    return _rounded(terms, 6, "idf_standard", "idf_smoothed", "idf_bm25")
+    idfs = ["idf_standard", "idf_smoothed", "idf_bm25"]
+    terms = _index(spark, sf_dir, "normalize").terms.select("term", "df", *idfs)
+    return _rounded(terms, 6, *idfs)
 
 
 @query
 def collection_tf(spark, sf_dir):
-    counted = corpus.collection_frequency(_index(spark, sf_dir, "normalize").postings)
+    index = _index(spark, sf_dir, "normalize")
+    counted = corpus.collection_frequency(index.terms, index.stats)
     return _rounded(counted, 10, "frequency")
 
 
 @query
 def collection_lookup(spark, sf_dir):
-    found = corpus.collection_lookup(
-        _index(spark, sf_dir, "normalize").postings, _words(spark, sf_dir)
-    )
+    index = _index(spark, sf_dir, "normalize")
+    found = corpus.collection_lookup(index.terms, index.stats, _words(spark, sf_dir))
     return _rounded(found, 10, "frequency")
 
 
@@ -172,7 +178,7 @@ def vocabulary_sorted(spark, sf_dir):
 
 @query
 def vocabulary_first_seen(spark, sf_dir):
-    docs = spread_small_input(_documents(spark, sf_dir))
+    docs = _documents(spark, sf_dir)
     first = corpus.first_occurrence(docs, text_fn.whitespace_tokens("text"))
     return corpus.with_dense_index(first, ["doc_id", "place"]).select("term", "term_index")
 
@@ -220,6 +226,12 @@ def tfidf_topk(spark, sf_dir):
     return TfidfRanker(_index(spark, sf_dir, "normalize")).rank(_benchmark(spark, sf_dir))
 
 
+@query
+def tfidf_topk_text(spark, sf_dir):
+    ranker = TfidfRanker(_index(spark, sf_dir, "normalize"))
+    return ranker.rank(_benchmark(spark, sf_dir), texts=_documents(spark, sf_dir))
+
+
 @query
 def tfidf_topk_padded(spark, sf_dir):
     ranker = TfidfRanker(_index(spark, sf_dir, "normalize"), "log_scaled", "standard")
@@ -234,8 +246,8 @@ def tfidf_search_repeat(spark, sf_dir):
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a candidate of one benchmark query."""
-    docs = spread_small_input(_documents(spark, sf_dir))
-    return docs.withColumn("query_id", F.col("doc_id") % 40)
+    n_queries = _table(spark, sf_dir, "benchmark").count()
+    return _documents(spark, sf_dir).withColumn("query_id", F.col("doc_id") % n_queries)
 
 
 def _scored(ranker, spark, sf_dir) -> DataFrame:
@@ -268,6 +280,19 @@ def bm25_topk_text(spark, sf_dir):
     return ranker.rank(_benchmark(spark, sf_dir), texts=_documents(spark, sf_dir))
 
 
+@query
+def bm25_topk_reloaded(spark, sf_dir):
+    """Ranks with an index that is opened again from its folder."""
+    index = CorpusIndex.load(spark, _index(spark, sf_dir, "normalize").path)
+    return BM25Ranker(index).rank(_benchmark(spark, sf_dir))
+
+
+@query
+def bm25_score_all(spark, sf_dir):
+    ranker = BM25Ranker(_index(spark, sf_dir, "normalize"))
+    return _rounded(ranker.score_all(ONE_QUERY), 4, "score")
+
+
 @query
 def bm25_topk_padded(spark, sf_dir):
     ranker = BM25Ranker(_index(spark, sf_dir, "normalize"))
@@ -315,22 +340,49 @@ def _examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = judgements.products(spark, _table(spark, sf_dir, "part"))
-    return build_dataset(_examples(spark, sf_dir), items, extra=["line_no", "esci_label"])
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judgements.products(spark, _table(spark, sf_dir, "part"))
 
 
-def _processed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The processed data set as a written table, as the steps after the build expect it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _written(spark: SparkSession, sf_dir: str, label: str, make: Callable) -> DataFrame:
+    """A table that several queries of a session share, written once."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _tables:
-        _tables[key] = materialize(_processed(spark, sf_dir), "processed")
+        _tables[key] = materialize(make(), label)
     return _tables[key]
 
 
-def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = experiment.rankers(_index(spark, sf_dir, "judgements"))
-    test = _processed_table(spark, sf_dir).where("split = 'test'")
+def _judgement_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemma map in which the words of queries and products are the known words."""
+    return _written(
+        spark,
+        sf_dir,
+        "judgement-lemmas",
+        lambda: lemma.corpus_lemma_map(
+            vocabulary(_examples(spark, sf_dir), _products(spark, sf_dir))
+        ),
+    )
+
+
+def _processed(spark: SparkSession, sf_dir: str, lemmas: bool = False) -> DataFrame:
+    return build_dataset(
+        _examples(spark, sf_dir),
+        _products(spark, sf_dir),
+        lemmas=_judgement_lemmas(spark, sf_dir) if lemmas else None,
+        extra=["line_no", "esci_label"],
+    )
+
+
+def _processed_table(spark: SparkSession, sf_dir: str, lemmas: bool = False) -> DataFrame:
+    """The processed data set as a written table, as the steps after the build expect it."""
+    label = "processed-lemmas" if lemmas else "processed"
+    return _written(spark, sf_dir, label, lambda: _processed(spark, sf_dir, lemmas))
+
+
+def _predictions(spark: SparkSession, sf_dir: str, lemmas: bool = False) -> DataFrame:
+    kind = "judgements-lemmas" if lemmas else "judgements"
+    models = experiment.rankers(_index(spark, sf_dir, kind))
+    test = _processed_table(spark, sf_dir, lemmas).where("split = 'test'")
     return predict_models(models, test, order=TIES)
 
 
@@ -339,6 +391,19 @@ def esci_build(spark, sf_dir):
     return _processed(spark, sf_dir)
 
 
+@query
+def esci_build_lemmas(spark, sf_dir):
+    return _processed(spark, sf_dir, lemmas=True)
+
+
+@query
+def esci_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    tables.write_processed(_processed(spark, sf_dir), path, fmt="csv")
+    back = tables.read_processed(spark, path, fmt="csv")
+    return back.withColumn("line_no", F.col("line_no").cast("int"))
+
+
 @query
 def esci_label_counts(spark, sf_dir):
     return profile.value_counts(_examples(spark, sf_dir), "esci_label")
@@ -394,6 +459,17 @@ def predictions(spark, sf_dir):
     return _rounded(_predictions(spark, sf_dir), 4, "predicted_score")
 
 
+@query
+def predictions_lemmas(spark, sf_dir):
+    return _rounded(_predictions(spark, sf_dir, lemmas=True), 4, "predicted_score")
+
+
+@query
+def ndcg_summary_lemmas(spark, sf_dir):
+    scored = materialize(_predictions(spark, sf_dir, lemmas=True), "predictions")
+    return evaluate(scored, 10, ties=TIES)
+
+
 @query
 def ndcg_queries(spark, sf_dir):
     scored = materialize(_predictions(spark, sf_dir), "predictions")

@@ -2,11 +2,14 @@
 
 A written table cuts the lineage and survives the loss of executors. The folder is the
 one the session names in ``spark.checkpoint.dir``. Only a local session without that
-setting gets a temporary folder of its own.
+setting gets a temporary folder of its own, which goes when Python ends. All tables of a
+session lie in one folder there; ``clear`` deletes it when they are no longer used.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,12 +27,24 @@ def scratch_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tallyrank-")
+        folder = tempfile.mkdtemp(prefix="tallyrank-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_roots[context.applicationId] = folder
     return _local_roots[context.applicationId]
 
 
+def session_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tallyrank-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all scratch tables of this session; results that read them end with them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyrank import schemas
 
@@ -16,17 +17,36 @@ PANDAS_MISSING_WORDS = (
 )
 
 
+# RFC 4180: a quote inside a quoted cell is doubled, and such a cell may hold line feeds.
+# Blanks belong to the cell. A file with line feeds in cells cannot be split, so a CSV table
+# of many files is read in parallel, a single file in one task.
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` in its types, whatever integer or text types the file has."""
+    schemas.require_columns(df, schema.fieldNames())
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 def read_examples(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.EXAMPLES).parquet(path)
+    return _typed(spark.read.parquet(path), schemas.EXAMPLES)
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PRODUCTS).parquet(path)
+    return _typed(spark.read.parquet(path), schemas.PRODUCTS)
 
 
 def read_sources(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file with a header and unknown columns; every column is read as a string."""
-    return spark.read.option("header", True).csv(path)
+    # An empty cell is missing, a quoted empty one is the empty text.
+    return spark.read.options(**_CSV, multiLine=True, nullValue="\0").csv(path)
 
 
 def _check_format(fmt: str) -> None:
@@ -44,7 +64,7 @@ def read_processed(
     """
     _check_format(fmt)
     if fmt == "csv":
-        header = spark.read.option("header", True).csv(path)
+        header = read_sources(spark, path)
         schemas.require_columns(header, schemas.PROCESSED.fieldNames())
         kinds = {f.name: f.dataType for f in schemas.PROCESSED.fields}
         df = header.select(*[F.col(c).cast(kinds.get(c, "string")) for c in header.columns])
@@ -65,6 +85,6 @@ def write_processed(
     _check_format(fmt)
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**_CSV).csv(path)
     else:
         writer.parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import struct
 import re
 
 from tallyrank.functions.text import STOPWORDS
@@ -54,18 +55,37 @@ class Corpus:
         return total
 
 
+def _key(score: float) -> float:
+    """The score as a 32-bit float, which is what rankings compare."""
+    return struct.unpack("f", struct.pack("f", score))[0]
+
+
 def top(scores: dict[int, float], n: int, ascending_ties: bool = False):
     sign = 1 if ascending_ties else -1
-    ordered = sorted(scores.items(), key=lambda kv: (-round(kv[1], 6), sign * kv[0]))
+    ordered = sorted(scores.items(), key=lambda kv: (-_key(kv[1]), sign * kv[0]))
     return [(i + 1, doc, round(score, 4)) for i, (doc, score) in enumerate(ordered[:n])]
 
 
 def ndcg(rows: list[tuple[float, float | None]], k: int) -> float:
-    """``rows``: (predicted, relevance) in table order; later rows win ties."""
-    if any(rel is None for _, rel in rows):
+    """``rows``: (predicted, relevance) in table order; later rows win ties.
+
+    By definition: what a ranking gains, over what the best of all rankings gains, and the
+    best one is found by swapping neighbours as long as that helps.
+    """
+
+    def gain(labels):
+        return sum(label / math.log2(place + 1) for place, label in enumerate(labels[:k], 1))
+
+    labels = [label for _, label in rows]
+    if None in labels:
         return 0.0
-    order = sorted(range(len(rows)), key=lambda i: (-rows[i][0], -i))[:k]
-    best = sorted((rel for _, rel in rows), reverse=True)[:k]
-    dcg = sum(rows[i][1] / math.log2(r + 2) for r, i in enumerate(order))
-    idcg = sum(rel / math.log2(r + 2) for r, rel in enumerate(best))
-    return dcg / idcg if idcg > 0 else 0.0
+    best, swapped = list(labels), True
+    while swapped:
+        swapped = False
+        for i in range(len(best) - 1):
+            if best[i] < best[i + 1]:
+                best[i : i + 2] = best[i + 1], best[i]
+                swapped = True
+    numbered = [(_key(score), i) for i, (score, _) in enumerate(rows)]
+    mine = [labels[i] for _, i in sorted(numbered, reverse=True)]
+    return gain(mine) / gain(best) if gain(best) > 0 else 0.0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyrank.functions import weights
 from tallyrank.operators import corpus, profile
-from tallyrank.operators.index import CorpusIndex
+from tallyrank.operators.index import CorpusIndex, bucket_count
 from tallyrank.operators.sampling import sample_rows
 
 DOCS = [(1, "red shoe red"), (2, "blue shoe"), (3, "green hat box tall"), (4, ""), (5, None)]
@@ -77,7 +77,7 @@ def test_unknown_variants_are_refused(index):
 
 def test_collection_lookup_takes_words_literally(spark, index):
     words = spark.createDataFrame([("shoe",), ("shoes",)], "term string")
-    got = corpus.collection_lookup(index.postings, words).collect()
+    got = corpus.collection_lookup(index.terms, index.stats, words).collect()
     assert {tuple(r) for r in got} == {("shoe", 2, 2 / 9), ("shoes", 0, 0.0)}
 
 
@@ -131,6 +131,27 @@ def test_profile_and_counts(spark):
     assert [r["k"] for r in profile.head(df, 1, ["k"]).collect()] == [1]
 
 
+def test_duplicates_with_null_keys(spark):
+    rows = [(None, "a"), (None, "a"), (None, None), (None, None), (1, None), (2, "b")]
+    df = spark.createDataFrame(rows, "k int, v string")
+    got = profile.duplicated(df, ["k", "v"]).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows[:4]))
+
+
+def test_term_statistics(index):
+    row = {r["term"]: r for r in index.terms.collect()}["red"]
+    assert (row["df"], row["cf"], row["max_tf"]) == (1, 2, 2)
+    assert row["max_share"] == pytest.approx(2 / 3)
+
+
+@pytest.mark.parametrize("docs,tokens", [(0, 0), (10, 100), (10**11, 10**14), (10, 10**15)])
+def test_bucket_numbers_are_legal(docs, tokens):
+    n = bucket_count(docs, tokens, 8, 100_000)
+    assert 8 <= n <= 100_000
+    if docs == 10**11:
+        assert n == 100_000
+
+
 def test_duplicates_with_a_hot_key(spark):
     hot = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),

@@ -128,3 +128,9 @@ def test_a_query_with_most_candidates_is_cut_before_the_shuffle(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 4
     assert got.where("query_id = -1").first()["ndcg"] == pytest.approx(1.0)
+
+
+def test_small_predictions_keep_their_order(spark):
+    groups = {1: [(4e-7, 1.0), (3e-7, 0.0), (1e-7, 0.0)]}
+    (row,) = ndcg_per_query(_frame(spark, groups)).collect()
+    assert row["ndcg"] == pytest.approx(1.0)

@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from tallyrank.functions.text import STOPWORDS
-from tallyrank.operators import lemma
+from tallyrank.operators import lemma, skew
 from tallyrank.operators.index import CorpusIndex
 from tallyrank.operators.rankers import BM25Ranker
 
@@ -91,3 +92,43 @@ def test_ranking_with_lemmas_equals_brute_force(spark, lemmas, passes, broadcast
         query = _apply(brute.split(text), passes)
         for d, t in tokens.items():
             assert scores.get((q, d), 0.0) == pytest.approx(model.bm25(query, t))
+
+
+def test_a_form_listed_twice_counts_once(spark):
+    rows = [("axes", "axe"), ("axes", "axis"), ("boxes", "box")]
+    lemmas = spark.createDataFrame(rows, "form string, lemma string")
+    docs = spark.createDataFrame([(1, "axes box"), (2, "")], "doc_id long, text string")
+    index = CorpusIndex.fit(docs, lemmas=lemmas)
+    assert {r["doc_id"]: r["dl"] for r in index.doc_stats.collect()} == {1: 2, 2: 0}
+    queries = spark.createDataFrame([(0, "axes")], "query_id long, query string")
+    asked = docs.withColumn("query_id", F.lit(0).cast("long"))
+    scored = BM25Ranker(index).score_docs(asked, queries).collect()
+    assert len(scored) == 2
+
+
+@pytest.mark.parametrize("forms", [3, 400])
+def test_dropped_forms_do_not_count_as_length(spark, forms):
+    lemmas = spark.createDataFrame(
+        [(f"thes{i}", "these") for i in range(forms)] + [("these", "the"), ("axes", "axe")],
+        "form string, lemma string",
+    )
+    text = " ".join(f"thes{i}" for i in range(forms)) + " axes wood"
+    docs = spark.createDataFrame([(1, text), (2, "axe"), (3, "")], "doc_id long, text string")
+    index = CorpusIndex.fit(docs, lemmas=lemmas, passes=3)
+    assert {r["doc_id"]: r["dl"] for r in index.doc_stats.collect()} == {1: 2, 2: 1, 3: 0}
+    queries = spark.createDataFrame([(0, "axe")], "query_id long, query string")
+    asked = docs.withColumn("query_id", F.lit(0).cast("long"))
+    ranker = BM25Ranker(index)
+    got = {r["doc_id"]: r["predicted_score"] for r in ranker.score_docs(asked, queries).collect()}
+    want = {r["doc_id"]: r["score"] for r in ranker.score_all("axe").collect()}
+    assert got == pytest.approx(want)
+
+
+def test_lemmas_beyond_the_broadcast_limit(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    rows = [(i, "boxes boxes word" if i % 3 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lemmas = spark.createDataFrame([("boxes", "box")], "form string, lemma string")
+    index = CorpusIndex.fit(docs, lemmas=lemmas, n_buckets=4)
+    assert {r["term"]: r["cf"] for r in index.terms.collect()} == {"box": 400, "word": 200}
+    assert index.doc_stats.where("dl = 0").count() == 100

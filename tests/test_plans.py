@@ -74,6 +74,24 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
     assert all(scratch.scratch_root(spark) in f for f in table.inputFiles())
 
 
-def test_every_query_reads_the_given_tables(spark, sf_dir):
-    for name in ("tokens_normalize", "clean_pages", "bm25_topk", "esci_build"):
-        assert registry.queries()[name](spark, sf_dir).inputFiles()
+@pytest.mark.parametrize("name", sorted(registry.queries()))
+def test_every_query_reads_a_table_and_runs_no_python(spark, sf_dir, name):
+    df = registry.queries()[name](spark, sf_dir)
+    plan = _plan(df)
+    if name != "idf_curve":  # its rows are numbers up to the size of the table
+        assert df.inputFiles()
+    assert "EvalPython" not in plan and "MapIn" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_collection_counts_come_from_the_terms(spark, sf_dir):
+    plan = _plan(registry.queries()["collection_tf"](spark, sf_dir))
+    assert "/terms" in plan and "/postings" not in plan
+
+
+def test_clear_deletes_the_scratch_tables_of_the_session(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "session_folder", lambda _: f"{tmp_path}/session")
+    table = scratch.materialize(spark.range(3), "numbers")
+    assert table.count() == 3
+    scratch.clear(spark)
+    assert not (tmp_path / "session").exists()

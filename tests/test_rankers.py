@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyrank.operators.index import CorpusIndex
-from tallyrank.operators.rankers import BM25Ranker, TfidfRanker, score_variants
+from tallyrank.operators.rankers import BM25Ranker, TfidfRanker, score_variants, top_documents
 
 WORDS = [f"w{i}" for i in range(12)]
 
@@ -209,3 +209,21 @@ def test_unknown_settings(case):
         TfidfRanker(index, "boolean", "max")
     with pytest.raises(ValueError):
         BM25Ranker(index).rank(query_df, ties="random")
+
+
+def test_small_scores_keep_their_order(spark):
+    filler = " ".join(["pad"] * 99_999)
+    docs = [(1, "red red red " + filler * 1), (2, "red " + filler)] + [(i, "pad") for i in range(3, 6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    ranker = TfidfRanker(CorpusIndex.fit(df))
+    scores = {r["doc_id"]: r["score"] for r in ranker.score("red").collect()}
+    assert 0 < scores[2] < scores[1] < 1e-4
+    assert [r["doc_id"] for r in ranker.rank("red", 1).collect()] == [1]
+    tiny = spark.createDataFrame([(0, 1, 3.7e-7), (0, 2, 1.2e-7)], "query_id long, doc_id long, score double")
+    assert [r["doc_id"] for r in top_documents(tiny, 1).collect()] == [1]
+
+
+def test_scores_that_differ_by_rounding_only_are_ties(spark):
+    rows = [(0, 1, 0.1 + 0.2), (0, 2, 0.3)]
+    df = spark.createDataFrame(rows, "query_id long, doc_id long, score double")
+    assert [r["doc_id"] for r in top_documents(df, 1).collect()] == [2]
