@@ -26,6 +26,8 @@ from tallyrank.functions import text as text_fn
 from tallyrank.functions import weights
 from tallyrank.operators import corpus, lemma
 from tallyrank.operators.skew import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
     broadcast_size,
     fits_broadcast,
     hot_keys,
@@ -38,6 +40,9 @@ from tallyrank.sources.scratch import materialize, scratch_path
 # postings are sorted in one task. Both spill where a bucket is larger.
 DOCS_PER_BUCKET = 50_000
 TOKENS_PER_BUCKET = 20_000_000
+# Queries that are ranked in one pass: with the documents of a bucket they bound the number of
+# sums a task holds (20 million; more spill).
+QUERIES_PER_BATCH = 400
 
 _INFO_SCHEMA = "tokenizer string, id_type string, n_buckets int, lemma_rows long"
 
@@ -318,6 +323,39 @@ class CorpusIndex:
             pushed,
         )
 
+    def batches(self, terms: QueryTerms) -> list[QueryTerms]:
+        """``terms`` in parts of whole queries that each fit a broadcast.
+
+        A task then holds the sums of one bucket's documents for at most about
+        ``QUERIES_PER_BATCH`` queries, and postings are never shuffled: each part is a pass
+        over them. Only a single query too large for a broadcast is left to a shuffle join.
+        """
+        rows = BROADCAST_ROWS if self.broadcast_limit is None else max(1, self.broadcast_limit)
+        size = terms.n_bytes + 60 * terms.n_terms
+        n = max(
+            math.ceil(terms.n_queries / QUERIES_PER_BATCH),
+            math.ceil(terms.n_terms / rows),
+            math.ceil(size / BROADCAST_BYTES),
+        )
+        if n <= 1:
+            return [terms]
+        part = F.pmod(F.xxhash64("query_id"), F.lit(2 * n)).cast("int")
+        numbered = materialize(terms.rows.withColumn("_part", part), "query-terms")
+        sizes = numbered.groupBy("_part").agg(
+            F.countDistinct("query_id").alias("n_queries"),
+            F.count(F.lit(1)).alias("n_terms"),
+            F.sum(F.octet_length("term")).alias("n_bytes"),
+        )
+        return [
+            QueryTerms(
+                numbered.where(F.col("_part") == s["_part"]).drop("_part"),
+                s["n_queries"],
+                s["n_terms"],
+                s["n_bytes"],
+            )
+            for s in sorted(sizes.collect(), key=lambda s: s["_part"])  # a row per part
+        ]
+
     def match(self, terms: QueryTerms) -> DataFrame:
         """One row per query term and document that holds it."""
         postings = self.postings

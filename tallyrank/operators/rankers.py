@@ -7,6 +7,7 @@ becomes query 0.
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,7 +106,11 @@ class Ranker(ABC):
         the text of the surviving rows.
         """
         queries, terms = self._terms(queries)
-        ranked = top_documents(self._scores(terms), top_n, ties)
+        # Each part is cut to top_n rows per query before it meets the others.
+        parts = [
+            top_documents(self._scores(part), top_n, ties) for part in self.index.batches(terms)
+        ]
+        ranked = reduce(DataFrame.unionByName, parts)
         if pad_zero:
             ranked = top_documents(self._padded(ranked, queries, top_n, ties), top_n, ties)
         if positive_only:
@@ -235,6 +240,22 @@ def score_variants(
     return summed.select("query_id", "doc_id", F.inline(variants))
 
 
+def rank_variants(
+    index: CorpusIndex, rankers: dict[str, Ranker], queries: DataFrame, top_n: int = 5
+) -> DataFrame:
+    """(query_id, variant, rank, doc_id, score): the best documents by each of several rankers."""
+    window = Window.partitionBy("query_id", "variant").orderBy(*_rank_order("desc"))
+    scores = score_variants(index, rankers, queries)
+    ranked = scores.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top_n)
+    return ranked.select(
+        "query_id",
+        "variant",
+        F.col("rank").cast("long").alias("rank"),
+        "doc_id",
+        F.round("score", weights.SCORE_DIGITS).alias("score"),
+    )
+
+
 def score_candidates(
     rankers: dict[str, Ranker],
     candidates: DataFrame,

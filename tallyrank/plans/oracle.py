@@ -336,6 +336,12 @@ def queries() -> dict[str, str]:
     bm25 = _scores(f"qtf * {_bm25()}")
     padded = _scores("log10(1 + tf) * idf_standard")
     search = _scores("qtf * tf / dl * idf_smoothed")
+    sweep = f"""
+sweep AS (
+  SELECT query_id, doc_id, variant, sum(qtf * idf_bm25 *
+         (delta + tf * (k + 1) / (tf + k * (1 - b + b * dl / avgdl)))) AS score
+  FROM post JOIN terms USING (term) JOIN qt USING (term), stats, {_VARIANTS}
+  GROUP BY query_id, doc_id, variant)"""
     dup_keys = "count(*) OVER (PARTITION BY query_id, product_id) AS copies"
     order = "query_id, product_id, line_no, esci_label, small_version"
     example_columns = (
@@ -486,10 +492,17 @@ FROM lens LEFT JOIN scores USING (doc_id)""",
         "bm25_param_sweep": _with(
             _NORMALIZED,
             _QT,
-            select=f"""SELECT query_id, doc_id, variant, round(sum(qtf * idf_bm25 *
-       (delta + tf * (k + 1) / (tf + k * (1 - b + b * dl / avgdl)))), 4) AS score
-FROM post JOIN terms USING (term) JOIN qt USING (term), stats, {_VARIANTS}
-GROUP BY query_id, doc_id, variant""",
+            sweep,
+            select="SELECT query_id, doc_id, variant, round(score, 4) AS score FROM sweep",
+        ),
+        "bm25_param_sweep_topk": _with(
+            _NORMALIZED,
+            _QT,
+            sweep,
+            select="""SELECT query_id, variant, rank, doc_id, round(score, 4) AS score FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY query_id, variant ORDER BY score::FLOAT DESC, doc_id DESC) AS rank FROM sweep)
+WHERE rank <= 10""",
         ),
         "esci_build": _with(
             _EXAMPLES,

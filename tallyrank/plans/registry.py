@@ -12,7 +12,7 @@ from tallyrank.functions import weights
 from tallyrank.operators import corpus, lemma, profile
 from tallyrank.operators.evaluate import evaluate, ndcg_per_query, predict_models
 from tallyrank.operators.index import CorpusIndex
-from tallyrank.operators.rankers import BM25Ranker, TfidfRanker, score_variants
+from tallyrank.operators.rankers import BM25Ranker, TfidfRanker, rank_variants, score_variants
 from tallyrank.operators.sampling import sample_rows
 from tallyrank.plans import experiment, judgements
 from tallyrank.plans.dataset import build_dataset, vocabulary
@@ -320,15 +320,25 @@ def bm25_score_docs_lemmas(spark, sf_dir):
     return _scored(BM25Ranker(_index(spark, sf_dir, "lemmas")), spark, sf_dir)
 
 
-@query
-def bm25_param_sweep(spark, sf_dir):
-    index = _index(spark, sf_dir, "normalize")
-    variants = {
+def _bm25_variants(index: CorpusIndex) -> dict:
+    return {
         "bm25": BM25Ranker(index, delta=0.0),
         "bm25_plus": BM25Ranker(index),
         "k2_b50": BM25Ranker(index, k=2.0, b=0.5),
     }
-    return _rounded(score_variants(index, variants, _benchmark(spark, sf_dir)), 4, "score")
+
+
+@query
+def bm25_param_sweep(spark, sf_dir):
+    index = _index(spark, sf_dir, "normalize")
+    scores = score_variants(index, _bm25_variants(index), _benchmark(spark, sf_dir))
+    return _rounded(scores, 4, "score")
+
+
+@query
+def bm25_param_sweep_topk(spark, sf_dir):
+    index = _index(spark, sf_dir, "normalize")
+    return rank_variants(index, _bm25_variants(index), _benchmark(spark, sf_dir), 10)
 
 
 # -- labelled queries ------------------------------------------------------------------

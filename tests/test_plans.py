@@ -40,17 +40,22 @@ def test_rank_shuffles_the_cut_rows_only(index, bench_queries):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_no_plan_multiplies_tables(index, bench_queries):
+def test_batches_beyond_the_broadcast_limit_leave_postings_in_place(index, bench_queries):
     ranker = BM25Ranker(index)
     padded = _plan(ranker.rank(bench_queries, 5, pad_zero=True))
-    index.broadcast_limit = 0
+    want = ranker.rank(bench_queries, 5).collect()
+    index.broadcast_limit = 200
     try:
-        shuffled = _plan(ranker.rank(bench_queries, 5))
+        batched = ranker.rank(bench_queries, 5)
+        plan = _plan(batched)
+        got = batched.collect()
     finally:
         index.broadcast_limit = None
-    for plan in (padded, shuffled):
-        assert "Cartesian" not in plan and "NestedLoop" not in plan
-    assert "_salt" in shuffled and "SortMergeJoin" in shuffled
+    for text in (padded, plan):
+        assert "Cartesian" not in text and "NestedLoop" not in text
+    assert plan.count("Bucketed: true") > 5
+    assert "hashpartitioning(term" not in plan and "_salt" not in plan
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
 
 def test_single_query_filters_the_postings_scan(index):
