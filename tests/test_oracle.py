@@ -6,9 +6,10 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from tallyrank.plans import oracle, registry
 
-_QUERIES = contract.queries()
-_SQL = contract.oracle_sql()
+_QUERIES = registry.queries()
+_SQL = oracle.queries()
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +26,11 @@ def test_query_equals_sql(spark, sf_dir, con, name):
     assert compare.differences(_QUERIES[name](spark, sf_dir), con, _SQL[name]) == []
 
 
+def test_all_are_registered():
+    assert set(_QUERIES) <= set(contract.queries())
+    assert set(_SQL) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark, sf_dir):
     assert contract.entry(spark).count() > 0
