@@ -67,14 +67,18 @@ _OUT_ROLES = frozenset(
     "toolbar form".split()
 )
 _OUT_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
-    "comments consent cookie cookies disclaimer disqus footer gdpr menu menus modal nav navbar "
+    "ad adbox ads adsense adslot adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment "
+    "comments consent cookie cookiebar cookies disclaimer disqus footer gdpr masthead menu menus modal nav navbar "
     "navigation newsletter notice notices notification outbrain overlay pagination popup promo "
     "promoted promotion recommended related remark remarks replies reply respond share sharing "
     "sidebar signup social sponsor sponsored subscribe subscription taboola toolbar topbar "
     "widget".split()
 )
 
+_OUT_ENDINGS = ("sidebar", "footer", "navbar", "navigation", "comments", "banner")
+# Beside one of these names, a header is that of an article.
+_CONTENT_NAMES = frozenset("article body content entry main post story text".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
@@ -115,7 +119,12 @@ def _is_out(name: str, raw: str, in_article: bool) -> bool:
     if given.get("aria-hidden", "").lower() == "true":
         return True
     parts = _NAME_PARTS.findall(f"{given.get('class', '')} {given.get('id', '')}")
-    return name not in _ARTICLE and any(p.lower() in _OUT_NAMES for p in parts)
+    if name in _ARTICLE:
+        return False
+    parts = {p.lower() for p in parts}
+    if "header" in parts and not in_article and not parts & _CONTENT_NAMES:
+        return True
+    return any(p in _OUT_NAMES or p.endswith(_OUT_ENDINGS) for p in parts)
 
 
 def blocks_of(page: str) -> list[Block]:

@@ -14,6 +14,68 @@ from documents
 window same as (partition by {_LOWER})
 """
 
+# CRC-32 byte by byte: a table of 256 from eight rounds of shifts, then one step per byte.
+_ROUNDS = ",\n".join(
+    f"round{k} as (select i, xor(x >> 1, (x & 1) * 3988292384) as x from round{k - 1})"
+    for k in range(1, 9)
+)
+_DIGIT = "instr('0123456789ABCDEF', digits[(2 * i + {})::bigint]) - 1"
+SHARDING = f"""
+with round0 as (select i, i::ubigint as x from range(256) t(i)),
+{_ROUNDS},
+crc_table as (select list(x order by i) as steps from round8),
+texts as (
+    select doc_id, hex(encode(coalesce(text, ''))) as digits from documents
+), sized as (
+    select doc_id, (length(digits) / 2)::bigint + 16 as size,
+           xor(4294967295::ubigint, list_reduce(
+               list_transform(range(0, (length(digits) / 2)::bigint), lambda i:
+                   (16 * ({_DIGIT.format(1)}) + {_DIGIT.format(2)})::ubigint),
+               lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)::bigint]),
+               4294967295::ubigint))::bigint as text_crc32
+    from texts, crc_table
+), placed as (
+    select *, sum(size) over (order by doc_id) - size as first_byte, sum(size) over () as total
+    from sized
+), sharded as (
+    select *, ((2 * first_byte + size) * 40 // (2 * total))::int as shard from placed
+)
+select doc_id, size, text_crc32, 'bytes' as law, shard,
+       row_number() over (partition by shard order by doc_id) - 1 as slot,
+       null::int as grown_shard
+from sharded
+"""
+
+_BENCH_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+# Every window of every item against every window of that size of every document.
+DECONTAMINATION = f"""
+with items as (
+    select item_id::varchar as name, words, least(10, len(words)) as size
+    from (select item_id, {_BENCH_WORDS} as words from benchmark) where len(words) > 0
+), item_windows as (
+    select distinct name, size, list_slice(words, start, start + size - 1) as win
+    from (select *, unnest(range(1, len(words) - size + 2)) as start from items)
+), docs as (
+    select doc_id, {_BENCH_WORDS} as words from documents
+), doc_windows as (
+    select doc_id, size, start, list_slice(words, start, start + size - 1) as win
+    from (select doc_id, words, size, unnest(range(1, len(words) - size + 2)) as start
+          from docs, (select distinct size from item_windows))
+), hits as (
+    select doc_id, name, size, start from doc_windows join item_windows using (size, win)
+), places as (
+    select doc_id, count(distinct place) as n_hit
+    from (select doc_id, unnest(range(start, start + size)) as place from hits) group by doc_id
+), names as (
+    select doc_id, count(*) as n_items, string_agg(name, ',' order by name) as names
+    from (select distinct doc_id, name from hits) group by doc_id
+)
+select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join places using (doc_id) left join names using (doc_id)
+"""
+
 # Base 32 of a SHA-1: its 160 bits in 32 groups of five.
 WARC = """
 with payloads as (
@@ -79,6 +141,8 @@ group by conv_id
 def queries() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
+        "op2_sharding": SHARDING,
         "op4_warc": WARC,
+        "op9_decontamination": DECONTAMINATION,
         "op10_chat_formatting": CHAT_FORMATTING,
     }

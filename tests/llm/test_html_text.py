@@ -28,6 +28,12 @@ CASES = {
         "<div class='cookie-notice'>We use cookies on this site and you will like them as we do.</div>",
         f"{PROSE}\n\nYes.",
     ),
+    "names": (
+        f"<div class='site-header'>{PROSE}</div><div class='entry-header'><h1>Head</h1></div><div id=post>"
+        f"<p>{PROSE}</p></div><div class=leftSidebar>{PROSE}</div><div id='ad_1'>{PROSE}</div>"
+        f"<div class=pagefooter>{PROSE}</div>",
+        f"Head\n\n{PROSE}",
+    ),
     "links": (f"<p>{PROSE}</p><p><a href=1>one two</a> <a href=2>three</a></p>", PROSE),
     "references": ("<article><p>a&amp;b &lt;x&gt; &eacute;&#233;&#xE9; &copy &unknown; &am</p></article>",
                    "a&b <x> ééé © &unknown; &am"),

@@ -74,6 +74,14 @@ def test_lexicon_is_learned_and_applied(labelled):
     assert not {r["doc_id"] for r in kept.collect()} & bad
 
 
+def test_labelled_rows_are_chosen_by_hash_beyond_the_bound(labelled):
+    docs, labels, bad = labelled
+    some = toxicity.train(docs, labels, ~toxicity.held_out(), max_labelled=150)
+    again = toxicity.train(docs.repartition(2), labels.repartition(2), ~toxicity.held_out(), max_labelled=150)
+    assert some.weights == again.weights
+    assert some.weights != toxicity.train(docs, labels, ~toxicity.held_out()).weights
+
+
 def test_without_labels_the_starting_list_scores(labelled):
     docs, labels, _ = labelled
     model = toxicity.train(docs, labels.limit(0), ~toxicity.held_out())
