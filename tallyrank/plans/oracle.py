@@ -441,6 +441,7 @@ FROM post JOIN terms USING (term)""",
             select="SELECT query_id, doc_id, round(score, 4) AS score FROM scores",
         ),
         "bm25_topk": _with(_NORMALIZED, _QT, bm25, _top(5), select=_TOP_COLUMNS),
+        "bm25_topk_reused": _with(_NORMALIZED, _QT, bm25, _top(5), select=_TOP_COLUMNS),
         "bm25_topk_reloaded": _with(_NORMALIZED, _QT, bm25, _top(5), select=_TOP_COLUMNS),
         "bm25_score_all": _with(
             _NORMALIZED,
@@ -581,6 +582,13 @@ ORDER BY md5(concat_ws('|', '42', doc_id::VARCHAR)), doc_id LIMIT 100""",
             *lemmatized,
             select="""SELECT model, query_id, product_id, round(predicted_score, 4) AS predicted_score,
        relevance_score, line_no, esci_label FROM predictions""",
+        ),
+        "esci_build_from_files": _with(
+            _EXAMPLES,
+            _PRODUCTS,
+            _PROCESSED,
+            select="""SELECT query_id, product_id, clean_query, clean_product_document,
+       relevance_score, split, esci_label FROM processed""",
         ),
         "esci_build_lemmas": _with(
             _EXAMPLES,
