@@ -28,29 +28,36 @@ _SPECIAL |= {n: "" for n in range(0xFDD0, 0xFDF0)}
 _SPECIAL |= {plane << 16 | low: "" for plane in range(17) for low in (0xFFFE, 0xFFFF)}
 
 
-def _table(pairs: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+def _sql(value) -> str:
+    if isinstance(value, dict):
+        return "map(" + ", ".join(f"{_sql(k)}, {_sql(v)}" for k, v in value.items()) + ")"
+    if isinstance(value, int):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _lookup_by_first(pairs: dict[str, str], name: Column) -> Column:
-    """Look ``name`` up among those with its first letter only."""
-    by_first: dict[str, dict[str, str]] = {}
+def _by_first(pairs: dict[str, str]) -> dict[str, dict[str, str]]:
+    """The table in parts by first letter, since a map is searched from its start."""
+    parts: dict[str, dict[str, str]] = {}
     for key, text in pairs.items():
-        by_first.setdefault(key[0], {})[key] = text
-    found = F.lit(None).cast("string")
-    tables = _nested(by_first)
-    return F.coalesce(tables[F.left(name, F.lit(1))][name], found)
+        parts.setdefault(key[0], {})[key] = text
+    return parts
 
 
-def _nested(tables: dict[str, dict[str, str]]) -> Column:
-    return F.create_map(*[x for k, t in tables.items() for x in (F.lit(k), _table(t))])
+# As SQL text a table is one call to build and is folded into one literal.
+_CLOSED_SQL, _OPEN_SQL = _sql(_by_first(_CLOSED)), _sql(_by_first(_OPEN))
+_SPECIAL_SQL = _sql(_SPECIAL)
+
+
+def _lookup(table: str, name: Column) -> Column:
+    return F.expr(table)[F.left(name, F.lit(1))][name]
 
 
 def _from_number(number: Column) -> Column:
     """The character of a code point; beyond Unicode and for surrogates the replacement."""
     packed = F.unhex(F.lpad(F.hex(number), 8, "0"))
     wrong = (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
-    special = _table(_SPECIAL)[number]
+    special = F.expr(_SPECIAL_SQL)[number]
     return F.when(wrong, F.lit("�")).otherwise(
         F.coalesce(special, F.decode(packed, "UTF-32"))
     )
@@ -73,12 +80,12 @@ def _replace(part: Column) -> Column:
 
     number = F.concat(F.lit("0"), _digits(part, _DECIMAL, 8)).cast("int")
     hex_number = F.conv(F.concat(F.lit("0"), _digits(part, _HEX, 7)), 16, 10).cast("int")
-    whole = F.when(named != "", _lookup_by_first(_CLOSED, named))
+    whole = F.when(named != "", _lookup(_CLOSED_SQL, named))
     return (
         F.when(decimal != "", F.concat(_from_number(number), rest(decimal)))
         .when(hexadecimal != "", F.concat(_from_number(hex_number), rest(hexadecimal)))
         .when(whole.isNotNull(), F.concat(whole, rest(named)))
-        .when(prefix != "", F.concat(_lookup_by_first(_OPEN, prefix), rest(prefix)))
+        .when(prefix != "", F.concat(_lookup(_OPEN_SQL, prefix), rest(prefix)))
         .otherwise(F.concat(F.lit("&"), part))
     )
 
