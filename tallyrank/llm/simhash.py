@@ -166,8 +166,7 @@ def near_duplicates(
     # A node is 8 bytes that become fifty rows: dealt to all tasks, not by size.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nodes = prints.select("fp").distinct().repartition(tasks)
-    close = materialize(_not_alone(nodes, segment_bits), "close")
-    roots = components(_links(close))
+    roots = components(_links(_not_alone(nodes, segment_bits)))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root")
     )
