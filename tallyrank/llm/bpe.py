@@ -10,7 +10,7 @@ edge is a single space between two printable ASCII characters: the tokenizer's s
 pattern starts a word there whatever stands further away, and merges never cross words. So
 the tokens are exactly those of encoding the whole text at once.
 
-Which chunks are shared reaches the tasks as a Bloom filter of at most ``MAX_FILTER_BYTES``.
+Which chunks are shared reaches the tasks as a Bloom filter of ``FILTER_BYTES``.
 A false hit sends a chunk that occurs once the way of the shared ones, with the same result;
 the more chunks there are for the filter's size, the more go that way. Documents without a
 shared chunk are never shuffled.
@@ -42,7 +42,7 @@ MIN_CHUNK, MAX_CHUNK = 64, 4096
 _MASK = 0xFF  # a cut every 256 bytes on average, beyond the smallest size
 _ROLL = 8  # bytes that decide about a cut
 _GEAR = np.array([xxhash.xxh32_intdigest(bytes([i])) for i in range(256)], dtype=np.uint32)
-MAX_FILTER_BYTES = 16 << 20
+FILTER_BYTES = 8 << 20
 _FILTER_HASHES = 4
 _FLUSH = 200_000
 # The splitting pattern of byte-level BPE, a fixed value.
@@ -119,10 +119,12 @@ def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes[:, :1] + k * hashes[:, 1:]) & np.uint64(bits - 1)
 
 
-def build_filter(hashes: DataFrame, expected: int, max_bytes: int = MAX_FILTER_BYTES) -> np.ndarray:
-    """Bloom filter over the column hash, put together from the words that tasks set."""
-    bits = 1 << max(10, (max(1, expected) * 16 - 1).bit_length())
-    bits = min(bits, 1 << (max_bytes * 8).bit_length() - 1)
+def build_filter(hashes: DataFrame, size: int = FILTER_BYTES) -> np.ndarray:
+    """Bloom filter of ``size`` bytes (a power of two) over the column hash.
+
+    It is put together from the 64-bit words that tasks set, each sent once.
+    """
+    bits = size * 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(bits // 64, dtype=np.uint64)
@@ -362,11 +364,9 @@ def encode(
     spark = docs.sparkSession
     docs = docs.drop("ids", "decoded")
     keep = [c for c in keep or docs.columns if c not in ("ids", "decoded")]
-    shared = materialize(
-        count_chunks(docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))), "chunks"
-    )
+    shared = count_chunks(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")))
     spec_ = spark.sparkContext.broadcast(spec)
-    words = spark.sparkContext.broadcast(build_filter(shared, shared.count()))
+    words = spark.sparkContext.broadcast(build_filter(shared))
 
     def whole():
         codec = codec_of(spec_.value)

@@ -60,17 +60,16 @@ def test_filter_knows_its_members(spark):
     rng = random.Random(8)
     hashes = [rng.randbytes(16) for _ in range(2_000)]
     df = spark.createDataFrame([(bytearray(h),) for h in hashes[:1_000]], "hash binary").repartition(3)
-    for limit in (bpe.MAX_FILTER_BYTES, 256):
-        words = bpe.build_filter(df, 1_000, limit)
-        assert words.nbytes <= limit or words.nbytes <= 128
+    for size in (bpe.FILTER_BYTES, 256):
+        words = bpe.build_filter(df, size)
+        assert words.nbytes == size
         assert bpe.in_filter(words, hashes[:1_000]).all()
-    assert bpe.in_filter(bpe.build_filter(df, 1_000), hashes[1_000:]).mean() < 0.05
+    assert bpe.in_filter(bpe.build_filter(df), hashes[1_000:]).mean() < 0.05
 
 
-@pytest.mark.parametrize("limit", [bpe.MAX_FILTER_BYTES, 128])
-def test_encoding_equals_the_library(spark, spec, library, limit, monkeypatch):
-    monkeypatch.setattr(bpe, "MAX_FILTER_BYTES", limit)
-    monkeypatch.setattr(bpe.build_filter, "__defaults__", (limit,))
+@pytest.mark.parametrize("size", [bpe.FILTER_BYTES, 128])
+def test_encoding_equals_the_library(spark, spec, library, size, monkeypatch):
+    monkeypatch.setattr(bpe.build_filter, "__defaults__", (size,))
     passage = "".join(_texts(30, seed=3))
     texts = [*_texts(60, seed=2), None, "", "short", "short", passage * 40]
     texts += [f"{t or ''}{passage}{t or ''}" for t in texts[:25]] + [passage, passage]
