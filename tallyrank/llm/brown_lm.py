@@ -1,26 +1,31 @@
 """Class-based bigram language model after Brown: classes by exchange clustering.
 
 A word's probability is that of its class after the class before it, times that of the word
-in its class. Three passes over the training texts, each summed inside tasks before anything
-is shuffled, gather all the counts:
+in its class. Every word of the training texts has a class that exchange has found. Passes
+over the texts, each summed inside tasks before anything is shuffled, gather the counts:
 
 * word counts of the whole vocabulary, a table that grows with the texts;
-* bigram counts over the ``CLUSTERED`` most frequent words, each rarer word standing for its
-  tail class (a hash of its ending). The exchange algorithm then moves one word at a time to
-  the class where the likelihood of these counts is highest, until few words move. The matrix
-  it works on has the size of the parameter, whatever the corpus;
-* sums of both per class.
-
-Transitions are smoothed by Witten-Bell towards the class frequencies. Each tail class keeps
-the share that words seen once have in it for unseen words; so a text's probabilities sum to
-one over the vocabulary and one unseen word per tail class.
-
-When texts are scored, the ``HEAD`` most frequent words are known to every task (a bound on
-what is broadcast); all rarer words of a text meet the vocabulary table in a join.
+* bigram counts over the ``CLUSTERED`` most frequent words, each rarer word standing for a
+  hash of its ending. The exchange algorithm moves one word at a time to the class where the
+  likelihood of these counts is highest, until few words move;
+* for each rarer word, how often it stands before and after each class, a table that grows
+  with the vocabulary. Each of these words goes to the class where the same likelihood is
+  highest, the more frequent ones first: band by band, the sums of the classes are broadcast
+  and tasks place the words of the band, whose counts then join the sums;
+* bigrams of classes. Words beyond the ``HEAD`` most frequent, which every task knows (a bound
+  on what is broadcast), get their classes by joining the vocabulary table.
+
+Only words that no training text holds have a hashed class, that of their ending. The words
+seen once stand for them: their bigrams are those of the hashed class of their ending too.
+Transitions are smoothed by Witten-Bell towards the class frequencies. A text's probabilities
+sum to one over the vocabulary and one unseen word per hashed class.
+
+When texts are scored, the rarer words of a text meet the vocabulary table in a join, and the
+transitions beside them are added once their classes are known.
 
 Defined results: a null or empty text is one end token. Texts may repeat and null identifiers
 train. With no training text every token has probability one in the base model, and the
-class model knows tail classes only.
+class model knows hashed classes only.
 """
 
 from __future__ import annotations
@@ -31,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +52,8 @@ HEAD_WORD_BYTES = 64
 ROUNDS = 8
 END = b" "  # no word holds a space
 _FLUSH = 400_000  # words a task counts before it sends them on
+_FLUSH_PAIRS = 2_000_000  # and neighbours
+_SLICE = 100_000  # rows a task sends at once
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -60,7 +68,7 @@ def tail_class(word: bytes) -> int:
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, tail, n) of all tokens; ``texts`` has the one column text."""
+    """(word, n) of all tokens; ``texts`` has the one column text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
@@ -70,10 +78,9 @@ def count_words(texts: DataFrame) -> DataFrame:
             batch = pa.RecordBatch.from_arrays(
                 [
                     pa.array(words, pa.binary()).cast(pa.string()),
-                    pa.array([tail_class(w) for w in words], pa.int32()),
                     pa.array([counts[w] for w in words], pa.int64()),
                 ],
-                names=["word", "tail", "n"],
+                names=["word", "n"],
             )
             counts.clear()
             return batch
@@ -86,8 +93,8 @@ def count_words(texts: DataFrame) -> DataFrame:
         if counts:
             yield out()
 
-    parts = texts.mapInArrow(run, "word string, tail int, n long")
-    return parts.groupBy("word", "tail").agg(F.sum("n").alias("n"))
+    parts = texts.mapInArrow(run, "word string, n long")
+    return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def head_of(vocabulary: DataFrame, limit: int = HEAD) -> list[tuple[bytes, int]]:
@@ -197,14 +204,305 @@ def exchange(counts: np.ndarray, clustered: int, classes: int, rounds: int = ROU
     return of
 
 
+def _tallied(held: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different numbers and how often each is there, in slices."""
+    if held:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        for at in range(0, len(keys), _SLICE):
+            yield keys[at : at + _SLICE], n[at : at + _SLICE]
+
+
+def _strings(words: dict[bytes, int], at: np.ndarray) -> pa.Array:
+    return pa.array(list(words), pa.binary()).take(pa.array(at)).cast(pa.string())
+
+
+def count_contexts(texts: DataFrame, class_of, classes: int) -> DataFrame:
+    """(word, found) of all words without a class in ``class_of`` (broadcast).
+
+    ``found`` has (key, n): key c for class c before the word, width + c for class c after it,
+    2 * width for the word itself after it. Words without a class count as their hashed one.
+    """
+    width = classes + TAIL_CLASSES
+    span = 2 * width + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = class_of.value
+        ids: dict[bytes, int] = {}
+        held: list[np.ndarray] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for keys, n in _tallied(held):
+                yield pa.RecordBatch.from_arrays(
+                    [_strings(ids, keys // span), pa.array((keys % span).astype(np.int32)), pa.array(n)],
+                    names=["word", "key", "n"],
+                )
+            ids.clear()
+            held.clear()
+
+        for batch in batches:
+            for text in batch.column(0):
+                words = tokens(text.as_buffer().to_pybytes() if text.is_valid else None)
+                get = known.get
+                here = np.array([get(w, -1) for w in words], dtype=np.int64)
+                rare = np.nonzero(here < 0)[0]
+                if not len(rare):
+                    continue
+                numbers = []
+                for at in rare.tolist():
+                    word = words[at]
+                    number = ids.get(word)
+                    if number is None:
+                        number = ids[word] = len(ids) * TAIL_CLASSES + tail_class(word)
+                    numbers.append(number)
+                number = np.array(numbers, dtype=np.int64)
+                same = np.full(len(here), -1, dtype=np.int64)
+                same[rare] = number
+                here[rare] = classes + number % TAIL_CLASSES
+                start = number // TAIL_CLASSES * span
+                before, after = rare - 1, (rare + 1) % len(here)  # a text follows an end
+                left = np.where(same[before] == number, 2 * width, here[before])
+                held.append(start + left)
+                held.append((start + width + here[after])[same[after] != number])
+                size += 2 * len(rare)
+                if len(ids) > _FLUSH or size > _FLUSH_PAIRS:
+                    yield from out()
+                    size = 0
+        yield from out()
+
+    parts = texts.mapInArrow(run, "word string, key int, n long")
+    summed = parts.repartition("word").groupBy("word", "key").agg(F.sum("n").alias("n"))
+    # At most 2 * width + 1 rows of a word.
+    return summed.groupBy("word").agg(F.collect_list(F.struct("key", "n")).alias("found")).select(
+        "word", F.col("found.key").alias("keys"), F.col("found.n").alias("counts")
+    )
+
+
+def _h(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def best_classes(left, right, both, own, pairs, classes: int) -> np.ndarray:
+    """The class in which each word raises the likelihood most, as in ``exchange``.
+
+    ``left`` and ``right`` count the classes before and after a word (rows are words), ``both``
+    the word after itself. The word still counts in ``pairs`` as its hashed class ``own``.
+    """
+    gain = np.zeros((len(own), classes))
+    for counts, other, sums in ((right, left, pairs), (left, right, pairs.T)):
+        row, column = np.nonzero(counts)
+        if not len(row):
+            continue
+        n = counts[row, column][:, None]
+        base = sums[:classes, column].T
+        mine = column == own[row]
+        base[mine] -= other[row[mine], :classes]  # the word is taken out of its class first
+        starts = np.nonzero(np.diff(row, prepend=-1))[0]
+        gain[row[starts]] += np.add.reduceat(_h(base + n) - _h(base), starts, axis=0)
+    corner = np.diag(pairs)[:classes]
+    after, before, twice = right[:, :classes], left[:, :classes], both[:, None]
+    gain += _h(corner + after + before + twice) + _h(corner)
+    gain -= _h(corner + after) + _h(corner + before)
+    rows, columns = pairs.sum(axis=1)[:classes], pairs.sum(axis=0)[:classes]
+    gain -= _h(rows + (right.sum(axis=1) + both)[:, None]) - _h(rows)
+    gain -= _h(columns + (left.sum(axis=1) + both)[:, None]) - _h(columns)
+    return gain.argmax(axis=1)
+
+
+def _place(contexts: DataFrame, pairs: np.ndarray, classes: int) -> DataFrame:
+    """``contexts`` with the best class of each word as ``tail``, its hashed one as ``hashed``."""
+    width = classes + TAIL_CLASSES
+    shared = contexts.sparkSession.sparkContext.broadcast(pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2_000):
+                batch = whole.slice(at, 2_000)
+                keys = batch.column("keys")
+                size = np.diff(keys.offsets.to_numpy())
+                row = np.repeat(np.arange(batch.num_rows), size)
+                table = np.zeros((batch.num_rows, 2 * width + 1))
+                table[row, keys.flatten().to_numpy()] = batch.column("counts").flatten().to_numpy()
+                hashed = np.array([tail_class(w.encode()) for w in batch.column("word").to_pylist()])
+                best = best_classes(
+                    table[:, :width], table[:, width:-1], table[:, -1], classes + hashed, sums, classes
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(best.astype(np.int32)), pa.array(hashed.astype(np.int32))],
+                    names=[*batch.schema.names, "tail", "hashed"],
+                )
+
+    return contexts.mapInArrow(
+        run, "word string, keys array<int>, counts array<long>, n long, tail int, hashed int"
+    )
+
+
+def _moved(pairs: np.ndarray, placed: DataFrame, classes: int) -> np.ndarray:
+    """``pairs`` after the placed words went from their hashed classes to their best ones."""
+    width = classes + TAIL_CLASSES
+    pairs = pairs.copy()
+    each = placed.select("tail", "hashed", F.explode(F.arrays_zip("keys", "counts")).alias("at"))
+    sums = each.groupBy("tail", "hashed", "at.keys").agg(F.sum("at.counts").alias("n"))
+    for new, hashed, key, n in sums.collect():  # of classes, hashed classes and keys
+        for c, sign in ((classes + hashed, -1), (new, 1)):
+            if key == 2 * width:
+                pairs[c, c] += sign * n
+            elif key < width:
+                pairs[key, c] += sign * n
+            else:
+                pairs[c, key - width] += sign * n
+    return pairs
+
+
+def place_all(contexts: DataFrame, pairs: np.ndarray, classes: int, bands: list[int]) -> DataFrame:
+    """(word, n, tail, hashed) of all words in ``contexts``; ``bands`` are falling least counts."""
+    width = classes + TAIL_CLASSES
+    found = F.arrays_zip("keys", "counts")
+    # Each occurrence follows one word, which may be the same.
+    first = F.filter(found, lambda x: (x["keys"] < width) | (x["keys"] == 2 * width))
+    n = F.aggregate(first, F.lit(0).cast("long"), lambda total, x: total + x["counts"])
+    contexts = materialize(contexts.withColumn("n", n), "contexts")
+    made, above = None, None
+    for least in [*bands, 0]:
+        band = contexts.where(F.col("n") >= least)
+        if above is not None:
+            band = band.where(F.col("n") < above)
+        placed = _place(band, pairs, classes)
+        if least:
+            placed = materialize(placed, "placed")
+            pairs = _moved(pairs, placed, classes)
+        placed = placed.select("word", "n", "tail", "hashed")
+        made, above = placed if made is None else made.unionByName(placed), least
+    return made
+
+
+def _code(unit: int, hashed: int, n: int) -> int:
+    """Class of a word, and the hashed class it stands for in one that was seen once."""
+    return unit * (TAIL_CLASSES + 1) + (hashed + 1 if n == 1 else 0)
+
+
+def count_pairs(texts: DataFrame, code_of, vocabulary: DataFrame, classes: int) -> np.ndarray:
+    """Bigrams of classes; ``code_of`` (broadcast) has the codes of the head words."""
+    width = classes + TAIL_CLASSES
+    codes = classes * (TAIL_CLASSES + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = code_of.value
+        dense = np.zeros(width * width, dtype=np.int64)
+        ids: dict[bytes, int] = {}
+        held: list[np.ndarray] = []
+        couples: list[np.ndarray] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            names = ["left", "right", "code", "n"]
+            for keys, n in _tallied(held):
+                words, side = _strings(ids, keys // (2 * codes)), keys // codes % 2
+                none = pa.nulls(len(keys), pa.string())
+                after = pa.array(side == 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pc.if_else(after, words, none),
+                        pc.if_else(after, none, words),
+                        pa.array((keys % codes).astype(np.int32)),
+                        pa.array(n),
+                    ],
+                    names=names,
+                )
+            for keys, n in _tallied(couples):
+                columns = [_strings(ids, keys >> 32), _strings(ids, keys & 0xFFFFFFFF)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.nulls(len(keys), pa.int32()), pa.array(n)], names=names
+                )
+            ids.clear()
+            held.clear()
+            couples.clear()
+
+        for batch in batches:
+            for text in batch.column(0):
+                words = tokens(text.as_buffer().to_pybytes() if text.is_valid else None)
+                get = known.get
+                after = np.array([get(w, -1) for w in words], dtype=np.int64)
+                before = np.roll(after, 1)  # a text follows an end
+                (a, once_a), (b, once_b) = (np.divmod(x, TAIL_CLASSES + 1) for x in (before, after))
+                full = (before >= 0) & (after >= 0)
+                np.add.at(dense, a[full] * width + b[full], 1)
+                for left, right, at in (
+                    (a, classes - 1 + once_b, full & (once_b > 0)),
+                    (classes - 1 + once_a, b, full & (once_a > 0)),
+                    (classes - 1 + once_a, classes - 1 + once_b, full & (once_a > 0) & (once_b > 0)),
+                ):
+                    if at.any():
+                        np.add.at(dense, left[at] * width + right[at], 1)
+                rare = np.nonzero(after < 0)[0]
+                if not len(rare):
+                    continue
+                number = np.array([ids.setdefault(words[i], len(ids)) for i in rare.tolist()], dtype=np.int64)
+                numbers = np.full(len(after), -1, dtype=np.int64)
+                numbers[rare] = number
+                following = np.roll(after, -1)[rare]
+                alone = before[rare] >= 0
+                held.append((number * 2 * codes + before[rare])[alone])
+                held.append((number * 2 * codes + codes + following)[following >= 0])
+                couples.append(((np.roll(numbers, 1)[rare] << 32) | number)[~alone])
+                size += 2 * len(rare)
+                if len(ids) > _FLUSH or size > _FLUSH_PAIRS:
+                    yield from out()
+                    size = 0
+        yield from out()
+        at = np.nonzero(dense)[0]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(len(at), pa.string()),
+                pa.nulls(len(at), pa.string()),
+                pa.array(at.astype(np.int32)),
+                pa.array(dense[at]),
+            ],
+            names=["left", "right", "code", "n"],
+        )
+
+    parts = texts.mapInArrow(run, "left string, right string, code int, n long")
+    rows = materialize(parts.groupBy("left", "right", "code").agg(F.sum("n").alias("n")), "pairs")
+
+    def units(unit: Column, hashed: Column, once: Column) -> Column:
+        return F.when(once, F.array(unit, hashed + classes)).otherwise(F.array(unit))
+
+    of = F.floor(F.col("code") / (TAIL_CLASSES + 1)).cast("int")
+    seen = F.col("code") % (TAIL_CLASSES + 1)
+    given = units(of, seen - 1, seen > 0)
+    words = vocabulary.select("word", units(F.col("tail"), F.col("hashed"), F.col("n") == 1).alias("units"))
+    left, right = F.col("left").isNotNull(), F.col("right").isNotNull()
+    firsts, seconds = words.toDF("left", "a"), words.toDF("right", "b")
+    met = (
+        rows.where(~left & right).join(seconds, "right").select(given.alias("a"), "b", "n")
+        .unionByName(rows.where(left & ~right).join(firsts, "left").select("a", given.alias("b"), "n"))
+        .unionByName(rows.where(left & right).join(firsts, "left").join(seconds, "right").select("a", "b", "n"))
+    )
+    joined = met.select(F.explode("a").alias("a"), "b", "n").select("a", F.explode("b").alias("b"), "n")
+    known_pairs = rows.where(~left & ~right).select(
+        F.floor(F.col("code") / width).cast("int").alias("a"), (F.col("code") % width).alias("b"), "n"
+    )
+    pairs = np.zeros((width, width))
+    for a, b, n in known_pairs.unionByName(joined).groupBy("a", "b").agg(F.sum("n")).collect():
+        pairs[a, b] = n
+    return pairs
+
+
 class BrownModel:
-    """What tasks need: head words, classes, logarithms of transitions and emissions."""
+    """What tasks need: head words, classes, logarithms of transitions and emissions.
+
+    ``tail_scale`` is to be added to log10 of a word's count, ``tail_unseen`` is the logarithm of
+    an unseen word; both have all classes from ``first_tail`` on, which is the first of all.
+    """
 
-    def __init__(self, head, n_tokens, n_types, unit_class, pairs, singles, clustered):
+    first_tail = 0
+
+    def __init__(self, head, n_tokens, n_types, pairs, totals, classes, end_class):
         self.n_tokens, self.n_types = n_tokens, n_types
         self.denominator = n_tokens + n_types + 1
+        self.hashed_from, self.end_class = classes, end_class
         total = len(pairs)
-        first_tail = total - TAIL_CLASSES
         sums = pairs.sum(axis=0)
         shares = (sums + 1.0) / (sums.sum() + total)
         kinds = np.maximum(1, (pairs > 0).sum(axis=1))
@@ -212,50 +510,47 @@ class BrownModel:
         self.transitions = np.log10(
             (pairs + kinds[:, None] * shares) / (after + kinds)[:, None]
         )
-        seen = sums[first_tail:]
-        spare = np.maximum(1.0, singles)  # of each tail class, for unseen words
-        self.tail_scale = -np.log10(seen + spare)  # to be added to log10 of a word's count
-        self.tail_unseen = np.log10(spare) + self.tail_scale
-        self.first_tail = first_tail
-        self.index = {word: i for i, (word, _) in enumerate(head)}
-        n = np.array([c for _, c in head], dtype=float)
-        self.classes = np.array(
-            [
-                unit_class[i] if i < clustered else first_tail + tail_class(word)
-                for i, (word, _) in enumerate(head)
-            ],
-            dtype=np.int64,
-        )
+        self.tail_scale = np.zeros(total)
+        self.tail_scale[:classes] = -np.log10(np.maximum(1.0, totals))
+        self.tail_unseen = np.full(total, -np.inf)
+        self.tail_unseen[classes:] = 0.0
+        self.index = {word: i for i, (word, _, _) in enumerate(head)}
+        n = np.array([c for _, c, _ in head], dtype=float)
+        self.classes = np.array([c for _, _, c in head], dtype=np.int64)
         self.base = np.log10((n + 1) / self.denominator) if len(n) else n
-        scale = np.concatenate([-np.log10(np.maximum(1.0, sums[:first_tail])), self.tail_scale])
-        self.emissions = np.log10(np.maximum(n, 1)) + scale[self.classes] if len(n) else n
-        at = self.index.get(END)
-        self.end_class = int(self.classes[at]) if at is not None else first_tail + tail_class(END)
+        self.emissions = np.log10(n) + self.tail_scale[self.classes] if len(n) else n
 
     def score(self, text: bytes | None):
-        """n_tokens, known, base and score of the head words; counts of the others."""
+        """n_tokens, known, base and score of the head words; counts of the others, and the
+        transitions beside them: two numbers each, classes or -1 - place among the others."""
         words = tokens(text)
         get = self.index.get
         found = [get(w, -1) for w in words]
         at = np.array(found, dtype=np.int64)
         head = at[at >= 0]
-        classes = np.empty(len(at), dtype=np.int64)
-        classes[at >= 0] = self.classes[head] if len(head) else 0
-        rest: Counter[bytes] = Counter()
+        after = np.empty(len(at), dtype=np.int64)
+        after[at >= 0] = self.classes[head] if len(head) else 0
+        rest: dict[bytes, int] = {}
+        times: list[int] = []
         for i in np.nonzero(at < 0)[0].tolist():
-            word = words[i]
-            rest[word] += 1
-            classes[i] = self.first_tail + tail_class(word)
-        before = np.concatenate([[self.end_class], classes[:-1]])
-        score = float(self.transitions[before, classes].sum())
+            place = rest.setdefault(words[i], len(rest))
+            if place == len(times):
+                times.append(0)
+            times[place] += 1
+            after[i] = -1 - place
+        before = np.concatenate([[self.end_class], after[:-1]])
+        known = (before >= 0) & (after >= 0)
+        score = float(self.transitions[before[known], after[known]].sum())
         base = 0.0
         if len(head):
             score += float(self.emissions[head].sum())
             base = float(self.base[head].sum())
         others = [
-            {"word": w.decode(), "tail": tail_class(w), "times": n} for w, n in rest.items()
+            {"word": w.decode(), "unseen": self.hashed_from + tail_class(w), "times": n}
+            for w, n in zip(rest, times)
         ]
-        return len(words), len(head), base, score, others
+        steps = np.stack([before[~known], after[~known]], axis=1).ravel().astype(np.int32)
+        return len(words), len(head), base, score, others, steps
 
 
 def train(
@@ -265,11 +560,12 @@ def train(
     head_limit: int = HEAD,
     rounds: int = ROUNDS,
 ) -> tuple[BrownModel, DataFrame]:
-    """The model and the vocabulary table (word, tail, n); ``texts`` has the column text."""
+    """The model and the vocabulary table: word, n, its class as ``tail``, its hashed class as
+    ``hashed``; ``texts`` has the column text."""
     spark = texts.sparkSession
-    vocabulary = materialize(count_words(texts), "vocabulary")
-    sums = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).first()
-    head = head_of(vocabulary, head_limit)
+    counted = materialize(count_words(texts), "words")
+    sums = counted.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).first()
+    head = head_of(counted, head_limit)
     clustered = min(clustered, len(head))
     units = clustered + TAIL_CLASSES
     unit_of = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(head[:clustered])})
@@ -278,15 +574,39 @@ def train(
         counts[row["a"], row["b"]] = row["n"]
     classes = max(1, min(classes, clustered))
     unit_class = exchange(counts, clustered, classes, rounds)
-    total = classes + TAIL_CLASSES
-    member = np.zeros((units, total))
+    width = classes + TAIL_CLASSES
+    member = np.zeros((units, width))
     member[np.arange(units), unit_class] = 1.0
     pairs = member.T @ counts @ member
-    singles = np.zeros(TAIL_CLASSES)
-    for row in vocabulary.where("n = 1").groupBy("tail").count().collect():
-        singles[row["tail"]] = row["count"]
+
+    first = [
+        (w.decode(), n, int(c), tail_class(w)) for (w, n), c in zip(head[:clustered], unit_class)
+    ]
+    class_of = spark.sparkContext.broadcast({w.encode(): c for w, _, c, _ in first})
+    # Words up to eight times as many as before, up to the end of the head, and all others.
+    bands, size = [], 8 * clustered
+    while clustered and size < len(head):
+        bands.append(head[size][1])
+        size *= 8
+    bands = sorted({n for n in bands if n > 1}, reverse=True)
+    placed = place_all(count_contexts(texts, class_of, classes), pairs, classes, bands)
+    schema = "word string, n long, tail int, hashed int"
+    vocabulary = materialize(placed.unionByName(spark.createDataFrame(first, schema)), "vocabulary")
+
+    totals = np.zeros(classes)
+    for c, n in vocabulary.groupBy("tail").agg(F.sum("n")).collect():
+        totals[c] = n
+    known: list[tuple[bytes, int, int, int]] = []
+    if head:
+        # As many rows as the head has: it holds all short words of its least count.
+        rows = vocabulary.where((F.octet_length("word") <= HEAD_WORD_BYTES) & (F.col("n") >= head[-1][1]))
+        known = [(r["word"].encode(), r["n"], r["tail"], r["hashed"]) for r in rows.collect()]
+    code_of = spark.sparkContext.broadcast({w: _code(c, k, n) for w, n, c, k in known})
+    pairs = count_pairs(texts, code_of, vocabulary, classes)
+    end = vocabulary.where(F.col("word") == END.decode()).first()
+    end_class = end["tail"] if end else classes + tail_class(END)
     model = BrownModel(
-        head, sums["n"] or 0, sums["types"], unit_class, pairs, singles, clustered
+        [x[:3] for x in known], sums["n"] or 0, sums["types"], pairs, totals, classes, end_class
     )
     return model, vocabulary
 
@@ -302,12 +622,13 @@ _LOCAL = [
             T.StructType(
                 [
                     T.StructField("word", T.StringType()),
-                    T.StructField("tail", T.IntegerType()),
+                    T.StructField("unseen", T.IntegerType()),
                     T.StructField("times", T.LongType()),
                 ]
             )
         ),
     ),
+    T.StructField("steps", T.ArrayType(T.IntegerType())),
 ]
 
 
@@ -319,18 +640,16 @@ def score(
     shared = spark.sparkContext.broadcast(model)  # HEAD words and class matrices
     local = map_texts(docs, text_col, lambda: shared.value.score, _LOCAL, [id_col])
     local = materialize(local.withColumn("row_id", F.monotonically_increasing_id()), "local")
-    words = local.select("row_id", F.inline("others"))
-
-    def by_tail(values: np.ndarray) -> Column:
-        return F.array(*[F.lit(float(v)) for v in values])[F.col("tail")]
+    words = local.select("row_id", F.posexplode("others")).select("row_id", "pos", "col.*")
 
+    scale = F.array(*[F.lit(float(v)) for v in model.tail_scale])
     n = F.coalesce("n", F.lit(0))
-    emission = F.when(n > 0, F.log10(n) + by_tail(model.tail_scale)).otherwise(
-        by_tail(model.tail_unseen)
-    )
+    emission = F.when(n > 0, F.log10(n) + scale[F.col("tail")]).otherwise(0.0)  # one unseen word a class
     # Adaptive execution splits a word that many texts share.
-    met = words.join(vocabulary.select("word", "n"), "word", "left").select(
+    met = words.join(vocabulary.select("word", "n", "tail"), "word", "left").select(
         "row_id",
+        "pos",
+        F.coalesce("tail", "unseen").alias("unit"),
         F.when(n > 0, F.col("times")).otherwise(0).alias("known"),
         (F.col("times") * F.log10((n + 1) / F.lit(float(model.denominator)))).alias("base"),
         (F.col("times") * emission).alias("score"),
@@ -339,16 +658,39 @@ def score(
         F.sum("known").alias("more_known"),
         F.sum("base").alias("more_base"),
         F.sum("score").alias("more_score"),
+        F.collect_list(F.struct("pos", "unit")).alias("found"),
     )
     zero = F.lit(0)
-    return local.join(rest, "row_id", "left").select(
+    added = local.join(rest, "row_id", "left").select(
         F.col(id_col).alias("id"),
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", zero)).alias("n_known"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
         (F.col("local_score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
+        "steps",
+        F.col("found.pos").alias("pos"),
+        F.col("found.unit").alias("unit"),
     )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        transitions = shared.value.transitions
+        for batch in batches:
+            scores = batch.column("score").to_numpy(zero_copy_only=False).copy()
+            for i in range(batch.num_rows):
+                steps = batch.column("steps")[i].values.to_numpy()
+                if len(steps):
+                    pos = batch.column("pos")[i].values.to_numpy()
+                    classes = np.empty(len(pos), dtype=np.int32)
+                    classes[pos] = batch.column("unit")[i].values.to_numpy()
+                    ends = np.where(steps >= 0, steps, classes[np.maximum(-1 - steps, 0)])
+                    scores[i] += transitions[ends[::2], ends[1::2]].sum()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(scores)], names=batch.schema.names[:5]
+            )
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return added.mapInArrow(run, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+
 
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows that never train: CRC-32 of the identifier as text, modulo 7, is 2."""

@@ -170,6 +170,71 @@ def test_model_is_a_distribution_that_beats_the_base(corpus):
     assert held[0] > held[1]
 
 
+def test_rare_words_get_the_class_of_their_neighbours(spark):
+    rng = random.Random(8)
+    kinds = [[f"{rng.randrange(10**6)}{k}{i}" for i in range(300)] for k in "nv"]
+    often = [[f"{k}often{i}" for i in range(10)] for k in "nv"]
+
+    def word(k):
+        return rng.choice(often[k] if rng.random() < 0.6 else kinds[k])
+
+    rows = [(i, " ".join(w for _ in range(20) for w in ("the", word(0), word(1)))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for head in (brown_lm.HEAD, 60):
+        model, vocabulary = brown_lm.train(docs.select("text"), clustered=22, classes=4, head_limit=head)
+        of = {r["word"]: r["tail"] for r in vocabulary.collect()}
+        nouns, verbs = (Counter(of[w] for w in kind if w in of) for kind in kinds)
+        assert sum((nouns & verbs).values()) <= 0.02 * sum(nouns.values())
+        assert sum(of[w] < 4 for w in of) == len(of)  # no hashed class for a seen word
+        got = {r["id"]: r["score"] for r in brown_lm.score(docs, model, vocabulary, "text", "doc_id").collect()}
+        counts = Counter(w for _, t in rows for w in [*t.split(), " "])
+        totals = Counter()
+        for w, n in counts.items():
+            totals[of[w]] += n
+        for i, text in rows[:20]:
+            words = [" ", *text.split(), " "]
+            want = sum(model.transitions[of[a], of[b]] for a, b in zip(words, words[1:]))
+            want += sum(math.log10(counts[w] / totals[of[w]]) for w in words[1:])
+            assert got[i] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("head", [brown_lm.HEAD, 20])
+def test_class_bigrams_count_all_words(corpus, head):
+    docs, rows = corpus
+    model, vocabulary = brown_lm.train(docs.select("text"), clustered=20, classes=6, head_limit=head)
+    spark = docs.sparkSession
+    found = {r["word"]: r for r in vocabulary.collect()}
+    want = np.zeros((6 + brown_lm.TAIL_CLASSES,) * 2)
+    units = {w: [r["tail"]] + [6 + r["hashed"]] * (r["n"] == 1) for w, r in found.items()}
+    for _, text in rows:
+        words = [" ", *(text or "").lower().split(), " "]
+        for a, b in zip(words, words[1:]):
+            for x in units[a]:
+                for y in units[b]:
+                    want[x, y] += 1
+    codes = {w.encode(): brown_lm._code(r["tail"], r["hashed"], r["n"]) for w, r in found.items() if w.encode() in model.index}
+    got = brown_lm.count_pairs(docs.select("text"), spark.sparkContext.broadcast(codes), vocabulary, 6)
+    assert (got == want).all()
+
+
+def test_best_class_has_the_highest_likelihood():
+    rng = np.random.default_rng(2)
+    counts, classes = rng.poisson(0.8, (40, 40)).astype(float), 4
+    width = classes + brown_lm.TAIL_CLASSES
+    of = np.array([i % classes if i < 20 else classes + i % brown_lm.TAIL_CLASSES for i in range(40)])
+    member = np.eye(width)[of]
+    pairs, right, left = member.T @ counts @ member, counts @ member, counts.T @ member
+    for w in range(20, 40):
+        both = counts[w, w]
+        before, after = left[w].copy(), right[w].copy()
+        before[of[w]] -= both
+        after[of[w]] -= both
+        got = brown_lm.best_classes(before[None], after[None], np.array([both]), of[w : w + 1], pairs, classes)
+        # The highest likelihood of all classes, each tried in the whole matrix.
+        tried = [_likelihood(np.pad(counts, (0, 1)), np.append(np.where(np.arange(40) == w, c, of), width - 1)) for c in range(classes)]
+        assert got[0] == int(np.argmax(tried))
+
+
 def test_no_training_text(corpus):
     docs, rows = corpus
     model, vocabulary = brown_lm.train(docs.limit(0).select("text"))
