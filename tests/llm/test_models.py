@@ -74,6 +74,30 @@ def test_lexicon_is_learned_and_applied(labelled):
     assert not {r["doc_id"] for r in kept.collect()} & bad
 
 
+def test_one_toxic_word_gives_no_beginning(spark):
+    rng = random.Random(9)
+    plain = ["".join(rng.choices("bcdfgaeiou", k=7)) for _ in range(150)]
+    rows = [(i, " ".join(rng.choices(plain, k=30) + ["pathetic", "zorgat", "zorgun"][i % 15 // 5 :][:1] * (i % 5 == 0))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, ~toxicity.held_out())
+    learned = set(model.weights) - set(toxicity.INSULTS)
+    assert learned == {"zorg*"}
+    score = lambda t: model.score(model.raw(t.encode()))
+    assert score("we followed the path along the river to the pathway") < toxicity.THRESHOLD
+    assert score("what a pathetic thing") >= toxicity.THRESHOLD
+    assert score("you zorgoth") >= toxicity.THRESHOLD
+
+
+def test_beginnings_of_equal_strength_are_long_and_take_no_places(spark):
+    texts = ["disgusting", "disgustingly", "worthless", "vileness"]
+    counts = Counter(e for w in texts for e in toxicity.entries_of([w]) for _ in range(20))
+    rows = [(e, n, 0) for e, n in counts.items()]
+    counts = spark.createDataFrame(rows, "entry string, toxic long, clean long")
+    for most in (3, 5_000):
+        assert set(toxicity._strongest(counts, 80, 400, most)) == {"disgus*", "worthless", "vileness"}
+
+
 def test_labelled_rows_are_chosen_by_hash_beyond_the_bound(labelled):
     docs, labels, bad = labelled
     some = toxicity.train(docs, labels, ~toxicity.held_out(), max_labelled=150)
