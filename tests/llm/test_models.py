@@ -74,6 +74,23 @@ def test_lexicon_is_learned_and_applied(labelled):
     assert not {r["doc_id"] for r in kept.collect()} & bad
 
 
+def test_only_verified_copies_are_one_training_text(spark):
+    rng = random.Random(10)
+    some = lambda n: " ".join("".join(rng.choices("aeioulnrst", k=6)) for _ in range(n))
+    phrase = min((some(3) for _ in range(3_000)), key=lambda t: toxicity.shingles(t.encode())[0])
+    rows = [(i, f"{some(20)} {phrase} {some(20)}") for i in range(60)]  # they share the smallest shingle
+    copied = some(60)
+    rows += [(100 + i, f"{copied} {i}") for i in range(9)] + [(200, None), (201, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = [(i, int(i % 6 == 0)) for i in range(60)] + [(100 + i, int(i > 2)) for i in range(9)] + [(200, 0), (201, 0)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    trains = toxicity.F.lit(True)
+    texts, chosen = toxicity._training_texts(docs, labels, "text", "doc_id", "toxic", trains, 1_000)
+    want = {i: int(i % 6 == 0) for i in range(60)} | {100: 1, 200: 0}
+    assert {r["id"]: r["toxic"] for r in chosen.collect()} == want
+    assert texts.count() == len(want)
+
+
 def test_one_toxic_word_gives_no_beginning(spark):
     rng = random.Random(9)
     plain = ["".join(rng.choices("bcdfgaeiou", k=7)) for _ in range(150)]
