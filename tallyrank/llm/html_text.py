@@ -5,8 +5,9 @@ text in menus, footers, side bars, notices, adverts, forms or comments (by eleme
 class name) and blocks that are mostly links are out; long blocks with the share of stop
 words that prose has are in. All others, short ones above all, stay undecided. The second
 pass lets every undecided block inherit the label of its nearest decided neighbours in the
-same part of the page. Inside an article element undecided blocks with no decided neighbour
-are in; outside they are out if the page has an article or any block that is in.
+same part of the page, where cut-outs by element, role or class name inside an article do not
+count. Inside an article element undecided blocks with no decided neighbour are in; outside
+they are out if the page has an article or any block that is in. Prose outside articles stays in.
 
 Defined results: a null or empty page has the empty text. Character references are decoded
 in text, cut or unknown ones stay as written. An unclosed comment, script or tag runs to the
@@ -213,6 +214,11 @@ def _first_pass(block: Block) -> str:
     return ""
 
 
+def _tells(block: Block) -> bool:
+    """Whether neighbours inherit its label: a cut-out in an article says nothing about them."""
+    return bool(block.label) and not (block.out and block.article)
+
+
 def _second_pass(blocks: list[Block]) -> None:
     has_article = any(b.article and b.label != "out" for b in blocks)
     some_in = has_article or any(b.label == "in" for b in blocks)
@@ -220,21 +226,19 @@ def _second_pass(blocks: list[Block]) -> None:
     last: dict[int, int] = {}  # by article: the nearest decided block so far
     for i, b in enumerate(blocks):
         before.append(last.get(b.article))
-        if b.label:
+        if _tells(b):
             last[b.article] = i
     following: dict[int, int] = {}
     inherited: dict[int, str] = {}
     for i in range(len(blocks) - 1, -1, -1):
         b = blocks[i]
-        if b.label:
+        if _tells(b):
             following[b.article] = i
+        if b.label:
             continue
         left, right = before[i], following.get(b.article)
         near = [j for j in (left, right) if j is not None]
-        if b.article:
-            # A cut-out inside an article says nothing about the text beside it.
-            inherited[i] = "in"
-        elif b.heading and right is not None:
+        if b.heading and right is not None:
             inherited[i] = blocks[right].label
         elif near:
             # The nearer neighbour decides; at equal distance either may let the block in.
@@ -242,14 +246,10 @@ def _second_pass(blocks: list[Block]) -> None:
             labels = {blocks[j].label for j in near if abs(i - j) == least}
             inherited[i] = "in" if "in" in labels else "out"
         else:
-            inherited[i] = "out" if some_in else "in"
+            inherited[i] = "in" if b.article or not some_in else "out"
     for i, label in inherited.items():
         blocks[i].label = label
-    if has_article:
-        for b in blocks:
-            if not b.article:
-                b.label = "out"
-    elif not some_in and all(b.label == "out" for b in blocks):
+    if not some_in and all(b.label == "out" for b in blocks):
         for b in blocks:  # a page of short lines only: all that no rule put out
             if not b.out and b.link_chars <= MAX_LINK_SHARE * len(b.text):
                 b.label = "in"

@@ -62,6 +62,17 @@ def test_short_blocks_follow_their_neighbours():
     assert main_text(page) == f"{PROSE}\n\nnear prose\n\n{PROSE}"
 
 
+def test_story_in_a_div_beside_article_teasers():
+    page = f"<div><p>{PROSE}</p><p>{PROSE} Two.</p></div><article><h3>Teaser</h3></article>"
+    assert html_text.main_text(page).startswith(f"{PROSE}\n\n{PROSE} Two.")
+
+
+def test_short_blocks_in_an_article_follow_their_neighbours():
+    links = "<p><a href=/>one</a> <a href=/>two</a></p>"
+    page = f"<article><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p>{links}<p>Tags</p>{links}</article>"
+    assert html_text.main_text(page) == f"{PROSE}\n\nShort.\n\n{PROSE}"
+
+
 def test_long_page_in_linear_time():
     page = "<article>" + f"<p>{PROSE}</p>" * 20_000 + "</article>"
     assert main_text(page).count("\n\n") == 19_999
