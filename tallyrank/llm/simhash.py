@@ -33,6 +33,7 @@ from tallyrank.sources.scratch import materialize
 
 SHINGLE = 3
 SEGMENT_BITS = 2
+MAX_DISTANCE = 2  # bits; the grid steps and the one-bit values are made for it
 SEED = 42
 _AT_ONCE = 1 << 15  # shingles whose bits are unpacked together
 
@@ -157,11 +158,15 @@ def near_duplicates(
     id_col: str = "doc_id",
     shingle: int = SHINGLE,
     segment_bits: int = SEGMENT_BITS,
+    max_distance: int = MAX_DISTANCE,
 ) -> DataFrame:
     """One row per row: id, fp, component_id, component_size, kept, row, digest.
 
-    ``segment_bits`` (2, 4, 8 or 16) only sets how sharp the lower bound is.
+    ``segment_bits`` (2, 4, 8 or 16) only sets how sharp the lower bound is. The links
+    hold for a ``max_distance`` of two bits alone; others raise an error.
     """
+    if max_distance != MAX_DISTANCE:
+        raise ValueError(f"near-duplicates are found at {MAX_DISTANCE} bits, not {max_distance}")
     prints = _fingerprints(docs, text_col, id_col, shingle)
     # A node is 8 bytes that become fifty rows: dealt to all tasks, not by size.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -132,3 +132,10 @@ def test_places_do_not_repeat(spark):
     )
     steps = df.select("fp", F.explode(simhash._within_a_step(2)).alias("p")).where("p is not null")
     assert steps.count() == steps.distinct().count()
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3])
+def test_other_distances_are_refused(spark, distance):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="2 bits"):
+        simhash.near_duplicates(docs, max_distance=distance)
