@@ -14,6 +14,7 @@ from tallyrank.llm import (
     chat,
     decontaminate,
     exact_dedup,
+    fill_middle,
     html_text,
     sharding,
     simhash,
@@ -186,3 +187,19 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = fill_middle.transform(docs, keep=["doc_id"])
+    output, form = F.col("fim.output"), F.col("fim.form")
+    return cut.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(output, form), 256).alias("restored_sha256"),
+    )

@@ -137,6 +137,34 @@ from sized
 group by conv_id
 """
 
+_GROUP = "('0x' || substr(sha256('1:' || coalesce(doc_id::varchar, '')), {}, 8))::bigint"
+FILL_IN_MIDDLE = f"""
+with hashed as (
+    select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,
+           {_GROUP.format(1)} as h1, {_GROUP.format(9)} as h2,
+           {_GROUP.format(17)} as h3, {_GROUP.format(25)} as h4
+    from documents
+), cuts as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+           case when n = 0 or contains(text, '<P>') or contains(text, '<S>')
+                     or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+                when h4 % 100 < 20 then 'spm' else 'psm' end as form
+    from hashed
+), parts as (
+    select *, substr(text, 1, a) as prefix, substr(text, a + 1, b - a) as middle,
+           substr(text, b + 1) as suffix
+    from cuts
+)
+select doc_id, n, form,
+       case when form <> 'plain' then a end as prefix_chars,
+       case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then text
+              when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+"""
+
 
 def queries() -> dict[str, str]:
     return {
@@ -145,4 +173,5 @@ def queries() -> dict[str, str]:
         "op4_warc": WARC,
         "op9_decontamination": DECONTAMINATION,
         "op10_chat_formatting": CHAT_FORMATTING,
+        "op13_fill_in_middle": FILL_IN_MIDDLE,
     }

@@ -1,0 +1,73 @@
+"""Fill-in-middle: byte cuts against Python's own code points, forms, exact round trips."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from tallyrank.llm import fill_middle
+
+PIECES = ["a", "word ", "\n", "é", "ß", "汉", "字 ", "🙂", "\U0010ffff", "\0", "<", "P>", "<S", ">", "‍", " " * 9]
+
+
+def by_hand(doc_id, text):
+    text = text or ""
+    digits = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digits[i : i + 8], 16) for i in (0, 8, 16, 24))
+    n = len(text)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return n, "plain", None, None, text
+    prefix, middle, suffix = text[:a], text[a:b], text[b:]
+    if h4 % 100 < 20:
+        return n, "spm", a, b - a, f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", a, b - a, f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+@pytest.mark.parametrize("text", ["", "plain", "é", "aé汉🙂b", "🙂" * 50, "x" * 99 + "é"])
+def test_index_converts_both_ways(text):
+    raw = text.encode()
+    index = fill_middle.CutIndex(np.frombuffer(raw, dtype=np.uint8))
+    places = np.array([len(text[:i].encode()) for i in range(len(text) + 1)])
+    assert index.to_bytes(np.arange(len(text) + 1)).tolist() == places.tolist()
+    assert index.to_chars(places).tolist() == list(range(len(text) + 1))
+    assert len(index.byte_at) == sum(ord(c) > 127 for c in text)  # nothing else is recorded
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(13)
+    texts = ["".join(rng.choices(PIECES, k=rng.randrange(0, 40))) for _ in range(300)]
+    texts += [None, "", "x <P> y", "<M>", "é" * 400_000 + "<", "汉a" * 2_500_000, "x"]
+    found = [(i, t, f"o{i}") for i, t in enumerate(texts)]
+    return found + [found[3], found[3], (None, "null id é", "z"), (3, "other text", None)]
+
+
+def test_equals_python_code_points(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fim string").repartition(5)
+    cut = fill_middle.transform(docs)
+    assert cut.columns == ["doc_id", "text", "fim", "_fim"]  # a column of that name stays
+    got = cut.select("doc_id", "text", "_fim.*").collect()
+    want = [(i, t, *by_hand(i, t)) for i, t, _ in rows]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
+    assert {r["form"] for r in got} == {"plain", "psm", "spm"}
+
+
+def test_round_trip(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fim string")
+    cut = fill_middle.transform(docs, keep=["text"], name="cut")
+    back = cut.select("text", fill_middle.restore(cut["cut.output"], cut["cut.form"]).alias("back"))
+    assert back.where("back <> coalesce(text, '') or back is null").count() == 0
+
+
+def test_shares_and_empty_tables(spark):
+    ids = spark.range(4_000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    forms = dict(fill_middle.transform(ids).groupBy("fim.form").count().collect())
+    assert abs(forms["plain"] / 4_000 - 0.1) < 0.02 and abs(forms["spm"] / 3_600 - 0.2) < 0.03
+    none = fill_middle.transform(ids, plain_percent=0, suffix_first_percent=100)
+    assert [r[0] for r in none.select("fim.form").distinct().collect()] == ["spm"]
+    assert fill_middle.transform(ids.where("false")).count() == 0
