@@ -115,3 +115,14 @@ def pieces(batch: pa.RecordBatch, at: int, most: int = PIECE_BYTES) -> Iterator[
         end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
         yield batch.slice(start, end - start)
         start = end
+
+
+def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string or binary column without nulls, and its values' bounds in them."""
+    kind, (_, offsets, data) = column.type, column.buffers()
+    wide = pa.types.is_large_string(kind) or pa.types.is_large_binary(kind)
+    ends = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32)
+    ends = ends[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    if data is None or not len(column):
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyrank.llm.common import pieces, text_or_empty, unused_name
+from tallyrank.llm.common import flat_bytes, pieces, text_or_empty, unused_name
 
 SEED = 1
 PLAIN_PERCENT = 10
@@ -71,26 +71,12 @@ class CutIndex:
         return places - self.excess_before[np.searchsorted(self.byte_at, places, "left")]
 
 
-def _flat(column: pa.Array, offset_type: type) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a column without nulls, and where each value begins and the last ends."""
-    _, offsets, data = column.buffers()
-    ends = np.frombuffer(offsets, dtype=offset_type)[column.offset : column.offset + len(column) + 1]
-    if data is None:
-        return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
-    flat = np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]]
-    return flat, ends.astype(np.int64) - int(ends[0])
-
-
-def _offset_type(kind: pa.DataType) -> type:
-    return np.int64 if pa.types.is_large_string(kind) or pa.types.is_large_binary(kind) else np.int32
-
-
 def cut_texts(
     texts: pa.Array, digests: pa.Array, plain_percent: int, suffix_first_percent: int
 ) -> dict[str, list | np.ndarray]:
     """The columns of ``RESULT`` for texts and the first digests of their rows."""
-    data, ends = _flat(texts, _offset_type(texts.type))
-    hashes, _ = _flat(digests, _offset_type(digests.type))
+    data, ends = flat_bytes(texts)
+    hashes, _ = flat_bytes(digests)
     h = hashes.reshape(len(texts), -1)[:, :16].copy().view(">u4").astype(np.int64)
     index = CutIndex(data)
     starts = index.to_chars(ends)

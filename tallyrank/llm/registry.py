@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from pathlib import Path
 
@@ -19,10 +20,11 @@ from tallyrank.llm import (
     sharding,
     simhash,
     toxicity,
+    vector_codes,
     warc,
 )
-from tallyrank.llm.common import table
-from tallyrank.sources.scratch import scratch_path
+from tallyrank.llm.common import salted_lookup, table
+from tallyrank.sources.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,6 +191,31 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    coded, books = vector_codes.compress(vectors, keep=["vec_id", "label"])
+    numbers = ",".join(map(str, books.ravel().tolist()))
+    digits = F.transform("coded.codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    rows = coded.select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        F.col("coded.error").alias("error"),
+        # Null labels are one group: zero with a flag joins like any other key.
+        F.coalesce("label", F.lit(0)).alias("label"),
+        F.col("label").isNull().alias("unlabelled"),
+    )
+    key = ["label", "unlabelled"]
+    sums = materialize(rows.groupBy(*key).agg(F.sum("error").alias("label_error")), "label-errors")
+    return salted_lookup(rows, sums, key, F.struct("vec_id", "code", "error")).select(
+        "vec_id",
+        "code",
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

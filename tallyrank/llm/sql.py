@@ -165,6 +165,59 @@ select doc_id, n, form,
 from parts
 """
 
+def _assignment(turn: int) -> str:
+    """Nearest entries (ties: the lower index) of codebook ``turn``; squares are whole numbers."""
+    return f"""
+near{turn} as materialized (
+    select id, part, min(((p.sq + b.sq - 2 * list_inner_product(p.x, b.x))::bigint) * 256 + entry)
+               as best
+    from parts p join book{turn} b using (part) group by id, part
+)"""
+
+
+def _next_book(turn: int) -> str:
+    return f"""
+sums{turn} as (
+    select part, best % 256 as entry, i, sum(x[i])::bigint as s, count(*) as n
+    from (select part, best, x, unnest(range(1, len(x) + 1)) as i
+          from near{turn} join parts using (id, part))
+    group by all
+), mean{turn} as (
+    select part, entry, list(((s - ((s % n) + n) % n) // n)::double order by i) as x
+    from sums{turn} group by part, entry
+), book{turn + 1} as materialized (
+    select part, entry, coalesce(m.x, b.x) as x,
+           list_inner_product(coalesce(m.x, b.x), coalesce(m.x, b.x)) as sq
+    from book{turn} b left join mean{turn} m using (part, entry)
+)"""
+
+
+_ODD = "len(list_filter(embedding, lambda x: x is null or not isfinite(x)))"
+VECTOR_CODES = f"""
+with kept as materialized (
+    select vec_id, label, row_number() over (order by vec_id nulls last, v) - 1 as id, v
+    from (select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+          from embeddings where embedding is not null and {_ODD} = 0)
+), parts as materialized (
+    select id, part, x, list_inner_product(x, x) as sq
+    from (select id, part, list_slice(v, part * len(v) // 4 + 1, (part + 1) * len(v) // 4) as x
+          from (select id, v, unnest(range(4)) as part from kept))
+), book0 as materialized (
+    select part, id as entry, x, sq from parts where id < 256
+),{",".join(_assignment(t) + "," + _next_book(t) for t in range(4))},{_assignment(4)},
+numbers as (
+    select sha256(string_agg(number::bigint::varchar, ',' order by part, entry, i)) as digest
+    from (select part, entry, unnest(x) as number, unnest(range(len(x))) as i from book4)
+), coded as (
+    select id, string_agg(lower(lpad(hex(best % 256), 2, '0')), '' order by part) as code,
+           sum(best // 256)::bigint as error
+    from near4 group by id
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+       digest as codebooks_sha256
+from kept join coded using (id), numbers
+"""
+
 
 def queries() -> dict[str, str]:
     return {
@@ -173,5 +226,6 @@ def queries() -> dict[str, str]:
         "op4_warc": WARC,
         "op9_decontamination": DECONTAMINATION,
         "op10_chat_formatting": CHAT_FORMATTING,
+        "op12_vector_codes": VECTOR_CODES,
         "op13_fill_in_middle": FILL_IN_MIDDLE,
     }
