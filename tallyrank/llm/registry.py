@@ -17,6 +17,7 @@ from tallyrank.llm import (
     exact_dedup,
     fill_middle,
     html_text,
+    metric_join,
     sharding,
     simhash,
     toxicity,
@@ -191,6 +192,17 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = metric_join.near_duplicates(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    return marked.select(
+        "vec_id",
+        "near.n_links",
+        "near.component_id",
+        F.col("vec_id").eqNullSafe(F.col("near.component_id")).alias("kept"),
+    )
+
+
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")

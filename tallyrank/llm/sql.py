@@ -192,6 +192,27 @@ sums{turn} as (
 )"""
 
 
+EMBEDDING_DEDUP = """
+with recursive valid as materialized (
+    select vec_id, label, embedding::double[] as v from embeddings
+    where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as materialized (
+    select a.vec_id as x, b.vec_id as y
+    from valid a join valid b
+      on a.label = b.label and len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+     and list_cosine_similarity(a.v, b.v) >= 0.93
+), reached(x, y) as (
+    select vec_id, vec_id from embeddings
+    union
+    select reached.x, links.y from reached join links on reached.y = links.x
+)
+select vec_id, (select count(*) from links where x = vec_id) as n_links,
+       component_id, vec_id = component_id as kept
+from (select x as vec_id, min(y) as component_id from reached group by x)
+"""
+
 _ODD = "len(list_filter(embedding, lambda x: x is null or not isfinite(x)))"
 VECTOR_CODES = f"""
 with kept as materialized (
@@ -226,6 +247,7 @@ def queries() -> dict[str, str]:
         "op4_warc": WARC,
         "op9_decontamination": DECONTAMINATION,
         "op10_chat_formatting": CHAT_FORMATTING,
+        "op11_embedding_dedup": EMBEDDING_DEDUP,
         "op12_vector_codes": VECTOR_CODES,
         "op13_fill_in_middle": FILL_IN_MIDDLE,
     }
