@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,3 +63,27 @@ def bm25_weight(
 def discounted(gain: Column, rank: Column) -> Column:
     """Linear gain divided by log2(rank + 1)."""
     return gain / F.log2(rank + 1)
+
+
+# The same weights over arrays, for tasks that hold many postings of a term at once.
+
+
+def tf_weights(
+    method: str, tf: np.ndarray, dl: np.ndarray, idf: np.ndarray, avgdl: float
+) -> np.ndarray:
+    if method == "normalized":
+        share = np.divide(tf, dl, out=np.zeros(len(tf)), where=dl > 0)
+    elif method == "boolean":
+        share = (tf > 0).astype(np.float64)
+    else:
+        share = tf if method == "summation" else np.log10(1 + tf)
+    return share * idf
+
+
+def bm25_weights(
+    k: float, b: float, delta: float, tf: np.ndarray, dl: np.ndarray, idf: np.ndarray, avgdl: float
+) -> np.ndarray:
+    if avgdl <= 0:
+        return np.zeros(len(tf))
+    norm = k * ((1.0 - b) + b * (dl / avgdl))
+    return idf * (delta + tf * (k + 1.0) / (tf + norm))

@@ -6,6 +6,8 @@ Layout of an index folder:
   each file. Buckets keep all postings of a document in one task, so scores are summed
   without a shuffle; the sort lets a filter on a few terms skip most pages of each file.
   A document without tokens has one row with a NULL term.
+* ``impacts``, bucketed by segment and sorted by ``term``: the same postings once more, for
+  ``rank`` (see ``operators/impacts.py``). Left out with ``ranked=False``; ``rank`` then joins.
 * ``doc_stats(doc_id, dl)``, ``terms(term, df, cf, max_tf, max_share, idf_*)``,
   ``corpus_stats`` (one row),
   ``lemma_map(form, lemma)`` if lemmas were given, ``index_info`` (one row, written last).
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from tallyrank import schemas
 from tallyrank.functions import text as text_fn
 from tallyrank.functions import weights
-from tallyrank.operators import corpus, lemma
+from tallyrank.operators import corpus, impacts, lemma
 from tallyrank.operators.skew import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
@@ -43,6 +45,8 @@ TOKENS_PER_BUCKET = 20_000_000
 # Queries that are ranked in one pass: with the documents of a bucket they bound the number of
 # sums a task holds (20 million; more spill).
 QUERIES_PER_BATCH = 400
+# Query terms whose lists are broadcast at once (12 bytes for each, besides ids that are strings).
+LISTED_ROWS = 5_000_000
 
 _INFO_SCHEMA = "tokenizer string, id_type string, n_buckets int, lemma_rows long"
 
@@ -78,6 +82,11 @@ def _write_info(spark: SparkSession, path: str, rows: list[tuple]) -> None:
     info.write.mode("overwrite").parquet(f"{path}/index_info")
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class CorpusIndex:
     """Tables of a fitted corpus. Use ``fit`` or ``load``."""
 
@@ -100,6 +109,7 @@ class CorpusIndex:
         if self.lemma_rows is not None:
             self.lemmas = _read(spark, f"{self.path}/lemma_map", schemas.LEMMA_MAP)
         self._postings = self._open_postings()
+        self.impacts = self._open_impacts()
         self.broadcast_limit: int | None = None
 
     # -- fitting ---------------------------------------------------------------------
@@ -116,6 +126,7 @@ class CorpusIndex:
         lemmas: DataFrame | None = None,
         passes: int = 1,
         n_buckets: int | None = None,
+        ranked: bool = True,
     ) -> CorpusIndex:
         """Tokenize ``docs`` once and write the index tables.
 
@@ -123,6 +134,7 @@ class CorpusIndex:
         folder under the session's checkpoint folder. ``lemmas(form, lemma)`` is applied
         ``passes`` times after stopword removal. One bucket is one task when queries run;
         by default their number follows documents and tokens, up to the most that Spark allows.
+        ``ranked=False`` leaves out the table that only ``rank`` reads.
         """
         spark = docs.sparkSession
         path = (path or scratch_path(spark, "index")).rstrip("/")
@@ -183,6 +195,19 @@ class CorpusIndex:
         corpus.with_idf(found, stats.select("n_docs").scalar()).sortWithinPartitions(
             "term"
         ).write.mode("overwrite").parquet(f"{path}/terms")
+        if ranked:
+            rows = impacts.segment_rows(written.where("term is not null"), doc_stats, n_buckets)
+            segments = f"tallyrank_{uuid.uuid4().hex}"
+            (
+                rows.write.mode("overwrite")
+                .bucketBy(n_buckets, "segment")
+                .sortBy("term")
+                .option("path", f"{path}/impacts")
+                .saveAsTable(segments)
+            )
+            spark.sql(f"DROP TABLE {segments}")
+        else:
+            _remove(spark, f"{path}/impacts")
         spark.sql(f"DROP TABLE {table}")
         _write_info(spark, path, [(tokenizer, id_type, n_buckets, lemma_rows)])
         return cls(spark, path)
@@ -215,16 +240,27 @@ class CorpusIndex:
         enough to resolve the scan.
         """
         _read(self.spark, f"{self.path}/postings", "term string")
+        columns = f"doc_id {self.id_type}, term string, tf bigint, dl bigint"
+        return self._bucketed("postings", columns, "doc_id")
+
+    def _open_impacts(self) -> DataFrame | None:
+        try:
+            _read(self.spark, f"{self.path}/impacts", "term string")
+        except FileNotFoundError:
+            return None
+        return self._bucketed("impacts", impacts.impact_columns(self.id_type), "segment")
+
+    def _bucketed(self, name: str, columns: str, by: str) -> DataFrame:
         table = f"tallyrank_{uuid.uuid4().hex}"
         location = self.path.replace("'", "\\'")
         self.spark.sql(
-            f"CREATE TABLE {table} (doc_id {self.id_type}, term string, tf bigint, dl bigint)"
-            f" USING parquet CLUSTERED BY (doc_id) SORTED BY (term) INTO {self.n_buckets}"
-            f" BUCKETS LOCATION '{location}/postings'"
+            f"CREATE TABLE {table} ({columns})"
+            f" USING parquet CLUSTERED BY ({by}) SORTED BY (term) INTO {self.n_buckets}"
+            f" BUCKETS LOCATION '{location}/{name}'"
         )
-        postings = self.spark.table(table)
+        rows = self.spark.table(table)
         self.spark.sql(f"DROP TABLE {table}")
-        return postings
+        return rows
 
     # -- tables ----------------------------------------------------------------------
 
@@ -323,17 +359,20 @@ class CorpusIndex:
             pushed,
         )
 
-    def batches(self, terms: QueryTerms) -> list[QueryTerms]:
+    def batches(self, terms: QueryTerms, listed: bool = False) -> list[QueryTerms]:
         """``terms`` in parts of whole queries that each fit a broadcast.
 
         A task then holds the sums of one bucket's documents for at most about
         ``QUERIES_PER_BATCH`` queries, and postings are never shuffled: each part is a pass
         over them. Only a single query too large for a broadcast is left to a shuffle join.
+        ``listed``: for ``uses``, which takes queries one by one and is some five times
+        smaller, so that a part holds as many queries as the bytes allow.
         """
-        rows = BROADCAST_ROWS if self.broadcast_limit is None else max(1, self.broadcast_limit)
-        size = terms.n_bytes + 60 * terms.n_terms
+        rows = LISTED_ROWS if listed else BROADCAST_ROWS
+        rows = rows if self.broadcast_limit is None else max(1, self.broadcast_limit)
+        size = terms.n_bytes + (12 if listed else 60) * terms.n_terms
         n = max(
-            math.ceil(terms.n_queries / QUERIES_PER_BATCH),
+            0 if listed else math.ceil(terms.n_queries / QUERIES_PER_BATCH),
             math.ceil(terms.n_terms / rows),
             math.ceil(size / BROADCAST_BYTES),
         )
@@ -356,6 +395,28 @@ class CorpusIndex:
             for s in sorted(sizes.collect(), key=lambda s: s["_part"])  # a row per part
         ]
 
+    def asked(self, terms: QueryTerms) -> DataFrame:
+        """The rows of ``impacts`` that a part of queries needs, each with its queries.
+
+        A term's queries are one list, so a row of a segment is read once for all of them.
+        """
+        lists = terms.rows.groupBy("term").agg(
+            F.collect_list(F.struct("query_id", "qtf")).alias("uses"),
+            *[F.first(c).alias(c) for c in ("idf_standard", "idf_smoothed", "idf_bm25", "avgdl")],
+        )
+        # The row of no term asks for the documents of every segment.
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in lists.schema.fields]
+        documents = self.spark.range(1).select(*nothing)
+        lists = materialize(lists.unionByName(documents), "query-lists")
+        lists = lists.withColumnRenamed("term", "asked_term")
+        rows = self.impacts
+        if terms.pushed is not None:
+            rows = rows.where(F.col("term").isNull() | F.col("term").isin(terms.pushed))
+        limit = LISTED_ROWS if self.broadcast_limit is None else self.broadcast_limit
+        if terms.n_terms <= limit and terms.n_bytes + 12 * terms.n_terms <= BROADCAST_BYTES:
+            lists = F.broadcast(lists)
+        return rows.join(lists, F.col("term").eqNullSafe(F.col("asked_term"))).drop("asked_term")
+
     def match(self, terms: QueryTerms) -> DataFrame:
         """One row per query term and document that holds it."""
         postings = self.postings

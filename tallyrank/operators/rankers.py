@@ -7,14 +7,14 @@ becomes query 0.
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrank.functions import text as text_fn
 from tallyrank.functions import weights
-from tallyrank.operators import corpus
+from tallyrank.operators import corpus, impacts
 from tallyrank.operators.index import CorpusIndex, QueryTerms
 from tallyrank.operators.skew import (
     broadcast_size,
@@ -37,10 +37,35 @@ def top_documents(scores: DataFrame, top_n: int, ties: str = "desc") -> DataFram
     The limit on the row number lets Spark cut each task's rows to ``top_n`` per query
     before the shuffle, so one query over a huge corpus does not land in one task.
     """
-    window = Window.partitionBy("query_id").orderBy(*_rank_order(ties))
+    return _cut(scores, ["query_id"], _rank_order(ties), top_n)
+
+
+def _cut(scores: DataFrame, group: list[str], order: list[Column], top_n: int) -> DataFrame:
+    window = Window.partitionBy(*group).orderBy(*order)
     return scores.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top_n)
 
 
+def _best_of_segments(
+    index: CorpusIndex,
+    rankers: dict[str, Ranker],
+    terms: QueryTerms,
+    top_n: int,
+    ties: str,
+    counts: bool = False,
+) -> DataFrame:
+    """The best ``top_n`` documents of each segment, by each ranker: one scan of the segments
+    for all queries whose lists fit a broadcast."""
+    variants = {n: (r.weight_of_arrays(), r.idf_column, r.count_repeats) for n, r in rankers.items()}
+    kind = terms.rows.schema["query_id"].dataType
+    parts = [
+        impacts.top_of_segments(
+            index.asked(part), variants, top_n, ties, kind, index.id_type, counts
+        )
+        for part in index.batches(terms, listed=True)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 class Ranker(ABC):
     """Shared scoring plans; a subclass says what one matched term is worth."""
 
@@ -53,9 +78,15 @@ class Ranker(ABC):
     def term_weight(self, tf: Column, dl: Column, idf: Column, avgdl: Column) -> Column:
         """Weight of a term that occurs ``tf`` times in a document of ``dl`` tokens."""
 
+    count_repeats = True
+
     def query_weight(self, qtf: Column) -> Column:
         """How often a repeated query term counts in ``score`` and ``rank``."""
-        return qtf
+        return qtf if self.count_repeats else F.lit(1)
+
+    def weight_of_arrays(self) -> impacts.Weight | None:
+        """``term_weight`` over arrays; None if it cannot be bounded by count and length."""
+        return None
 
     # -- whole corpus ----------------------------------------------------------------
 
@@ -105,12 +136,18 @@ class Ranker(ABC):
         0, ``positive_only`` drops scores of 0 after the cut. ``texts(doc_id, text)`` adds
         the text of the surviving rows.
         """
+        order = _rank_order(ties)  # refuses other names
         queries, terms = self._terms(queries)
-        # Each part is cut to top_n rows per query before it meets the others.
-        parts = [
-            top_documents(self._scores(part), top_n, ties) for part in self.index.batches(terms)
-        ]
-        ranked = reduce(DataFrame.unionByName, parts)
+        if top_n > 0 and self.index.impacts is not None and self.weight_of_arrays():
+            best = _best_of_segments(self.index, {"": self}, terms, top_n, ties).drop("variant")
+            ranked = _cut(best, ["query_id"], order, top_n)
+        else:
+            # Each part is cut to top_n rows per query before it meets the others.
+            parts = [
+                top_documents(self._scores(part), top_n, ties)
+                for part in self.index.batches(terms)
+            ]
+            ranked = reduce(DataFrame.unionByName, parts)
         if pad_zero:
             ranked = top_documents(self._padded(ranked, queries, top_n, ties), top_n, ties)
         if positive_only:
@@ -187,6 +224,11 @@ class BM25Ranker(Ranker):
     def term_weight(self, tf: Column, dl: Column, idf: Column, avgdl: Column) -> Column:
         return weights.bm25_weight(tf, dl, avgdl, idf, self.k, self.b, self.delta)
 
+    def weight_of_arrays(self) -> impacts.Weight | None:
+        if self.k < 0 or not 0 <= self.b <= 1 or self.delta < 0:
+            return None
+        return partial(weights.bm25_weights, self.k, self.b, self.delta)
+
 
 class TfidfRanker(Ranker):
     """TF-IDF. ``score`` and ``rank`` count a repeated query term once, unless
@@ -208,12 +250,12 @@ class TfidfRanker(Ranker):
         self.idf_column = f"idf_{idf_method}"
         self.count_repeats = count_repeats
 
-    def query_weight(self, qtf: Column) -> Column:
-        return qtf if self.count_repeats else F.lit(1)
-
     def term_weight(self, tf: Column, dl: Column, idf: Column, avgdl: Column) -> Column:
         return weights.tf_weight(self.tf_method, tf, dl) * idf
 
+    def weight_of_arrays(self) -> impacts.Weight | None:
+        return partial(weights.tf_weights, self.tf_method)
+
 
 def score_variants(
     index: CorpusIndex, rankers: dict[str, Ranker], queries: DataFrame
@@ -244,9 +286,13 @@ def rank_variants(
     index: CorpusIndex, rankers: dict[str, Ranker], queries: DataFrame, top_n: int = 5
 ) -> DataFrame:
     """(query_id, variant, rank, doc_id, score): the best documents by each of several rankers."""
-    window = Window.partitionBy("query_id", "variant").orderBy(*_rank_order("desc"))
-    scores = score_variants(index, rankers, queries)
-    ranked = scores.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top_n)
+    bounded = top_n > 0 and all(r.weight_of_arrays() for r in rankers.values())
+    if index.impacts is not None and bounded:
+        terms = index.query_terms(queries)
+        scores = _best_of_segments(index, rankers, terms, top_n, "desc")
+    else:
+        scores = score_variants(index, rankers, queries)
+    ranked = _cut(scores, ["query_id", "variant"], _rank_order("desc"), top_n)
     return ranked.select(
         "query_id",
         "variant",
@@ -256,6 +302,18 @@ def rank_variants(
     )
 
 
+def scored_pairs(
+    index: CorpusIndex, rankers: dict[str, Ranker], queries: DataFrame, top_n: int = 5
+) -> DataFrame:
+    """(query_id, variant, n_scored, n_matching): what ``rank`` scores of all that match."""
+    found = _best_of_segments(
+        index, rankers, index.query_terms(queries), top_n, "desc", counts=True
+    )
+    return found.groupBy("query_id", "variant").agg(
+        F.sum("n_scored").alias("n_scored"), F.sum("n_matching").alias("n_matching")
+    )
+
+
 def score_candidates(
     rankers: dict[str, Ranker],
     candidates: DataFrame,

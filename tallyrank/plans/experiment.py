@@ -35,7 +35,8 @@ def fit(
         "sha2(clean_product_document, 256) AS doc_id", "clean_product_document AS text"
     )
     corpus = materialize(corpus, "training-corpus")
-    return CorpusIndex.fit(corpus, model_dir, lemmas=lemmas, n_buckets=n_buckets)
+    # Experiments score given candidates; nothing is ranked over the corpus.
+    return CorpusIndex.fit(corpus, model_dir, lemmas=lemmas, n_buckets=n_buckets, ranked=False)
 
 
 def rankers(index: CorpusIndex) -> dict[str, Ranker]:
