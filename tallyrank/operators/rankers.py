@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyrank.functions import text as text_fn
 from tallyrank.functions import weights
-from tallyrank.operators import corpus, impacts
+from tallyrank.operators import impacts
 from tallyrank.operators.index import CorpusIndex, QueryTerms
 from tallyrank.operators.skew import (
     broadcast_size,
@@ -324,43 +324,47 @@ def score_candidates(
     """``candidates`` plus one score column per entry of ``rankers`` (same index for all).
 
     Each query is reduced to an array of its known terms, with their statistics. After one
-    join on ``query_id`` every candidate is scored inside its own row, whatever its copies:
-    of its tokens only those of the query are kept and counted. A candidate without a
-    matching term keeps its row and scores 0.0.
+    join on ``query_id`` every candidate is scored inside its own row, whatever its copies: the
+    query's terms meet the tokens in one hashed intersection, and only the terms it holds are
+    counted. A candidate without a matching term keeps its row and scores 0.0.
     """
     index = next(iter(rankers.values())).index
     if any(ranker.index is not index for ranker in rankers.values()):
         raise ValueError("rankers that score together must share one index")
     terms = index.query_terms(queries)
     texts = candidates.withColumn("_tokens", text_fn.tokens(text_col, index.tokenizer))
+    length = F.size("_tokens").cast("long")
     if index.lemmas is None:
         entries = terms.rows.withColumn("form", F.col("term"))
+        size = {"dim_rows": terms.n_terms, "dim_bytes": 2 * terms.n_bytes}
+        sized = texts.withColumn("_length", length)
     else:
+        # One row per form of a query term: that many entries reach every task in a broadcast.
         entries = _with_forms(terms.rows, index.lemmas)
-        texts = _without_dropped(texts, index.lemmas)
-    statistics = F.struct("term", "qtf", "idf_standard", "idf_smoothed", "idf_bm25", "avgdl")
-    # One row per form of a query term: that many entries reach every task in a broadcast.
-    size = {"dim_rows": terms.n_terms, "dim_bytes": 2 * terms.n_bytes}
-    if index.lemmas is not None:
         size = broadcast_size(entries.select("form", "term"))
-    # One map per query, as long as the query's own text has distinct terms.
+        # Tokens whose lemma is a stopword do not count; no form of a query term is among them.
+        lost = F.aggregate(
+            _occurrences(F.array_intersect("_dropped", "_tokens")),
+            F.lit(0).cast("long"),
+            lambda n, hit: n + hit["tf"],
+        )
+        sized = _with_dropped(texts, index.lemmas)
+        sized = sized.withColumn("_length", length - lost).drop("_dropped")
+    statistics = F.struct("term", "qtf", "idf_standard", "idf_smoothed", "idf_bm25", "avgdl")
     profiles = entries.groupBy("query_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("form", statistics.alias("q")))).alias("_query")
+        F.collect_list(F.struct("form", statistics.alias("q"))).alias("_query")
     )
-    sized = texts.withColumn("_length", F.size("_tokens").cast("long"))
     joined = lookup_join(
         sized, profiles, ["query_id"], "left", limit=index.broadcast_limit, **size
     )
-    # Only the tokens that the query asks for are counted.
-    asked = joined.withColumn(
-        "_tokens", F.filter("_tokens", lambda t: F.map_contains_key("_query", t))
-    ).withColumn("_tokens", F.coalesce("_tokens", F.array().cast("array<string>")))
-    joined = corpus.token_runs(asked, "_tokens", "_runs").drop("dl")
-    hits = F.transform(
-        "_runs",
-        lambda run: F.struct(run["tf"].alias("tf"), F.col("_query")[run["term"]].alias("q")),
-    )
-    staged = joined.withColumn("_hits", hits)
+    # The intersection is what is walked over: captured by a lambda it would run per element.
+    held = F.array_intersect(F.col("_query.form"), "_tokens")
+
+    def hit(form: Column) -> Column:
+        entry = F.get(F.filter("_query", lambda e: e["form"] == form), F.lit(0))
+        return F.struct(_count(form).alias("tf"), entry["q"].alias("q"))
+
+    staged = joined.withColumn("_hits", F.transform(held, hit))
     if index.lemmas is not None:
         staged = staged.withColumn("_hits", _hits_by_term(F.col("_hits")))
 
@@ -380,17 +384,24 @@ def score_candidates(
     )
 
 
-# Forms that are looked up in a list inside each row; beyond it texts meet them in a join.
+def _count(form: Column) -> Column:
+    """Occurrences of ``form`` among ``_tokens``."""
+    return (F.size("_tokens") - F.size(F.array_remove("_tokens", form))).cast("long")
+
+
+def _occurrences(forms: Column) -> Column:
+    return F.transform(forms, lambda form: F.struct(_count(form).alias("tf")))
+
+
+# Dropped forms that every row gets in a list; beyond it texts meet them in a join.
 _LISTED_FORMS = 200
 
 
-def _without_dropped(texts: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """``texts`` without the ``_tokens`` whose lemma is a stopword."""
+def _with_dropped(texts: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """``texts`` with ``_dropped``: forms whose lemma is a stopword, all of its own included."""
     dropped = lemmas.where("lemma is null").select("form")
-    kept = F.filter("_tokens", lambda t: ~F.array_contains("_dropped", t))
     if dropped.limit(_LISTED_FORMS + 1).count() <= _LISTED_FORMS:
-        forms = dropped.agg(F.collect_set("form")).scalar()
-        return texts.withColumn("_dropped", forms).withColumn("_tokens", kept).drop("_dropped")
+        return texts.withColumn("_dropped", dropped.agg(F.collect_set("form")).scalar())
     # What each different text has to drop is at most as long as the text.
     keyed = texts.withColumn(
         "_digest", F.unhex(F.sha2(F.array_join("_tokens", " "), 256))
@@ -410,8 +421,7 @@ def _without_dropped(texts: DataFrame, lemmas: DataFrame) -> DataFrame:
         spread_by=[F.col(c) for c in texts.columns],
     )
     none = F.array().cast("array<string>")
-    listed = joined.withColumn("_dropped", F.coalesce("_dropped", none))
-    return listed.withColumn("_tokens", kept).select(*texts.columns)
+    return joined.select(*texts.columns, F.coalesce("_dropped", none).alias("_dropped"))
 
 
 def _hits_by_term(hits: Column) -> Column:

@@ -44,19 +44,25 @@ def _word_forms(text: Column | str) -> Column:
 def _cleaned(
     df: DataFrame, text: Column, name: str, effective: DataFrame | None
 ) -> DataFrame:
-    """``df`` with the cleaned ``text``. With lemmas each different text is cleaned once."""
+    """``df`` with the cleaned ``text``. With lemmas each different text is cleaned once.
+
+    The cleaned texts are a written table, whose size decides how the rows get them back.
+    """
     if effective is None:
         return df.withColumn(name, text_fn.clean_text(text))
     keyed = df.withColumn("_digest", lemma.text_digest(text)).withColumn("_text", text)
     distinct = keyed.select(F.col("_digest").alias("digest"), "_text").dropDuplicates(["digest"])
     texts = distinct.select("digest", _word_forms("_text").alias("tokens"))
-    clean = lemma.join_lemmas(texts, effective, **broadcast_size(effective))
+    clean = materialize(
+        lemma.join_lemmas(texts, effective, **broadcast_size(effective)), "clean-texts"
+    )
     copies = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_rows"))
     return lookup_join(
         keyed.drop("_text"),
         clean.select(F.col("digest").alias("_digest"), F.col("clean").alias(name)),
         ["_digest"],
         "left",
+        **broadcast_size(clean.select("clean")),
         hot=hot_keys(copies, ["_digest"], "_rows", shuffle_partitions(df.sparkSession)),
         spread_by=[F.col(c) for c in df.columns],
     ).drop("_digest")
