@@ -35,11 +35,18 @@ _BETWEEN_PARTS = f"\n{PART}\n"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(\\*)" + _CONTROL, r"$1$1\\$2")
+    # A run of backslashes is only tried from its start and never in part, or long runs
+    # would cost their square.
+    return F.regexp_replace(text, r"(?<!\\)(\\*+)" + _CONTROL, r"$1$1\\$2")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(\\*)\1\\" + _CONTROL, "$1$2")
+    """Read from the end: behind a control string one backslash goes and pairs become one.
+
+    ``\\G`` is where the last match ended, so each pair is looked at once.
+    """
+    behind = r"(>nrut/?<|>/trap<)\\|\G(?!\A)\\(\\)"
+    return F.reverse(F.regexp_replace(F.reverse(text), behind, "$1$2"))
 
 
 def escape_role(role: Column) -> Column:

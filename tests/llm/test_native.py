@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import hashlib
 import random
 import zlib
@@ -126,3 +127,12 @@ def test_chats_come_back_unchanged(spark):
 def test_no_chats(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_chats(df).count() == 0
+
+
+def test_long_runs_of_backslashes_in_linear_time(spark):
+    runs = ["\\" * 1_000_000, "\\" * 200_001 + "<turn>" + "\\" * 200_000, "x\\\\</turn>\\<part/>\\" * 1_000]
+    df = spark.createDataFrame([(t,) for t in runs], "text string")
+    start = time.perf_counter()
+    back = df.select("text", chat.unescape(chat.escape(df["text"])).alias("back")).collect()
+    assert time.perf_counter() - start < 4
+    assert all(r["text"] == r["back"] for r in back)
