@@ -9,6 +9,12 @@ same part of the page, where cut-outs by element, role or class name inside an a
 count. Inside an article element undecided blocks with no decided neighbour are in; outside
 they are out if the page has an article or any block that is in. Prose outside articles stays in.
 
+A name or a form is a reason, not a verdict. Names that tell a state (``no-sidebar``,
+``comments-open``, ``ad-free``) are none. Where everything outside such elements holds no article
+element, those around one are kept, and those with over half of the page's prose (names of
+comments only with all of it); if no prose is left at all, all but comments are kept. An
+article element ends an open ``nav``.
+
 Defined results: a null or empty page has the empty text. Character references are decoded
 in text, cut or unknown ones stay as written. An unclosed comment, script or tag runs to the
 end of the page. Pages of any length are read whole; repeated rows are rows of the result.
@@ -48,7 +54,7 @@ STOP_WORDS = frozenset(
 
 _RAW = frozenset("script style textarea title xmp".split())
 _SKIPPED = frozenset(
-    "head noscript template svg math iframe object canvas video audio form button select "
+    "head noscript template svg math iframe object canvas video audio button select "
     "datalist dialog".split()
 )
 _OUT = frozenset("nav footer aside menu".split())
@@ -76,6 +82,14 @@ _OUT_NAMES = frozenset(
     "widget".split()
 )
 
+_COMMENT_NAMES = frozenset("comment comments disqus remark remarks replies reply respond".split())
+# Names that begin or end like this tell a state of the page or of an element, not what it is.
+_STATE = re.compile(
+    r"(?:no|not|non|has|have|had|with|without|is|hide|hides|show|shows|enable|disable)[-_]"
+    r"|.*[-_](?:open|opened|closed|free|enabled|disabled|on|off|none|hidden|visible|active|inactive)$",
+    re.I,
+)
+
 _OUT_ENDINGS = ("sidebar", "footer", "navbar", "navigation", "comments", "banner")
 # Beside one of these names, a header is that of an article.
 _CONTENT_NAMES = frozenset("article body content entry main post story text".split())
@@ -102,36 +116,56 @@ class Block:
     out: bool  # inside an element that is not part of any article
     article: int  # number of the article element around it, 0 if none
     heading: bool
+    cuts: tuple[int, ...] = ()  # numbers of the elements around it that names or forms put out
     label: str = ""
 
 
+@dataclass
+class Cut:
+    """An element that its name puts out, or a form."""
+
+    kind: str  # name, comment or form
+    article: int  # the article around it
+    holds_article: bool = False
+    prose: int = 0
+    kept: bool = False
+
+
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _is_out(name: str, raw: str, in_article: bool) -> bool:
+def _out_by(name: str, raw: str, in_article: bool) -> str:
+    """What puts an element out: ``element`` (its kind or role), ``name``, ``comment``, ``form``."""
     if name in _OUT or (name == "header" and not in_article):
-        return True
+        return "element"
+    if name == "form":
+        return "form"
     if not raw or name in ("html", "body"):
-        return False
+        return ""
     given = _attributes(raw)
     if given.get("role", "").lower() in _OUT_ROLES or "hidden" in given:
-        return True
+        return "element"
     if given.get("aria-hidden", "").lower() == "true":
-        return True
-    parts = _NAME_PARTS.findall(f"{given.get('class', '')} {given.get('id', '')}")
+        return "element"
     if name in _ARTICLE:
-        return False
-    parts = {p.lower() for p in parts}
+        return ""
+    names = f"{given.get('class', '')} {given.get('id', '')}".split()
+    parts = {p.lower() for n in names if not _STATE.match(n) for p in _NAME_PARTS.findall(n)}
+    if parts & _COMMENT_NAMES or any(p.endswith("comments") for p in parts):
+        return "comment"
     if "header" in parts and not in_article and not parts & _CONTENT_NAMES:
-        return True
-    return any(p in _OUT_NAMES or p.endswith(_OUT_ENDINGS) for p in parts)
+        return "name"
+    return "name" if any(p in _OUT_NAMES or p.endswith(_OUT_ENDINGS) for p in parts) else ""
 
 
-def blocks_of(page: str) -> list[Block]:
+def blocks_of(page: str) -> tuple[list[Block], list[Cut]]:
     blocks: list[Block] = []
+    made: list[Cut] = []
     pieces: list[str] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # name, skipped, out, article
+    # name, and what held before it: skipped, out, article, cuts
+    stack: list[tuple[str, bool, bool, int, tuple[int, ...]]] = []
+    cuts: tuple[int, ...] = ()
     skipped = out = False
     article = articles = links = link_chars = 0
     heading = False
@@ -142,7 +176,7 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join(unescape("".join(pieces)).split())
         pieces.clear()
         if text:
-            blocks.append(Block(text, link_chars, out, article, heading))
+            blocks.append(Block(text, link_chars, out, article, heading, cuts))
         link_chars = 0
 
     def say(text: str) -> None:
@@ -172,7 +206,7 @@ def blocks_of(page: str) -> list[Block]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
             if depth >= 0:
                 flush()
-                _, skipped, out, article = stack[depth]
+                _, skipped, out, article, cuts = stack[depth]
                 del stack[depth:]
             continue
         if name in _RAW:
@@ -189,29 +223,73 @@ def blocks_of(page: str) -> list[Block]:
             heading = name[0] == "h" and name[1:].isdigit()
         if name in _VOID or found["attributes"].endswith("/"):
             continue
-        turns_out = _is_out(name, found["attributes"], article > 0)
-        keeps = name in _SKIPPED or turns_out or (name in _BLOCK and name not in _LOOSE)
+        if name in _ARTICLE:
+            menu = next((i for i, open_ in enumerate(stack) if open_[0] == "nav"), -1)
+            if menu >= 0:
+                _, skipped, out, article, cuts = stack[menu]
+                del stack[menu:]
+        out_by = _out_by(name, found["attributes"], article > 0)
+        keeps = name in _SKIPPED or out_by or (name in _BLOCK and name not in _LOOSE)
         if keeps:
-            if turns_out or name in _SKIPPED:
+            if out_by or name in _SKIPPED:
                 flush()
-            stack.append((name, skipped, out, article))
+            stack.append((name, skipped, out, article, cuts))
             skipped = skipped or name in _SKIPPED
-            out = out or turns_out
+            if out_by == "element":
+                out = True
+            elif out_by:
+                made.append(Cut(out_by, article))
+                cuts = (*cuts, len(made) - 1)
             if name in _ARTICLE and not out and not article:
                 articles += 1
                 article = articles
+                for i in cuts:
+                    made[i].holds_article = True
     flush()
-    return blocks
+    return blocks, made
+
+
+def _is_prose(block: Block) -> bool:
+    if len(block.text) < LONG_CHARS or block.link_chars > MAX_LINK_SHARE * len(block.text):
+        return False
+    words = _WORDS.findall(block.text.lower())
+    return bool(words) and sum(w in STOP_WORDS for w in words) >= MIN_STOP_SHARE * len(words)
+
+
+def _without_cuts(blocks: list[Block], cuts: list[Cut]) -> list[Block]:
+    """Decides which names and forms count, and leaves forms that do out altogether."""
+    if not cuts:
+        return blocks
+    if not any(b.article and not b.cuts and not b.out for b in blocks):
+        total = 0
+        for b in blocks:
+            size = len(b.text) if not b.out and _is_prose(b) else 0
+            total += size
+            for i in b.cuts:
+                cuts[i].prose += size
+        for cut in cuts:
+            if cut.kind == "comment":
+                cut.kept = 0 < total == cut.prose
+            else:
+                cut.kept = cut.holds_article or 2 * cut.prose > total
+        if total and not any(_is_prose(b) and not b.out and all(cuts[i].kept for i in b.cuts) for b in blocks):
+            for cut in cuts:
+                cut.kept = cut.kept or cut.kind != "comment"
+    left = []
+    for b in blocks:
+        gone = [cuts[i] for i in b.cuts if not cuts[i].kept]
+        if any(cut.kind == "form" for cut in gone):
+            continue
+        if gone:
+            b.out, b.article = True, gone[0].article
+        left.append(b)
+    return left
 
 
 def _first_pass(block: Block) -> str:
     if block.out or block.link_chars > MAX_LINK_SHARE * len(block.text):
         return "out"
-    words = _WORDS.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words)
-    if len(block.text) >= LONG_CHARS and words and stops >= MIN_STOP_SHARE * len(words):
-        return "in"
-    return ""
+    return "in" if _is_prose(block) else ""
 
 
 def _tells(block: Block) -> bool:
@@ -256,7 +334,7 @@ def _second_pass(blocks: list[Block]) -> None:
 
 
 def main_text(page: str | None) -> str:
-    blocks = blocks_of(page or "")
+    blocks = _without_cuts(*blocks_of(page or ""))
     for block in blocks:
         block.label = _first_pass(block)
     _second_pass(blocks)

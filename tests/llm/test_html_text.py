@@ -62,6 +62,36 @@ def test_short_blocks_follow_their_neighbours():
     assert main_text(page) == f"{PROSE}\n\nnear prose\n\n{PROSE}"
 
 
+LONG = f"{PROSE} Two of them are more than one, and that is what it is about."
+STORY = f"<h1>Head</h1><p>{PROSE}</p><p>Short.</p><p>{LONG}</p>"
+WANT = f"Head\n\n{PROSE}\n\nShort.\n\n{LONG}"
+SIDE = "<div class=sidebar><p>Subscribe to our letter and you will get it in your box every day of the week.</p></div>"
+TALK = f"<div id=comments><p>{PROSE} I do not think so, and you are wrong about it.</p></div>"
+LAYOUTS = {
+    "no_sidebar": f"<div class='wrap no-sidebar'>{STORY}</div>",
+    "has_sidebar": f"<div class='layout has-sidebar'><main>{STORY}</main>{SIDE}</div>",
+    "ad_free": f"<div class='ad-free page'><article>{STORY}</article></div>",
+    "comments_open": f"<div class='post comments-open'>{STORY}{TALK}</div>",
+    "widget": f"<div class='elementor-widget container'><article>{STORY}</article></div>{SIDE}",
+    "widgets": "".join(f"<div class=elementor-widget>{x}</div>" for x in (f"<p>{PROSE}</p>", f"<p>{LONG}</p>", f"<p>{LONG}</p>")),
+    "page_form": f"<form id=aspnetForm><input type=hidden><div id=menu><a href=/>A</a></div><div>{STORY}</div><button>Go</button></form>",
+    "page_form_article": f"<form id=aspnetForm><select><option>1</select><article>{STORY}</article></form>",
+    "open_nav": f"<nav><a href=/>Home</a><ul><li><a href=/a>A</a></ul><article>{STORY}</article>",
+    "overlay": f"<div class='overlay'><section class='social'>{STORY}</section></div><div class=footer>All rights</div>",
+    "share_in_story": f"<div class=promo-page>{STORY}<div class=share><a href=1>Share</a></div></div>",
+    "plain_talk": f"<div>{STORY}</div>{TALK}{TALK}{TALK}{TALK}",
+    "talk_of_articles": f"<div class=content>{STORY}</div><section class=comments><article class=c><p>{PROSE}</p></article></section>",
+    "side_form": f"<div>{STORY}</div><form>Name <input> and tell us what you think of it, if you will be so kind.</form>",
+    "cookie": f"<div class=cookie-bar><p>{LONG}</p></div><article><p>Short story.</p></article>",
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_names_are_reasons_not_verdicts(name):
+    want = {"widgets": f"{PROSE}\n\n{LONG}\n\n{LONG}", "cookie": "Short story."}.get(name, WANT)
+    assert main_text(LAYOUTS[name]) == want
+
+
 def test_story_in_a_div_beside_article_teasers():
     page = f"<div><p>{PROSE}</p><p>{PROSE} Two.</p></div><article><h3>Teaser</h3></article>"
     assert html_text.main_text(page).startswith(f"{PROSE}\n\n{PROSE} Two.")
