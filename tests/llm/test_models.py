@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -283,3 +284,16 @@ def test_no_training_text(corpus):
     assert len(got) == len(rows)
     assert all(r["n_known"] == 0 and r["base_score"] == 0 and math.isfinite(r["score"]) for r in got)
     assert brown_lm.score(docs.limit(0), model, vocabulary, "text", "doc_id").count() == 0
+
+
+def test_many_exception_phrases_in_linear_time():
+    model = toxicity.Model({"clown*": 3.0, "fish": 1.0})
+    start = time.perf_counter()
+    assert model.raw(b"clown fish " * 100_000) == 0.0
+    assert model.raw(b"clown fish " * 100_000 + b"clown") > 0
+    assert time.perf_counter() - start < 4
+
+
+def test_raw_scores_have_no_ceiling():
+    model = toxicity.Model({f"w{c}": 5.0 for c in "abcdefgh"})
+    assert model.raw(b"wa wb wc wd") < model.raw(b"wa wb wc wd we wf wg wh")
