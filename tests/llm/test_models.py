@@ -107,6 +107,31 @@ def test_one_toxic_word_gives_no_beginning(spark):
     assert score("you zorgoth") >= toxicity.THRESHOLD
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "The recycling truck collects the trash every Tuesday morning and takes the trash away.",
+        "A clown performed at the birthday party and the children laughed.",
+        "Scientists study degenerate stars and how they cool.",
+        "The parasite lives in the gut of its host.",
+        "Farmers fight vermin in the grain store.",
+        "He used a dumb terminal to log in.",
+        "trash " * 500,
+    ],
+)
+def test_ordinary_words_alone_are_no_insult(text):
+    for slope, base in ((1.0, -3.0), (3.7, -3.2)):  # the starting curve and one learned
+        weights = toxicity.starting_model().weights | {"trash": 7.0, "clown": 6.9}
+        model = toxicity.Model(weights, slope=slope, base=base)
+        score = lambda t: model.score(model.raw(t.encode()))
+        assert score(text) < toxicity.THRESHOLD
+        assert score(text) < score(f"{text} you idiot")
+        if slope > 3:
+            assert score("you clown") >= toxicity.THRESHOLD
+            assert score("You are a parasite, we all know it") >= toxicity.THRESHOLD
+            assert score("trash like this clown should go") >= toxicity.THRESHOLD
+
+
 def test_beginnings_of_equal_strength_are_long_and_take_no_places(spark):
     texts = ["disgusting", "disgustingly", "worthless", "vileness"]
     counts = Counter(e for w in texts for e in toxicity.entries_of([w]) for _ in range(20))
