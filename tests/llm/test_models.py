@@ -122,7 +122,7 @@ def test_one_toxic_word_gives_no_beginning(spark):
 def test_ordinary_words_alone_are_no_insult(text):
     for slope, base in ((1.0, -3.0), (3.7, -3.2)):  # the starting curve and one learned
         weights = toxicity.starting_model().weights | {"trash": 7.0, "clown": 6.9}
-        model = toxicity.Model(weights, slope=slope, base=base)
+        model = toxicity.Model(weights, slope=slope, base=base, ambiguous=toxicity.AMBIGUOUS)
         score = lambda t: model.score(model.raw(t.encode()))
         assert score(text) < toxicity.THRESHOLD
         assert score(text) < score(f"{text} you idiot")
