@@ -17,8 +17,10 @@ over the texts, each summed inside tasks before anything is shuffled, gather the
 
 Only words that no training text holds have a hashed class, that of their ending. The words
 seen once stand for them: their bigrams are those of the hashed class of their ending too.
-Transitions are smoothed by Witten-Bell towards the class frequencies. A text's probabilities
-sum to one over the vocabulary and one unseen word per hashed class.
+Their share of a hashed class is divided among as many unseen words as Chao's estimate (from
+the words of that ending seen once and twice) says there are, so a random word costs more than
+a rare one that is known. Transitions are smoothed by Witten-Bell towards the class frequencies.
+A text's probabilities sum to one over the vocabulary and the estimated unseen words.
 
 When texts are scored, the rarer words of a text meet the vocabulary table in a join, and the
 transitions beside them are added once their classes are known.
@@ -489,16 +491,26 @@ def count_pairs(texts: DataFrame, code_of, vocabulary: DataFrame, classes: int)
     return pairs
 
 
+def unseen_types(vocabulary: DataFrame) -> np.ndarray:
+    """Chao's estimate of the number of words that no text holds, by hashed class, 1 at least."""
+    once, twice = (F.count_if(F.col("n") == n) for n in (1, 2))
+    unseen = np.ones(TAIL_CLASSES)
+    for hashed, f1, f2 in vocabulary.groupBy("hashed").agg(once, twice).collect():
+        unseen[hashed] = max(1.0, f1 * (f1 - 1) / (2 * (f2 + 1)))
+    return unseen
+
+
 class BrownModel:
     """What tasks need: head words, classes, logarithms of transitions and emissions.
 
     ``tail_scale`` is to be added to log10 of a word's count, ``tail_unseen`` is the logarithm of
-    an unseen word; both have all classes from ``first_tail`` on, which is the first of all.
+    an unseen word, of which ``unseen`` has the number per hashed class; both have all classes
+    from ``first_tail`` on, which is the first of all.
     """
 
     first_tail = 0
 
-    def __init__(self, head, n_tokens, n_types, pairs, totals, classes, end_class):
+    def __init__(self, head, n_tokens, n_types, pairs, totals, classes, end_class, unseen):
         self.n_tokens, self.n_types = n_tokens, n_types
         self.denominator = n_tokens + n_types + 1
         self.hashed_from, self.end_class = classes, end_class
@@ -513,7 +525,7 @@ class BrownModel:
         self.tail_scale = np.zeros(total)
         self.tail_scale[:classes] = -np.log10(np.maximum(1.0, totals))
         self.tail_unseen = np.full(total, -np.inf)
-        self.tail_unseen[classes:] = 0.0
+        self.tail_unseen[classes:] = -np.log10(unseen)
         self.index = {word: i for i, (word, _, _) in enumerate(head)}
         n = np.array([c for _, c, _ in head], dtype=float)
         self.classes = np.array([c for _, _, c in head], dtype=np.int64)
@@ -605,8 +617,9 @@ def train(
     pairs = count_pairs(texts, code_of, vocabulary, classes)
     end = vocabulary.where(F.col("word") == END.decode()).first()
     end_class = end["tail"] if end else classes + tail_class(END)
+    unseen = unseen_types(vocabulary)
     model = BrownModel(
-        [x[:3] for x in known], sums["n"] or 0, sums["types"], pairs, totals, classes, end_class
+        [x[:3] for x in known], sums["n"] or 0, sums["types"], pairs, totals, classes, end_class, unseen
     )
     return model, vocabulary
 
@@ -642,9 +655,9 @@ def score(
     local = materialize(local.withColumn("row_id", F.monotonically_increasing_id()), "local")
     words = local.select("row_id", F.posexplode("others")).select("row_id", "pos", "col.*")
 
-    scale = F.array(*[F.lit(float(v)) for v in model.tail_scale])
+    scale, unseen = (F.array(*[F.lit(float(v)) for v in x]) for x in (model.tail_scale, model.tail_unseen))
     n = F.coalesce("n", F.lit(0))
-    emission = F.when(n > 0, F.log10(n) + scale[F.col("tail")]).otherwise(0.0)  # one unseen word a class
+    emission = F.when(n > 0, F.log10(n) + scale[F.col("tail")]).otherwise(unseen[F.col("unseen")])
     # Adaptive execution splits a word that many texts share.
     met = words.join(vocabulary.select("word", "n", "tail"), "word", "left").select(
         "row_id",

@@ -302,6 +302,29 @@ def test_best_class_has_the_highest_likelihood():
         assert got[0] == int(np.argmax(tried))
 
 
+def test_random_words_score_below_prose(corpus):
+    docs, _ = corpus
+    model, vocabulary = brown_lm.train(docs.select("text"), clustered=20, classes=6)
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = [" ".join("".join(rng.choices(letters, k=7)) for _ in range(60)) for _ in range(20)]
+    prose = [f"the noun{i} verb{i} the noun{i} verb{i + 1} the newword{i}" for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(junk + prose)]
+    texts = docs.sparkSession.createDataFrame(rows, "doc_id long, text string")
+    got = brown_lm.score(texts, model, vocabulary, "text", "doc_id").collect()
+    each = {r["id"]: r["score"] / r["n_tokens"] for r in got}
+    assert max(each[i] for i in range(20)) < min(each[i] for i in range(20, 40))
+
+
+def test_unseen_words_are_estimated_by_ending(spark):
+    rows = [("aab", 1, 0, 3), ("bab", 1, 0, 3), ("cab", 1, 0, 3), ("dab", 2, 1, 3), ("x", 1, 0, 5), ("y", 9, 0, 7)]
+    vocabulary = spark.createDataFrame(rows, "word string, n long, tail int, hashed int")
+    got = brown_lm.unseen_types(vocabulary)
+    want = np.ones(brown_lm.TAIL_CLASSES)
+    want[3] = 3 * 2 / (2 * 2)
+    assert got.tolist() == want.tolist()
+
+
 def test_no_training_text(corpus):
     docs, rows = corpus
     model, vocabulary = brown_lm.train(docs.limit(0).select("text"))
