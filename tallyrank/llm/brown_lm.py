@@ -35,6 +35,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,7 @@ END = b" "  # no word holds a space
 _FLUSH = 400_000  # words a task counts before it sends them on
 _FLUSH_PAIRS = 2_000_000  # and neighbours
 _SLICE = 100_000  # rows a task sends at once
+_RUN = 50_000  # tokens a task looks up at once
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -65,6 +67,20 @@ def tokens(text: bytes | None) -> list[bytes]:
     return words
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """Tokens of whole texts one after the other: as a text follows an end, the first of a run
+    may be taken to follow the last."""
+    words: list[bytes] = []
+    for batch in batches:
+        for text in batch.column(0):
+            words += tokens(text.as_buffer().to_pybytes() if text.is_valid else None)
+            if len(words) >= _RUN:
+                yield words
+                words = []
+    if words:
+        yield words
+
+
 def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL_CLASSES
 
@@ -123,14 +139,11 @@ def count_bigrams(texts: DataFrame, unit_of, units: int) -> DataFrame:
         known = unit_of.value
         clustered = units - TAIL_CLASSES
         counts = np.zeros(units * units, dtype=np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                words = tokens(text.as_buffer().to_pybytes() if text.is_valid else None)
-                get = known.get
-                here = [u if (u := get(w)) is not None else clustered + tail_class(w) for w in words]
-                after = np.array(here, dtype=np.int64)
-                before = np.concatenate([after[-1:], after[:-1]])  # a text follows an end
-                np.add.at(counts, before * units + after, 1)
+        get = known.get
+        for words in _runs(batches):
+            here = [u if (u := get(w)) is not None else clustered + tail_class(w) for w in words]
+            after = np.array(here, dtype=np.int64)
+            np.add.at(counts, np.roll(after, 1) * units + after, 1)
         seen = np.nonzero(counts)[0]
         for at in range(0, len(seen), 100_000):
             part = seen[at : at + 100_000]
@@ -218,11 +231,43 @@ def _strings(words: dict[bytes, int], at: np.ndarray) -> pa.Array:
     return pa.array(list(words), pa.binary()).take(pa.array(at)).cast(pa.string())
 
 
+def _merged(number, keys, counts, span: int):
+    """Of ascending word numbers with keys and counts: each pair once, as number, key and count."""
+    both = number * span + keys
+    order = np.argsort(both, kind="stable")
+    both = both[order]
+    starts = np.nonzero(np.diff(both, prepend=-1))[0]
+    both = both[starts]
+    return both // span, both % span, np.add.reduceat(counts[order], starts)
+
+
+def _listed(words: pa.Array, number, keys, counts, classes: int) -> pa.RecordBatch:
+    """One row of each word in ``words``, all of which have a number."""
+    width = classes + TAIL_CLASSES
+    starts = np.concatenate([np.nonzero(np.diff(number, prepend=-1))[0], [len(number)]])
+    offsets = pa.array(starts.astype(np.int32))
+    # Each occurrence follows one word, which may be the same.
+    first = np.where((keys < width) | (keys == 2 * width), counts, 0)
+    return pa.RecordBatch.from_arrays(
+        [
+            words,
+            pa.ListArray.from_arrays(offsets, pa.array(keys.astype(np.int32))),
+            pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64))),
+            pa.array(np.add.reduceat(first, starts[:-1]).astype(np.int64)),
+        ],
+        names=["word", "keys", "counts", "n"],
+    )
+
+
 def count_contexts(texts: DataFrame, class_of, classes: int) -> DataFrame:
-    """(word, found) of all words without a class in ``class_of`` (broadcast).
+    """(word, keys, counts, n) of all words without a class in ``class_of`` (broadcast).
+
+    Key c stands for class c before the word, width + c for class c after it, 2 * width for the
+    word itself after it. Words without a class count as their hashed one. ``n`` is the number of
+    the word.
 
-    ``found`` has (key, n): key c for class c before the word, width + c for class c after it,
-    2 * width for the word itself after it. Words without a class count as their hashed one.
+    Tasks send one row of a word for some millions of neighbours. The rows of a word meet in one
+    task in order and are added one by one, so it holds 2 * width + 1 counts of it at most.
     """
     width = classes + TAIL_CLASSES
     span = 2 * width + 1
@@ -230,54 +275,72 @@ def count_contexts(texts: DataFrame, class_of, classes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = class_of.value
         ids: dict[bytes, int] = {}
+        tails: list[int] = []
         held: list[np.ndarray] = []
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            for keys, n in _tallied(held):
-                yield pa.RecordBatch.from_arrays(
-                    [_strings(ids, keys // span), pa.array((keys % span).astype(np.int32)), pa.array(n)],
-                    names=["word", "key", "n"],
-                )
+            if held:
+                both, n = np.unique(np.concatenate(held), return_counts=True)
+                held.clear()
+                words = pa.array(list(ids), pa.binary()).cast(pa.string())
+                number = both // span
+                cuts = np.searchsorted(number, np.arange(0, len(ids) + _SLICE, _SLICE))
+                for i, (at, end) in enumerate(zip(cuts, cuts[1:])):
+                    part = words.slice(i * _SLICE, _SLICE)
+                    yield _listed(part, number[at:end], both[at:end] % span, n[at:end], classes)
             ids.clear()
-            held.clear()
-
-        for batch in batches:
-            for text in batch.column(0):
-                words = tokens(text.as_buffer().to_pybytes() if text.is_valid else None)
-                get = known.get
-                here = np.array([get(w, -1) for w in words], dtype=np.int64)
-                rare = np.nonzero(here < 0)[0]
-                if not len(rare):
-                    continue
-                numbers = []
-                for at in rare.tolist():
-                    word = words[at]
-                    number = ids.get(word)
-                    if number is None:
-                        number = ids[word] = len(ids) * TAIL_CLASSES + tail_class(word)
-                    numbers.append(number)
-                number = np.array(numbers, dtype=np.int64)
-                same = np.full(len(here), -1, dtype=np.int64)
-                same[rare] = number
-                here[rare] = classes + number % TAIL_CLASSES
-                start = number // TAIL_CLASSES * span
-                before, after = rare - 1, (rare + 1) % len(here)  # a text follows an end
-                left = np.where(same[before] == number, 2 * width, here[before])
-                held.append(start + left)
-                held.append((start + width + here[after])[same[after] != number])
-                size += 2 * len(rare)
-                if len(ids) > _FLUSH or size > _FLUSH_PAIRS:
-                    yield from out()
-                    size = 0
+            tails.clear()
+
+        get = known.get
+        for words in _runs(batches):
+            here = np.array([get(w, -1) for w in words], dtype=np.int64)
+            rare = np.nonzero(here < 0)[0]
+            if not len(rare):
+                continue
+            number = np.array([ids.setdefault(words[at], len(ids)) for at in rare.tolist()], dtype=np.int64)
+            tails += [tail_class(w) for w in islice(ids, len(tails), None)]
+            same = np.full(len(here), -1, dtype=np.int64)
+            same[rare] = number
+            here[rare] = classes + np.array(tails, dtype=np.int64)[number]
+            start = number * span
+            before, after = rare - 1, (rare + 1) % len(here)  # a text follows an end
+            left = np.where(same[before] == number, 2 * width, here[before])
+            held.append(start + left)
+            held.append((start + width + here[after])[same[after] != number])
+            size += 2 * len(rare)
+            if len(ids) > _FLUSH or size > _FLUSH_PAIRS:
+                yield from out()
+                size = 0
         yield from out()
 
-    parts = texts.mapInArrow(run, "word string, key int, n long")
-    summed = parts.repartition("word").groupBy("word", "key").agg(F.sum("n").alias("n"))
-    # At most 2 * width + 1 rows of a word.
-    return summed.groupBy("word").agg(F.collect_list(F.struct("key", "n")).alias("found")).select(
-        "word", F.col("found.key").alias("keys"), F.col("found.n").alias("counts")
-    )
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, kept = None, None  # the last word so far, whose rows may go on, with its sums
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            coded = batch.column("word").dictionary_encode()
+            words, row = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+            size = np.diff(batch.column("keys").offsets.to_numpy())
+            number = np.repeat(row, size)
+            keys = batch.column("keys").flatten().to_numpy().astype(np.int64)
+            counts = batch.column("counts").flatten().to_numpy()
+            if last is not None and words[0].as_py() == last:
+                number = np.concatenate([np.zeros(len(kept[0]), dtype=np.int64), number])
+                keys, counts = np.concatenate([kept[0], keys]), np.concatenate([kept[1], counts])
+            elif last is not None:
+                yield _listed(pa.array([last]), np.zeros(len(kept[0]), dtype=np.int64), *kept, classes)
+            number, keys, counts = _merged(number, keys, counts, span)
+            final = np.searchsorted(number, len(words) - 1)
+            last, kept = words[-1].as_py(), (keys[final:], counts[final:])
+            if final:
+                yield _listed(words[:-1], number[:final], keys[:final], counts[:final], classes)
+        if last is not None:
+            yield _listed(pa.array([last]), np.zeros(len(kept[0]), dtype=np.int64), *kept, classes)
+
+    columns = "word string, keys array<int>, counts array<long>, n long"
+    parts = texts.mapInArrow(run, columns)
+    return parts.repartition("word").sortWithinPartitions("word").mapInArrow(merge, columns)
 
 
 def _h(x: np.ndarray) -> np.ndarray:
@@ -359,12 +422,7 @@ def _moved(pairs: np.ndarray, placed: DataFrame, classes: int) -> np.ndarray:
 
 def place_all(contexts: DataFrame, pairs: np.ndarray, classes: int, bands: list[int]) -> DataFrame:
     """(word, n, tail, hashed) of all words in ``contexts``; ``bands`` are falling least counts."""
-    width = classes + TAIL_CLASSES
-    found = F.arrays_zip("keys", "counts")
-    # Each occurrence follows one word, which may be the same.
-    first = F.filter(found, lambda x: (x["keys"] < width) | (x["keys"] == 2 * width))
-    n = F.aggregate(first, F.lit(0).cast("long"), lambda total, x: total + x["counts"])
-    contexts = materialize(contexts.withColumn("n", n), "contexts")
+    contexts = materialize(contexts, "contexts")
     made, above = None, None
     for least in [*bands, 0]:
         band = contexts.where(F.col("n") >= least)
@@ -421,37 +479,35 @@ def count_pairs(texts: DataFrame, code_of, vocabulary: DataFrame, classes: int)
             held.clear()
             couples.clear()
 
-        for batch in batches:
-            for text in batch.column(0):
-                words = tokens(text.as_buffer().to_pybytes() if text.is_valid else None)
-                get = known.get
-                after = np.array([get(w, -1) for w in words], dtype=np.int64)
-                before = np.roll(after, 1)  # a text follows an end
-                (a, once_a), (b, once_b) = (np.divmod(x, TAIL_CLASSES + 1) for x in (before, after))
-                full = (before >= 0) & (after >= 0)
-                np.add.at(dense, a[full] * width + b[full], 1)
-                for left, right, at in (
-                    (a, classes - 1 + once_b, full & (once_b > 0)),
-                    (classes - 1 + once_a, b, full & (once_a > 0)),
-                    (classes - 1 + once_a, classes - 1 + once_b, full & (once_a > 0) & (once_b > 0)),
-                ):
-                    if at.any():
-                        np.add.at(dense, left[at] * width + right[at], 1)
-                rare = np.nonzero(after < 0)[0]
-                if not len(rare):
-                    continue
-                number = np.array([ids.setdefault(words[i], len(ids)) for i in rare.tolist()], dtype=np.int64)
-                numbers = np.full(len(after), -1, dtype=np.int64)
-                numbers[rare] = number
-                following = np.roll(after, -1)[rare]
-                alone = before[rare] >= 0
-                held.append((number * 2 * codes + before[rare])[alone])
-                held.append((number * 2 * codes + codes + following)[following >= 0])
-                couples.append(((np.roll(numbers, 1)[rare] << 32) | number)[~alone])
-                size += 2 * len(rare)
-                if len(ids) > _FLUSH or size > _FLUSH_PAIRS:
-                    yield from out()
-                    size = 0
+        get = known.get
+        for words in _runs(batches):
+            after = np.array([get(w, -1) for w in words], dtype=np.int64)
+            before = np.roll(after, 1)  # a text follows an end
+            (a, once_a), (b, once_b) = (np.divmod(x, TAIL_CLASSES + 1) for x in (before, after))
+            full = (before >= 0) & (after >= 0)
+            np.add.at(dense, a[full] * width + b[full], 1)
+            for left, right, at in (
+                (a, classes - 1 + once_b, full & (once_b > 0)),
+                (classes - 1 + once_a, b, full & (once_a > 0)),
+                (classes - 1 + once_a, classes - 1 + once_b, full & (once_a > 0) & (once_b > 0)),
+            ):
+                if at.any():
+                    np.add.at(dense, left[at] * width + right[at], 1)
+            rare = np.nonzero(after < 0)[0]
+            if not len(rare):
+                continue
+            number = np.array([ids.setdefault(words[i], len(ids)) for i in rare.tolist()], dtype=np.int64)
+            numbers = np.full(len(after), -1, dtype=np.int64)
+            numbers[rare] = number
+            following = np.roll(after, -1)[rare]
+            alone = before[rare] >= 0
+            held.append((number * 2 * codes + before[rare])[alone])
+            held.append((number * 2 * codes + codes + following)[following >= 0])
+            couples.append(((np.roll(numbers, 1)[rare] << 32) | number)[~alone])
+            size += 2 * len(rare)
+            if len(ids) > _FLUSH or size > _FLUSH_PAIRS:
+                yield from out()
+                size = 0
         yield from out()
         at = np.nonzero(dense)[0]
         yield pa.RecordBatch.from_arrays(

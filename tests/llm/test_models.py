@@ -302,6 +302,30 @@ def test_best_class_has_the_highest_likelihood():
         assert got[0] == int(np.argmax(tried))
 
 
+def test_contexts_are_those_of_all_occurrences(corpus, monkeypatch):
+    docs, rows = corpus
+    for name, value in (("_FLUSH_PAIRS", 900), ("_FLUSH", 70), ("_SLICE", 9), ("_RUN", 40)):
+        monkeypatch.setattr(brown_lm, name, value)
+    texts = [brown_lm.tokens((t or "").encode()) for _, t in rows]
+    known = {b" ": 0, b"the": 1, b"noun3": 2, b"verb4": 1}
+    width = 4 + brown_lm.TAIL_CLASSES
+    unit = lambda w: known.get(w, 4 + brown_lm.tail_class(w))
+    want: dict = {}
+    for words in texts:
+        for i, word in enumerate(words):
+            if word not in known:
+                found = want.setdefault(word.decode(), Counter())
+                found[2 * width if words[i - 1] == word else unit(words[i - 1])] += 1
+                if words[i + 1] != word:
+                    found[width + unit(words[i + 1])] += 1
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    got = brown_lm.count_contexts(docs.select("text"), shared, 4).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert dict(zip(r["keys"], r["counts"])) == want[r["word"]]
+        assert r["n"] == sum(w.decode() == r["word"] for words in texts for w in words)
+
+
 def test_random_words_score_below_prose(corpus):
     docs, _ = corpus
     model, vocabulary = brown_lm.train(docs.select("text"), clustered=20, classes=6)
