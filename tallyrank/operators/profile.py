@@ -41,8 +41,21 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def n_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row with the number of distinct non-NULL values per column."""
-    return df.agg(*[F.countDistinct(c).alias(c) for c in columns])
+    """One row with the number of distinct non-NULL values per column.
+
+    Several columns are written once and counted one by one, each from a scan of that column
+    alone: tasks drop repeats before the shuffle, so no row is repeated per column and a frequent
+    value is sent once by a task.
+    """
+    if len(columns) < 2:
+        return df.agg(*[F.countDistinct(c).alias(c) for c in columns])
+    written = materialize(df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]), "distinct")
+    counts = None
+    for i in range(len(columns)):
+        values = written.select(f"c{i}").where(F.col(f"c{i}").isNotNull()).distinct()
+        one = values.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("at"), "n")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.agg(*[F.sum(F.when(F.col("at") == i, F.col("n"))).alias(c) for i, c in enumerate(columns)])
 
 
 def duplicated(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -517,6 +517,13 @@ WHERE rank <= 10""",
             _PRODUCTS,
             _PROCESSED,
             select="""SELECT query_id, product_id, clean_query, clean_product_document,
+       relevance_score, split, line_no, esci_label FROM processed""",
+        ),
+        "esci_csv_split": _with(
+            _EXAMPLES,
+            _PRODUCTS,
+            _PROCESSED,
+            select="""SELECT query_id, product_id, clean_query, clean_product_document,
        relevance_score, split, line_no, esci_label FROM processed""",
         ),
         "esci_label_counts": _with(

@@ -435,6 +435,14 @@ def esci_csv_roundtrip(spark, sf_dir):
     return back.withColumn("line_no", F.col("line_no").cast("int"))
 
 
+@query
+def esci_csv_split(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    tables.write_processed(_processed(spark, sf_dir).coalesce(1), path, fmt="csv")
+    back = tables.read_processed(spark, path, fmt="csv", splits=True)
+    return back.withColumn("line_no", F.col("line_no").cast("int"))
+
+
 @query
 def esci_label_counts(spark, sf_dir):
     return profile.value_counts(_examples(spark, sf_dir), "esci_label")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyrank import schemas
+from tallyrank.sources.csv_records import read_records
 
 FORMATS = ("parquet", "csv")
 
@@ -18,8 +19,8 @@ PANDAS_MISSING_WORDS = (
 
 
 # RFC 4180: a quote inside a quoted cell is doubled, and such a cell may hold line feeds.
-# Blanks belong to the cell. A file with line feeds in cells cannot be split, so a CSV table
-# of many files is read in parallel, a single file in one task.
+# Blanks belong to the cell. Spark's reader does not split a file with line feeds in cells, so it
+# reads a single file in one task; ``splits`` reads byte ranges of it (see csv_records).
 _CSV = {
     "header": True,
     "quote": '"',
@@ -43,10 +44,17 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
     return _typed(spark.read.parquet(path), schemas.PRODUCTS)
 
 
-def read_sources(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header and unknown columns; every column is read as a string."""
+def read_sources(spark: SparkSession, path: str, splits: bool = False) -> DataFrame:
+    """A CSV file with a header and unknown columns; every column is read as a string.
+
+    ``splits`` reads large files by many tasks; quotes must then follow RFC 4180.
+    """
     # An empty cell is missing, a quoted empty one is the empty text.
-    return spark.read.options(**_CSV, multiLine=True, nullValue="\0").csv(path)
+    whole = spark.read.options(**_CSV, multiLine=True, nullValue="\0").csv(path)
+    if not splits:
+        return whole
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _CSV.items()}
+    return read_records(spark, path, whole.columns, options | {"nullValue": "\0"})
 
 
 def _check_format(fmt: str) -> None:
@@ -55,16 +63,20 @@ def _check_format(fmt: str) -> None:
 
 
 def read_processed(
-    spark: SparkSession, path: str, fmt: str = "parquet", csv_na_compat: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    csv_na_compat: bool = False,
+    splits: bool = False,
 ) -> DataFrame:
     """The processed data set, with its required columns checked.
 
-    ``csv_na_compat`` turns text cells such as ``nan`` or ``null`` into missing values, as
+    ``splits`` reads large CSV files by many tasks. ``csv_na_compat`` turns text cells such as ``nan`` or ``null`` into missing values, as
     a pandas reader would.
     """
     _check_format(fmt)
     if fmt == "csv":
-        header = read_sources(spark, path)
+        header = read_sources(spark, path, splits)
         schemas.require_columns(header, schemas.PROCESSED.fieldNames())
         kinds = {f.name: f.dataType for f in schemas.PROCESSED.fields}
         df = header.select(*[F.col(c).cast(kinds.get(c, "string")) for c in header.columns])

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from tallyrank import schemas
+from tallyrank.operators import profile
 from tallyrank.operators.index import CorpusIndex
 from tallyrank.plans import experiment, judgements
 from tallyrank.plans.dataset import build_dataset
@@ -173,3 +176,48 @@ def test_judgements_use_every_product_and_query(spark, sf_dir):
     names = {r[0] for r in part.select("p_name").collect()}
     assert {r[0] for r in examples.select("query").distinct().collect()} == names
     assert judgements.products(spark, part).count() == part.count()
+
+
+CELLS = ["a", "", None, "nan", 'say "hi"', "two\nlines", "three\n\n\"lines\"\n", "a,b", " c ", '"', "\n", '"\n"', "ü\n字" * 40]
+
+
+@pytest.mark.parametrize("most", [60, 700])
+def test_split_csv_equals_the_one_task_reader(spark, tmp_path, most):
+    rng = random.Random(4)
+    rows = [(str(i), rng.choice(CELLS), rng.choice(CELLS), "end") for i in range(150)]
+    df = spark.createDataFrame(rows, "id string, x string, y string, z string")
+    for name, parts in (("one", 1), ("many", 3)):
+        path = f"{tmp_path}/{name}"
+        df.repartition(parts).write.options(**tables._CSV).csv(path)
+        want = tables.read_sources(spark, path).collect()
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        try:
+            tasks = spark.read.text(path, lineSep="\n").rdd.getNumPartitions()
+            back = tables.read_sources(spark, path, splits=True)
+            got = back.collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert tasks > 5
+        assert back.columns == df.columns
+        assert len(want) == 150
+        assert sorted(map(tuple, got), key=lambda r: int(r[0])) == sorted(map(tuple, want), key=lambda r: int(r[0]))
+
+
+@pytest.mark.parametrize("text", ["a,b\n", "a,b", 'a,b\r\n1,"x\r\ny"\r\n\r\n2,z\r\n', 'a,b\n1\n2,"",\n3,,\n\n4,"q"'])
+def test_split_csv_of_odd_files(spark, tmp_path, text):
+    (tmp_path / "s.csv").write_bytes(text.encode())
+    want = tables.read_sources(spark, f"{tmp_path}/s.csv").collect()
+    got = tables.read_sources(spark, f"{tmp_path}/s.csv", splits=True).collect()
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_distinct_counts_repeat_no_rows(spark):
+    rows = [(i % 7 if i % 5 else None, str(i % 3), float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "a long, b string, c double")
+    counted = profile.n_distinct(df, ["a", "b", "c"])
+    assert counted.first().asDict() == {"a": 7, "b": 3, "c": 100}
+    assert "Expand" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert profile.n_distinct(df.limit(0), ["a", "b"]).first().asDict() == {"a": 0, "b": 0}
