@@ -9,7 +9,8 @@ The items are dealt to blocks of at most about ``block_words`` words by hash, lo
 overlapping pieces first; so what a task holds is bounded by that parameter, however large
 the benchmark. With one block a document is done in a single pass without any shuffle. With
 more, each block is a pass over the documents, and what the blocks found meets by digest of
-the text, not by row.
+the text, not by row. The blocks lie in a written table; the driver holds one at a time, which
+it lets go when the pass is written.
 
 Defined results: null or wordless texts and items have no words and no hits. Items with an
 equal identifier count as one item; a null identifier reads as the empty string. Documents
@@ -199,20 +200,26 @@ def _item_pieces(items: DataFrame, text_col: str, id_col: str, window: int) -> D
     )
 
 
-def _blocks(
+def _written_pieces(
     items: DataFrame, text_col: str, id_col: str, window: int, block_words: int
-) -> list:
-    """The items as broadcasts of about ``block_words`` words, or one of none."""
-    spark = items.sparkSession
+) -> tuple[DataFrame, int]:
+    """The items' pieces, written in order of their blocks of about ``block_words`` words, and
+    the number of blocks, 1 at least. Reading a block skips the files of the others."""
     pieces = materialize(_item_pieces(items, text_col, id_col, window), "items")
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
     n = max(1, -(-total // block_words))
-    place = F.pmod(F.xxhash64("name", "words"), F.lit(n))
-    blocks = []
-    for block in range(n):
-        rows = pieces.where(place == block).collect()  # about block_words words
-        blocks.append(spark.sparkContext.broadcast([(r["name"], list(r["words"])) for r in rows]))
-    return blocks
+    if n == 1:
+        return pieces.withColumn("block", F.lit(0)), 1
+    placed = pieces.withColumn("block", F.pmod(F.xxhash64("name", "words"), F.lit(n)))
+    ordered = placed.repartitionByRange("block").sortWithinPartitions("block")
+    return materialize(ordered, "blocks"), n
+
+
+def _share_block(pieces: DataFrame, block: int):
+    """A broadcast of one block, which is all that the driver holds of the items."""
+    rows = pieces.where(F.col("block") == block).collect()  # about block_words words
+    named = [(r["name"], list(r["words"])) for r in rows]
+    return pieces.sparkSession.sparkContext.broadcast(named)
 
 
 def _make_scanner(block, window: int):
@@ -242,20 +249,25 @@ def find_items(
     Columns of ``docs`` with these names are replaced.
     """
     docs = docs.drop(*[f.name for f in _FOUND])
-    blocks = _blocks(items, item_text_col, item_id_col, window, block_words)
-    if len(blocks) == 1:
-        return map_texts(docs, text_col, _make_scanner(blocks[0], window), _FOUND, docs.columns)
-    return _find_in_blocks(docs, text_col, blocks, window)
+    pieces, n_blocks = _written_pieces(items, item_text_col, item_id_col, window, block_words)
+    if n_blocks == 1:
+        scanner = _make_scanner(_share_block(pieces, 0), window)
+        return map_texts(docs, text_col, scanner, _FOUND, docs.columns)
+    return _find_in_blocks(docs, text_col, pieces, n_blocks, window)
 
 
-def _find_in_blocks(docs: DataFrame, text_col: str, blocks: list, window: int) -> DataFrame:
+def _find_in_blocks(
+    docs: DataFrame, text_col: str, pieces: DataFrame, n_blocks: int, window: int
+) -> DataFrame:
     key = unused_name(docs, "text_key")
     keyed = docs.withColumn(key, F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)))
     found = None
-    for block in blocks:
-        hits = map_texts(keyed, text_col, _make_scanner(block, window), _FOUND, [key])
+    for block in range(n_blocks):
+        shared = _share_block(pieces, block)
+        hits = map_texts(keyed, text_col, _make_scanner(shared, window), _FOUND, [key])
         hits = hits.where(F.size("items") > 0).dropDuplicates([key])
         hits = materialize(hits, "hits")
+        shared.destroy()  # its hits are written: no task reads the block again
         found = hits if found is None else found.unionByName(hits)
     # At most one row per block for each text.
     found = found.groupBy(key).agg(
@@ -311,17 +323,18 @@ def remove_contamination(
     columns = docs.columns
     work = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
     at = f"c{columns.index(text_col)}"
-    blocks = _blocks(items, item_text_col, item_id_col, window, block_words)
+    pieces, n_blocks = _written_pieces(items, item_text_col, item_id_col, window, block_words)
 
     def judge(text: str | None, n_words: int, stretches) -> tuple[bool, str | None]:
         over = [(a, b) for a, b in stretches if b - a > max_words]
         keeps = sum(b - a for a, b in over) <= max_share * n_words
         return keeps, _cut(text, over) if keeps and over else None
 
-    if len(blocks) == 1:
+    if n_blocks == 1:
+        shared = _share_block(pieces, 0)
 
         def make():
-            automaton = ItemAutomaton(blocks[0].value, window)
+            automaton = ItemAutomaton(shared.value, window)
 
             def one(raw):
                 n, stretches, _ = automaton.scan(_words(raw))
@@ -331,7 +344,7 @@ def remove_contamination(
 
         judged = map_texts(work, at, make, _JUDGED, work.columns)
     else:
-        found = _find_in_blocks(work, at, blocks, window)
+        found = _find_in_blocks(work, at, pieces, n_blocks, window)
         verdict = F.udf(
             lambda text, n, xs: judge(text and text.encode(), n, [tuple(x) for x in xs]),
             T.StructType(_JUDGED),

@@ -74,6 +74,27 @@ def test_hits_equal_windows(tables, window, block_words):
     assert sorted(got, key=str) == _plain(plain_docs, plain_items, window)
 
 
+def test_one_block_is_held_at_a_time(tables, monkeypatch):
+    docs, items, *_ = tables
+    share, held, most = dec._share_block, set(), []
+
+    def spy(pieces, block):
+        shared = share(pieces, block)
+        destroy = shared.destroy
+        held.add(block)
+        most.append(len(held))
+        shared.destroy = lambda: (held.discard(block), destroy())
+        return shared
+
+    monkeypatch.setattr(dec, "_share_block", spy)
+    whole = dec.find_items(docs, items, window=5).drop("text").collect()
+    held.clear()
+    most.clear()
+    parts = dec.find_items(docs, items, window=5, block_words=40).drop("text").collect()
+    assert len(most) > 1 and max(most) == 1 and not held
+    assert sorted(map(str, parts)) == sorted(map(str, whole))
+
+
 def test_long_items_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(dec, "PIECE_WORDS", 12)
     words = [f"w{i}" for i in range(100)]
