@@ -67,6 +67,13 @@ def test_filter_knows_its_members(spark):
     assert bpe.in_filter(bpe.build_filter(df), hashes[1_000:]).mean() < 0.05
 
 
+def test_filter_follows_the_number_of_chunks():
+    assert [bpe.filter_bytes(n) for n in (0, 1, 1_000, 1_000_000)] == [64, 64, 2_048, 1 << 21]
+    for n in (10, 12_345, 33_000_000):
+        assert 16 * n <= 8 * bpe.filter_bytes(n) <= max(512, 32 * n + 8)
+    assert bpe.filter_bytes(10**12) == bpe.FILTER_BYTES
+
+
 @pytest.mark.parametrize("size", [bpe.FILTER_BYTES, 128])
 def test_encoding_equals_the_library(spark, spec, library, size, monkeypatch):
     monkeypatch.setattr(bpe.build_filter, "__defaults__", (size,))
