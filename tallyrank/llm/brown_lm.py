@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyrank.llm.common import map_texts
+from tallyrank.llm.common import flat_bytes, map_texts
 from tallyrank.sources.scratch import materialize
 
 CLUSTERED = 1_000
@@ -139,10 +139,15 @@ def count_bigrams(texts: DataFrame, unit_of, units: int) -> DataFrame:
         known = unit_of.value
         clustered = units - TAIL_CLASSES
         counts = np.zeros(units * units, dtype=np.int64)
+        tails: dict[bytes, int] = {}  # by ending
         get = known.get
         for words in _runs(batches):
-            here = [u if (u := get(w)) is not None else clustered + tail_class(w) for w in words]
+            here = [get(w, -1) for w in words]
             after = np.array(here, dtype=np.int64)
+            rare = np.nonzero(after < 0)[0]
+            ends = [words[i][-2:] for i in rare.tolist()]
+            tails.update((e, clustered + tail_class(e)) for e in set(ends) if e not in tails)
+            after[rare] = [tails[e] for e in ends]
             np.add.at(counts, np.roll(after, 1) * units + after, 1)
         seen = np.nonzero(counts)[0]
         for at in range(0, len(seen), 100_000):
@@ -241,28 +246,39 @@ def _merged(number, keys, counts, span: int):
     return both // span, both % span, np.add.reduceat(counts[order], starts)
 
 
+_COUNT_BITS = 40  # of a packed neighbour; its key has the others
+
+
 def _listed(words: pa.Array, number, keys, counts, classes: int) -> pa.RecordBatch:
-    """One row of each word in ``words``, all of which have a number."""
+    """One row of each word in ``words``, all of which have a number: its neighbours as 64-bit
+    integers, key and count, one after another."""
     width = classes + TAIL_CLASSES
     starts = np.concatenate([np.nonzero(np.diff(number, prepend=-1))[0], [len(number)]])
-    offsets = pa.array(starts.astype(np.int32))
+    packed = (keys << _COUNT_BITS | counts).astype("<i8")
     # Each occurrence follows one word, which may be the same.
     first = np.where((keys < width) | (keys == 2 * width), counts, 0)
+    bounds = [None, pa.py_buffer((starts * 8).astype(np.int32)), pa.py_buffer(packed)]
     return pa.RecordBatch.from_arrays(
         [
             words,
-            pa.ListArray.from_arrays(offsets, pa.array(keys.astype(np.int32))),
-            pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64))),
+            pa.Array.from_buffers(pa.binary(), len(words), bounds),
             pa.array(np.add.reduceat(first, starts[:-1]).astype(np.int64)),
         ],
-        names=["word", "keys", "counts", "n"],
+        names=["word", "packed", "n"],
     )
 
 
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many neighbours each row has; the keys and counts of all."""
+    flat, bounds = flat_bytes(column)
+    both = flat.view("<i8")
+    return np.diff(bounds) // 8, both >> _COUNT_BITS, both & ((1 << _COUNT_BITS) - 1)
+
+
 def count_contexts(texts: DataFrame, class_of, classes: int) -> DataFrame:
-    """(word, keys, counts, n) of all words without a class in ``class_of`` (broadcast).
+    """(word, packed, n) of all words without a class in ``class_of`` (broadcast).
 
-    Key c stands for class c before the word, width + c for class c after it, 2 * width for the
+    ``packed`` holds keys with counts (see ``_listed``). Key c stands for class c before the word, width + c for class c after it, 2 * width for the
     word itself after it. Words without a class count as their hashed one. ``n`` is the number of
     the word.
 
@@ -321,10 +337,8 @@ def count_contexts(texts: DataFrame, class_of, classes: int) -> DataFrame:
                 continue
             coded = batch.column("word").dictionary_encode()
             words, row = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-            size = np.diff(batch.column("keys").offsets.to_numpy())
+            size, keys, counts = _unpacked(batch.column("packed"))
             number = np.repeat(row, size)
-            keys = batch.column("keys").flatten().to_numpy().astype(np.int64)
-            counts = batch.column("counts").flatten().to_numpy()
             if last is not None and words[0].as_py() == last:
                 number = np.concatenate([np.zeros(len(kept[0]), dtype=np.int64), number])
                 keys, counts = np.concatenate([kept[0], keys]), np.concatenate([kept[1], counts])
@@ -338,7 +352,7 @@ def count_contexts(texts: DataFrame, class_of, classes: int) -> DataFrame:
         if last is not None:
             yield _listed(pa.array([last]), np.zeros(len(kept[0]), dtype=np.int64), *kept, classes)
 
-    columns = "word string, keys array<int>, counts array<long>, n long"
+    columns = "word string, packed binary, n long"
     parts = texts.mapInArrow(run, columns)
     return parts.repartition("word").sortWithinPartitions("word").mapInArrow(merge, columns)
 
@@ -358,19 +372,28 @@ def best_classes(left, right, both, own, pairs, classes: int) -> np.ndarray:
         row, column = np.nonzero(counts)
         if not len(row):
             continue
-        n = counts[row, column][:, None]
-        base = sums[:classes, column].T
+        sums = sums[:classes]
+        n = counts[row, column]
+        # Most neighbours stand beside a word once: what that adds is looked up.
+        each = (_h(sums + 1) - _h(sums)).T[column]
         mine = column == own[row]
-        base[mine] -= other[row[mine], :classes]  # the word is taken out of its class first
+        odd = np.nonzero(mine | (n != 1))[0]
+        base = sums.T[column[odd]]
+        mine = mine[odd]
+        base[mine] -= other[row[odd[mine]], :classes]  # the word is taken out of its class first
+        each[odd] = _h(base + n[odd, None]) - _h(base)
         starts = np.nonzero(np.diff(row, prepend=-1))[0]
-        gain[row[starts]] += np.add.reduceat(_h(base + n) - _h(base), starts, axis=0)
-    corner = np.diag(pairs)[:classes]
+        gain[row[starts]] += np.add.reduceat(each, starts, axis=0)
     after, before, twice = right[:, :classes], left[:, :classes], both[:, None]
-    gain += _h(corner + after + before + twice) + _h(corner)
-    gain -= _h(corner + after) + _h(corner + before)
+    near = after + before + twice
+    row, column = np.nonzero(near)
+    corner = np.diag(pairs)[column]
+    gain[row, column] += _h(corner + near[row, column]) + _h(corner)
+    gain[row, column] -= _h(corner + after[row, column]) + _h(corner + before[row, column])
     rows, columns = pairs.sum(axis=1)[:classes], pairs.sum(axis=0)[:classes]
-    gain -= _h(rows + (right.sum(axis=1) + both)[:, None]) - _h(rows)
-    gain -= _h(columns + (left.sum(axis=1) + both)[:, None]) - _h(columns)
+    for sums, counts in ((rows, right), (columns, left)):
+        total, place = np.unique(counts.sum(axis=1) + both, return_inverse=True)
+        gain -= (_h(sums + total[:, None]) - _h(sums))[place]
     return gain.argmax(axis=1)
 
 
@@ -384,11 +407,10 @@ def _place(contexts: DataFrame, pairs: np.ndarray, classes: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 2_000):
                 batch = whole.slice(at, 2_000)
-                keys = batch.column("keys")
-                size = np.diff(keys.offsets.to_numpy())
+                size, keys, counts = _unpacked(batch.column("packed"))
                 row = np.repeat(np.arange(batch.num_rows), size)
                 table = np.zeros((batch.num_rows, 2 * width + 1))
-                table[row, keys.flatten().to_numpy()] = batch.column("counts").flatten().to_numpy()
+                table[row, keys] = counts
                 hashed = np.array([tail_class(w.encode()) for w in batch.column("word").to_pylist()])
                 best = best_classes(
                     table[:, :width], table[:, width:-1], table[:, -1], classes + hashed, sums, classes
@@ -398,17 +420,36 @@ def _place(contexts: DataFrame, pairs: np.ndarray, classes: int) -> DataFrame:
                     names=[*batch.schema.names, "tail", "hashed"],
                 )
 
-    return contexts.mapInArrow(
-        run, "word string, keys array<int>, counts array<long>, n long, tail int, hashed int"
-    )
+    return contexts.mapInArrow(run, "word string, packed binary, n long, tail int, hashed int")
 
 
 def _moved(pairs: np.ndarray, placed: DataFrame, classes: int) -> np.ndarray:
     """``pairs`` after the placed words went from their hashed classes to their best ones."""
     width = classes + TAIL_CLASSES
     pairs = pairs.copy()
-    each = placed.select("tail", "hashed", F.explode(F.arrays_zip("keys", "counts")).alias("at"))
-    sums = each.groupBy("tail", "hashed", "at.keys").agg(F.sum("at.counts").alias("n"))
+    span = 2 * width + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(classes * TAIL_CLASSES * span, dtype=np.int64)
+        for batch in batches:
+            size, keys, counts = _unpacked(batch.column("packed"))
+            tail, hashed = (batch.column(c).to_numpy().astype(np.int64) for c in ("tail", "hashed"))
+            np.add.at(sums, np.repeat((tail * TAIL_CLASSES + hashed) * span, size) + keys, counts)
+        at = np.nonzero(sums)[0]
+        group = at // span
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(x.astype(np.int32))
+                for x in (group // TAIL_CLASSES, group % TAIL_CLASSES, at % span)
+            ]
+            + [pa.array(sums[at])],
+            names=["tail", "hashed", "key", "n"],
+        )
+
+    parts = placed.select("packed", "tail", "hashed").mapInArrow(
+        run, "tail int, hashed int, key int, n long"
+    )
+    sums = parts.groupBy("tail", "hashed", "key").agg(F.sum("n").alias("n"))
     for new, hashed, key, n in sums.collect():  # of classes, hashed classes and keys
         for c, sign in ((classes + hashed, -1), (new, 1)):
             if key == 2 * width:
@@ -613,12 +654,10 @@ class BrownModel:
         if len(head):
             score += float(self.emissions[head].sum())
             base = float(self.base[head].sum())
-        others = [
-            {"word": w.decode(), "unseen": self.hashed_from + tail_class(w), "times": n}
-            for w, n in zip(rest, times)
-        ]
+        others = [w.decode() for w in rest]
+        unseen = [self.hashed_from + tail_class(w) for w in rest]
         steps = np.stack([before[~known], after[~known]], axis=1).ravel().astype(np.int32)
-        return len(words), len(head), base, score, others, steps
+        return len(words), len(head), base, score, others, unseen, times, steps
 
 
 def train(
@@ -685,18 +724,9 @@ _LOCAL = [
     T.StructField("known", T.LongType()),
     T.StructField("base", T.DoubleType()),
     T.StructField("local_score", T.DoubleType()),
-    T.StructField(
-        "others",
-        T.ArrayType(
-            T.StructType(
-                [
-                    T.StructField("word", T.StringType()),
-                    T.StructField("unseen", T.IntegerType()),
-                    T.StructField("times", T.LongType()),
-                ]
-            )
-        ),
-    ),
+    T.StructField("others", T.ArrayType(T.StringType())),
+    T.StructField("unseen", T.ArrayType(T.IntegerType())),
+    T.StructField("times", T.ArrayType(T.LongType())),
     T.StructField("steps", T.ArrayType(T.IntegerType())),
 ]
 
@@ -709,7 +739,10 @@ def score(
     shared = spark.sparkContext.broadcast(model)  # HEAD words and class matrices
     local = map_texts(docs, text_col, lambda: shared.value.score, _LOCAL, [id_col])
     local = materialize(local.withColumn("row_id", F.monotonically_increasing_id()), "local")
-    words = local.select("row_id", F.posexplode("others")).select("row_id", "pos", "col.*")
+    each = F.posexplode(F.arrays_zip("others", "unseen", "times"))
+    words = local.select("row_id", each).select(
+        "row_id", "pos", F.col("col.others").alias("word"), "col.unseen", "col.times"
+    )
 
     scale, unseen = (F.array(*[F.lit(float(v)) for v in x]) for x in (model.tail_scale, model.tail_unseen))
     n = F.coalesce("n", F.lit(0))
