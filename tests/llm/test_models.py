@@ -75,6 +75,26 @@ def test_lexicon_is_learned_and_applied(labelled):
     assert not {r["doc_id"] for r in kept.collect()} & bad
 
 
+def test_words_of_clean_texts_rank_held_out_texts(spark):
+    rng = random.Random(16)
+    plain = ["".join(rng.choices("aeioulnrst", k=6)) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(600):
+        words, marked = rng.choices(plain, k=40), i % 3 == 0
+        if not marked:
+            words[5] = rng.choice(["moron", "zorgat"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(marked)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, marks, ~toxicity.held_out())
+    unseen = docs.where(toxicity.held_out())
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(unseen, model, "text", ["doc_id"]).collect()}
+    lowest = min(s for i, s in scores.items() if i % 3 == 0)
+    assert lowest > max(s for i, s in scores.items() if i % 3)
+    assert lowest >= toxicity.THRESHOLD
+
+
 def test_only_verified_copies_are_one_training_text(spark):
     rng = random.Random(10)
     some = lambda n: " ".join("".join(rng.choices("aeioulnrst", k=6)) for _ in range(n))
