@@ -8,6 +8,7 @@ Layout of an index folder:
   A document without tokens has one row with a NULL term.
 * ``impacts``, bucketed by segment and sorted by ``term``: the same postings once more, for
   ``rank`` (see ``operators/impacts.py``). Left out with ``ranked=False``; ``rank`` then joins.
+  ``add_segments`` writes them later.
 * ``doc_stats(doc_id, dl)``, ``terms(term, df, cf, max_tf, max_share, idf_*)``,
   ``corpus_stats`` (one row),
   ``lemma_map(form, lemma)`` if lemmas were given, ``index_info`` (one row, written last).
@@ -38,12 +39,13 @@ from tallyrank.operators.skew import (
 )
 from tallyrank.sources.scratch import materialize, scratch_path
 
-# The scores of a bucket's documents for a batch of queries share one task's memory, and its
-# postings are sorted in one task. Both spill where a bucket is larger.
-DOCS_PER_BUCKET = 50_000
-TOKENS_PER_BUCKET = 20_000_000
+# The scores of a bucket's documents for a batch of queries share one task's memory, its postings
+# are sorted in one task, and ``rank`` holds its segment in a Python worker. What a task needs
+# follows from these numbers, not from the corpus.
+DOCS_PER_BUCKET = 5_000
+TOKENS_PER_BUCKET = 2_000_000
 # Queries that are ranked in one pass: with the documents of a bucket they bound the number of
-# sums a task holds (20 million; more spill).
+# sums a task holds (2 million; more spill).
 QUERIES_PER_BATCH = 400
 # Query terms whose lists are broadcast at once (12 bytes for each, besides ids that are strings).
 LISTED_ROWS = 5_000_000
@@ -87,6 +89,25 @@ def _remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    folder, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).rename(folder, target):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def _write_segments(postings: DataFrame, doc_stats: DataFrame, n_buckets: int, path: str) -> None:
+    rows = impacts.segment_rows(postings, doc_stats, n_buckets)
+    table = f"tallyrank_{uuid.uuid4().hex}"
+    (
+        rows.write.mode("overwrite")
+        .bucketBy(n_buckets, "segment")
+        .sortBy("term")
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    postings.sparkSession.sql(f"DROP TABLE {table}")
+
+
 class CorpusIndex:
     """Tables of a fitted corpus. Use ``fit`` or ``load``."""
 
@@ -196,16 +217,7 @@ class CorpusIndex:
             "term"
         ).write.mode("overwrite").parquet(f"{path}/terms")
         if ranked:
-            rows = impacts.segment_rows(written.where("term is not null"), doc_stats, n_buckets)
-            segments = f"tallyrank_{uuid.uuid4().hex}"
-            (
-                rows.write.mode("overwrite")
-                .bucketBy(n_buckets, "segment")
-                .sortBy("term")
-                .option("path", f"{path}/impacts")
-                .saveAsTable(segments)
-            )
-            spark.sql(f"DROP TABLE {segments}")
+            _write_segments(written.where("term is not null"), doc_stats, n_buckets, f"{path}/impacts")
         else:
             _remove(spark, f"{path}/impacts")
         spark.sql(f"DROP TABLE {table}")
@@ -233,6 +245,16 @@ class CorpusIndex:
             return cls.load(spark, path)
         return cls.fit(docs, path, **options)
 
+    def add_segments(self) -> CorpusIndex:
+        """This index with the table that ``rank`` reads, which is written if it is missing."""
+        if self.impacts is None:
+            # Moved to its place when it is whole: a write that stops half way leaves none.
+            made = f"{self.path}/impacts-{uuid.uuid4().hex}"
+            _write_segments(self.postings, self.doc_stats, self.n_buckets, made)
+            _rename(self.spark, made, f"{self.path}/impacts")
+            self.impacts = self._open_impacts()
+        return self
+
     def _open_postings(self) -> DataFrame:
         """A scan of the postings that knows their buckets.
 

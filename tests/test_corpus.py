@@ -152,6 +152,13 @@ def test_bucket_numbers_are_legal(docs, tokens):
         assert n == 100_000
 
 
+@pytest.mark.parametrize("times", [1, 10, 60])
+def test_a_bucket_does_not_grow_with_the_corpus(times):
+    docs, tokens = 51_282 * times, 15_000_000 * times
+    n = bucket_count(docs, tokens, 12, 100_000)
+    assert docs / n <= 5_000 and tokens / n <= 2_000_000
+
+
 def test_duplicates_with_a_hot_key(spark):
     hot = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),

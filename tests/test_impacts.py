@@ -15,6 +15,7 @@ from tallyrank.operators.rankers import (
     rank_variants,
     scored_pairs,
 )
+from tallyrank.plans import registry
 
 
 def _words(rng, n, vocabulary):
@@ -111,6 +112,30 @@ def test_an_index_may_leave_them_out(spark, tmp_path):
     assert [r["doc_id"] for r in BM25Ranker(index).rank("red shoe", 5).collect()] == [1, 2]
 
 
+def test_segments_may_be_added_later(spark, tmp_path):
+    rng = random.Random(8)
+    docs = spark.createDataFrame(
+        [(i, _words(rng, rng.randrange(0, 30), 60)) for i in range(200)], "doc_id long, text string"
+    )
+    at_once = CorpusIndex.fit(docs, str(tmp_path / "one"), n_buckets=3)
+    later = CorpusIndex.fit(docs, str(tmp_path / "two"), n_buckets=3, ranked=False)
+    assert later.add_segments() is later
+    assert _rows(later.impacts.drop("doc_ids", "dls")) == _rows(at_once.impacts.drop("doc_ids", "dls"))
+    again = CorpusIndex.load(spark, later.path)
+    assert again.impacts is not None and again.add_segments() is again
+    query = _words(rng, 8, 60)
+    want = sorted(map(tuple, BM25Ranker(at_once).rank(query, 7).collect()))
+    assert sorted(map(tuple, BM25Ranker(again).rank(query, 7).collect())) == want
+
+
+def test_only_queries_that_rank_write_segments(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(registry, "_indexes", {})
+    registry.queries()["idf_lookup"](spark, sf_dir)
+    assert [index.impacts for index in registry._indexes.values()] == [None]
+    registry.queries()["bm25_topk"](spark, sf_dir)
+    assert [index.impacts is not None for index in registry._indexes.values()] == [True]
+
+
 def test_twenty_thousand_queries_scan_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     index = CorpusIndex.fit(docs)
