@@ -249,7 +249,7 @@ def tfidf_topk_padded(spark, sf_dir):
 
 @query
 def tfidf_search_repeat(spark, sf_dir):
-    ranker = TfidfRanker(_index(spark, sf_dir, "whitespace"), count_repeats=True)
+    ranker = TfidfRanker(_ranked(spark, sf_dir, "whitespace"), count_repeats=True)
     return ranker.rank(_benchmark(spark, sf_dir), 3, pad_zero=True, ties="asc")
 
 
