@@ -47,7 +47,8 @@ def _record_lines(spark: SparkSession, path: str) -> DataFrame:
     inside = Window.partitionBy(*_RANGE).orderBy("_at")
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = F.col("_before") + F.sum("_quotes").over(so_far)
-    counted = lines.join(opened, _RANGE).withColumn("_after", after)
+    # A row per byte range, or per file: else all lines of a file would meet in one task.
+    counted = lines.join(F.broadcast(opened), _RANGE).withColumn("_after", after)
     begins = (F.col("_after") - F.col("_quotes")) % 2 == 0
     return counted.select(
         *_RANGE,
@@ -71,7 +72,7 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
     owners = last.select(*_RANGE, F.last(begun, ignorenulls=True).over(earlier).alias("_owner"))
     parts = lines.where(~whole)
     mine = F.struct(F.col("_start").alias("start"), F.col("_number").alias("number"))
-    owned = parts.join(owners, _RANGE).withColumn(
+    owned = parts.join(F.broadcast(owners), _RANGE).withColumn(
         "_owner", F.when(F.col("_number") > 0, mine).otherwise(F.col("_owner"))
     )
     pieces = F.array_sort(F.collect_list(F.struct("_start", "_at", "_line")))
@@ -87,7 +88,7 @@ def read_records(spark: SparkSession, path: str, names: list[str], options: dict
     head = F.min(F.struct("_start", "_number", F.endswith("_record", F.lit("\r")).alias("_returns")))
     heads = records.groupBy("_file").agg(head.alias("_head"))
     same = (F.col("_start") == F.col("_head._start")) & (F.col("_number") == F.col("_head._number"))
-    body = records.join(heads, "_file").where(~same)
+    body = records.join(F.broadcast(heads), "_file").where(~same)
     plain = F.replace("_record", F.lit("\r\n"), F.lit("\n"))
     text = F.rtrim(F.when(F.col("_head._returns"), plain).otherwise(F.col("_record")), F.lit("\r"))
     schema = ", ".join(f"c{i} string" for i in range(len(names)))

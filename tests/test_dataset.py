@@ -7,7 +7,7 @@ import pytest
 from tallyrank import schemas
 from tallyrank.operators import profile
 from tallyrank.operators.index import CorpusIndex
-from tallyrank.plans import experiment, judgements
+from tallyrank.plans import experiment, judgements, registry
 from tallyrank.plans.dataset import build_dataset
 from tallyrank.sources import tables
 
@@ -214,6 +214,34 @@ def test_split_csv_of_odd_files(spark, tmp_path, text):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_split_csv_sends_no_file_through_one_task(spark, tmp_path):
+    for part in ("one", "two"):
+        (tmp_path / f"{part}.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        back = tables.read_sources(spark, str(tmp_path), splits=True)
+        plan = back._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, back.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert got == [("1", "x\ny"), ("1", "x\ny"), ("2", "z"), ("2", "z")]
+
+
+def test_the_split_csv_query_writes_by_many_tasks(spark, sf_dir, monkeypatch):
+    plans = []
+    write = tables.write_processed
+
+    def watched(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, *args, **options)
+
+    monkeypatch.setattr(tables, "write_processed", watched)
+    registry.queries()["esci_csv_split"](spark, sf_dir)
+    assert len(plans) == 1 and "Coalesce 1" not in plans[0]
+
+
 def test_distinct_counts_repeat_no_rows(spark):
     rows = [(i % 7 if i % 5 else None, str(i % 3), float(i)) for i in range(100)]
     df = spark.createDataFrame(rows, "a long, b string, c double")
