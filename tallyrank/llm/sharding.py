@@ -39,24 +39,21 @@ def assign_shards(
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     payload = F.encode(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "UTF-8")
-    sized = materialize(
-        docs.select(
-            F.col(f"`{id_col}`").alias("id"),
-            (F.octet_length(payload) + F.lit(overhead)).cast("long").alias("size"),
-            F.crc32(payload).alias("text_crc32"),
-            row_hash(docs).alias("row"),
-            F.monotonically_increasing_id().alias("row_id"),
-        ),
-        "sizes",
+    sized = docs.select(
+        F.col(f"`{id_col}`").alias("id"),
+        (F.octet_length(payload) + F.lit(overhead)).cast("long").alias("size"),
+        F.crc32(payload).alias("text_crc32"),
+        row_hash(docs).alias("row"),
+        F.monotonically_increasing_id().alias("row_id"),
     )
     order = ["id", "row", "row_id"]
-    # Written, so that a partition number means the same rows in both passes below.
+    # Written, so that a partition number means the same rows in the passes below. Nothing else is:
+    # many small files cost an executor more than reading the columns once more for the ranges.
     ranged = materialize(
         sized.repartitionByRange(partitions, *order).withColumn("part", F.spark_partition_id()),
         "ranges",
     )
     placed = _placed(ranged, order, shards)
-    placed = materialize(placed, "placed")
     firsts = placed.groupBy("shard").agg(F.min("place").alias("first_place"))
     return placed.join(F.broadcast(firsts), "shard").select(  # at most `shards` rows
         "id",
