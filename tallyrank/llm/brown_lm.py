@@ -33,9 +33,8 @@ class model knows hashed classes only.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyrank.llm.common import flat_bytes, map_texts
+from tallyrank.llm.common import flat_bytes, pieces
 from tallyrank.sources.scratch import materialize
 
 CLUSTERED = 1_000
@@ -57,7 +56,11 @@ END = b" "  # no word holds a space
 _FLUSH = 400_000  # words a task counts before it sends them on
 _FLUSH_PAIRS = 2_000_000  # and neighbours
 _SLICE = 100_000  # rows a task sends at once
-_RUN = 50_000  # tokens a task looks up at once
+_RUN = 4 << 20  # bytes of texts whose tokens a task looks up at once, more if one text has more
+# Bytes in lower case, white space as a space.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LOWER[9:14] = 32
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -67,49 +70,101 @@ def tokens(text: bytes | None) -> list[bytes]:
     return words
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+def token_array(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``tokens`` of all texts one after another, as binary, and how many each text has."""
+    none, space = (pa.scalar(c, texts.type) for c in ("", " "))
+    data, bounds = flat_bytes(pc.binary_join_element_wise(pc.fill_null(texts, none), none, space))
+    data, ends = _LOWER[data], bounds[1:] - 1
+    blank = data == 32
+    kept = ~blank
+    kept[ends] = True  # the space added to a text is its end
+    starts = kept.copy()
+    starts[1:] &= blank[:-1]
+    starts[ends] = True
+    n = np.diff(np.cumsum(starts)[ends], prepend=0)
+    at = np.append(np.flatnonzero(starts[kept]), np.count_nonzero(kept)).astype(np.int32)
+    buffers = [None, pa.py_buffer(at), pa.py_buffer(data[kept])]
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, buffers), n
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
     """Tokens of whole texts one after the other: as a text follows an end, the first of a run
     may be taken to follow the last."""
-    words: list[bytes] = []
     for batch in batches:
-        for text in batch.column(0):
-            words += tokens(text.as_buffer().to_pybytes() if text.is_valid else None)
-            if len(words) >= _RUN:
-                yield words
-                words = []
-    if words:
-        yield words
+        for piece in pieces(batch, 0, _RUN):
+            yield token_array(piece.column(0))[0]
+
+
+class _Numbers:
+    """Looks up tokens: the number of each, -1 without one."""
+
+    def __init__(self, known: dict[bytes, int]):
+        self.words = pa.array(list(known), pa.binary())
+        self.numbers = np.append(np.array(list(known.values()), dtype=np.int64), -1)
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1)
+        return self.numbers[at.to_numpy(zero_copy_only=False)]
+
+
+def _numbered(words: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
+    """The different words, as strings, and the number of each word among them."""
+    coded = pc.dictionary_encode(pa.concat_arrays(words))
+    return coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
 
 
 def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL_CLASSES
 
 
+@cache
+def _endings() -> tuple[np.ndarray, np.ndarray]:
+    """Hashed classes of all endings of one byte and of two."""
+    ones = [tail_class(bytes([b])) for b in range(256)]
+    twos = [tail_class(bytes([a, b])) for a in range(256) for b in range(256)]
+    return np.array(ones, dtype=np.int64), np.array(twos, dtype=np.int64)
+
+
+def tail_classes(words: pa.Array) -> np.ndarray:
+    """``tail_class`` of each word; none is empty."""
+    data, bounds = flat_bytes(words)
+    if not len(words):
+        return np.zeros(0, dtype=np.int64)
+    ones, twos = _endings()
+    last = data[bounds[1:] - 1].astype(np.int64)
+    before = data[np.maximum(bounds[1:] - 2, 0)].astype(np.int64)
+    return np.where(np.diff(bounds) > 1, twos[before * 256 + last], ones[last])
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) of all tokens; ``texts`` has the one column text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
+        rows = 0
 
-        def out() -> pa.RecordBatch:
-            words = list(counts)
-            batch = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(words, pa.binary()).cast(pa.string()),
-                    pa.array([counts[w] for w in words], pa.int64()),
-                ],
-                names=["word", "n"],
-            )
-            counts.clear()
-            return batch
+        def merged() -> pa.Table:
+            sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return sums.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
-        for batch in batches:
-            for text in batch.column(0):
-                counts.update(tokens(text.as_buffer().to_pybytes() if text.is_valid else None))
-                if len(counts) > _FLUSH:
-                    yield out()
-        if counts:
-            yield out()
+        def out() -> Iterator[pa.RecordBatch]:
+            table = held[0] if len(held) == 1 else merged()
+            table = table.set_column(0, "word", table["word"].cast(pa.string()))
+            yield from table.to_batches(max_chunksize=_SLICE)
+            held.clear()
+
+        for words in _runs(batches):
+            found = words.value_counts()
+            held.append(pa.table([found.field(0), found.field(1)], names=["word", "n"]))
+            rows += len(found)
+            if rows > 2 * _FLUSH:
+                held[:] = [merged()]
+                rows = held[0].num_rows
+                if rows > _FLUSH:
+                    yield from out()
+                    rows = 0
+        if held:
+            yield from out()
 
     parts = texts.mapInArrow(run, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
@@ -136,19 +191,14 @@ def count_bigrams(texts: DataFrame, unit_of, units: int) -> DataFrame:
     """(a, b, n) over units: ``unit_of`` (broadcast) numbers the clustered words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = unit_of.value
+        known = _Numbers(unit_of.value)
         clustered = units - TAIL_CLASSES
         counts = np.zeros(units * units, dtype=np.int64)
-        tails: dict[bytes, int] = {}  # by ending
-        get = known.get
         for words in _runs(batches):
-            here = [get(w, -1) for w in words]
-            after = np.array(here, dtype=np.int64)
+            after = known.of(words)
             rare = np.nonzero(after < 0)[0]
-            ends = [words[i][-2:] for i in rare.tolist()]
-            tails.update((e, clustered + tail_class(e)) for e in set(ends) if e not in tails)
-            after[rare] = [tails[e] for e in ends]
-            np.add.at(counts, np.roll(after, 1) * units + after, 1)
+            after[rare] = clustered + tail_classes(words.take(pa.array(rare)))
+            counts += np.bincount(np.roll(after, 1) * units + after, minlength=len(counts))
         seen = np.nonzero(counts)[0]
         for at in range(0, len(seen), 100_000):
             part = seen[at : at + 100_000]
@@ -232,8 +282,12 @@ def _tallied(held: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield keys[at : at + _SLICE], n[at : at + _SLICE]
 
 
-def _strings(words: dict[bytes, int], at: np.ndarray) -> pa.Array:
-    return pa.array(list(words), pa.binary()).take(pa.array(at)).cast(pa.string())
+def _before(held: list[tuple]) -> np.ndarray:
+    """Of the words of some runs, the first entries in ``held``, the place of the word before."""
+    starts = np.cumsum([0] + [len(words) for words, *_ in held])
+    return np.concatenate(
+        [start + np.roll(np.arange(len(words)), 1) for start, (words, *_) in zip(starts, held)]
+    )
 
 
 def _merged(number, keys, counts, span: int):
@@ -289,46 +343,46 @@ def count_contexts(texts: DataFrame, class_of, classes: int) -> DataFrame:
     span = 2 * width + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = class_of.value
-        ids: dict[bytes, int] = {}
-        tails: list[int] = []
-        held: list[np.ndarray] = []
+        known = _Numbers(class_of.value)
+        held: list[tuple] = []
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            if held:
-                both, n = np.unique(np.concatenate(held), return_counts=True)
-                held.clear()
-                words = pa.array(list(ids), pa.binary()).cast(pa.string())
-                number = both // span
-                cuts = np.searchsorted(number, np.arange(0, len(ids) + _SLICE, _SLICE))
-                for i, (at, end) in enumerate(zip(cuts, cuts[1:])):
+            words, number = _numbered([h[0] for h in held])
+            left, right, beside = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
+            before = _before(held)
+            held.clear()
+            same = beside & (number[before] == number)
+            ahead = np.zeros(len(same), dtype=bool)  # the word after is the same
+            ahead[before[same]] = True
+            start = number * span
+            left = start + np.where(same, 2 * width, left)
+            both, n = np.unique(
+                np.concatenate([left, (start + width + right)[~ahead]]), return_counts=True
+            )
+            number = both // span
+            cuts = np.searchsorted(number, np.arange(0, len(words) + _SLICE, _SLICE))
+            for i, (at, end) in enumerate(zip(cuts, cuts[1:])):
+                if end > at:
                     part = words.slice(i * _SLICE, _SLICE)
                     yield _listed(part, number[at:end], both[at:end] % span, n[at:end], classes)
-            ids.clear()
-            tails.clear()
 
-        get = known.get
         for words in _runs(batches):
-            here = np.array([get(w, -1) for w in words], dtype=np.int64)
+            here = known.of(words)
             rare = np.nonzero(here < 0)[0]
             if not len(rare):
                 continue
-            number = np.array([ids.setdefault(words[at], len(ids)) for at in rare.tolist()], dtype=np.int64)
-            tails += [tail_class(w) for w in islice(ids, len(tails), None)]
-            same = np.full(len(here), -1, dtype=np.int64)
-            same[rare] = number
-            here[rare] = classes + np.array(tails, dtype=np.int64)[number]
-            start = number * span
-            before, after = rare - 1, (rare + 1) % len(here)  # a text follows an end
-            left = np.where(same[before] == number, 2 * width, here[before])
-            held.append(start + left)
-            held.append((start + width + here[after])[same[after] != number])
+            others = words.take(pa.array(rare))
+            here[rare] = classes + tail_classes(others)
+            # A text follows an end. ``beside``: the token before is a word without a class too.
+            beside = (rare - 1) % len(here) == np.roll(rare, 1)
+            held.append((others, here[rare - 1], here[(rare + 1) % len(here)], beside))
             size += 2 * len(rare)
-            if len(ids) > _FLUSH or size > _FLUSH_PAIRS:
+            if size > _FLUSH_PAIRS:
                 yield from out()
                 size = 0
-        yield from out()
+        if held:
+            yield from out()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, None  # the last word so far, whose rows may go on, with its sums
@@ -489,67 +543,59 @@ def count_pairs(texts: DataFrame, code_of, vocabulary: DataFrame, classes: int)
     codes = classes * (TAIL_CLASSES + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = code_of.value
+        known = _Numbers(code_of.value)
         dense = np.zeros(width * width, dtype=np.int64)
-        ids: dict[bytes, int] = {}
-        held: list[np.ndarray] = []
-        couples: list[np.ndarray] = []
+        held: list[tuple] = []
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
             names = ["left", "right", "code", "n"]
-            for keys, n in _tallied(held):
-                words, side = _strings(ids, keys // (2 * codes)), keys // codes % 2
+            words, number = _numbered([h[0] for h in held])
+            left, right = (np.concatenate([h[i] for h in held]) for i in (1, 2))
+            couples = (number[_before(held)] << 32 | number)[left < 0]
+            held.clear()
+            keys = number * 2 * codes
+            for keys, n in _tallied([(keys + left)[left >= 0], (keys + codes + right)[right >= 0]]):
+                met, side = words.take(pa.array(keys // (2 * codes))), keys // codes % 2
                 none = pa.nulls(len(keys), pa.string())
                 after = pa.array(side == 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pc.if_else(after, words, none),
-                        pc.if_else(after, none, words),
+                        pc.if_else(after, met, none),
+                        pc.if_else(after, none, met),
                         pa.array((keys % codes).astype(np.int32)),
                         pa.array(n),
                     ],
                     names=names,
                 )
-            for keys, n in _tallied(couples):
-                columns = [_strings(ids, keys >> 32), _strings(ids, keys & 0xFFFFFFFF)]
+            for keys, n in _tallied([couples]):
+                columns = [words.take(pa.array(keys >> 32)), words.take(pa.array(keys & 0xFFFFFFFF))]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.nulls(len(keys), pa.int32()), pa.array(n)], names=names
                 )
-            ids.clear()
-            held.clear()
-            couples.clear()
 
-        get = known.get
         for words in _runs(batches):
-            after = np.array([get(w, -1) for w in words], dtype=np.int64)
+            after = known.of(words)
             before = np.roll(after, 1)  # a text follows an end
             (a, once_a), (b, once_b) = (np.divmod(x, TAIL_CLASSES + 1) for x in (before, after))
             full = (before >= 0) & (after >= 0)
-            np.add.at(dense, a[full] * width + b[full], 1)
             for left, right, at in (
+                (a, b, full),
                 (a, classes - 1 + once_b, full & (once_b > 0)),
                 (classes - 1 + once_a, b, full & (once_a > 0)),
                 (classes - 1 + once_a, classes - 1 + once_b, full & (once_a > 0) & (once_b > 0)),
             ):
-                if at.any():
-                    np.add.at(dense, left[at] * width + right[at], 1)
+                dense += np.bincount((left * width + right)[at], minlength=len(dense))
             rare = np.nonzero(after < 0)[0]
             if not len(rare):
                 continue
-            number = np.array([ids.setdefault(words[i], len(ids)) for i in rare.tolist()], dtype=np.int64)
-            numbers = np.full(len(after), -1, dtype=np.int64)
-            numbers[rare] = number
-            following = np.roll(after, -1)[rare]
-            alone = before[rare] >= 0
-            held.append((number * 2 * codes + before[rare])[alone])
-            held.append((number * 2 * codes + codes + following)[following >= 0])
-            couples.append(((np.roll(numbers, 1)[rare] << 32) | number)[~alone])
+            held.append((words.take(pa.array(rare)), before[rare], np.roll(after, -1)[rare]))
             size += 2 * len(rare)
-            if len(ids) > _FLUSH or size > _FLUSH_PAIRS:
+            if size > _FLUSH_PAIRS:
                 yield from out()
                 size = 0
-        yield from out()
+        if held:
+            yield from out()
         at = np.nonzero(dense)[0]
         yield pa.RecordBatch.from_arrays(
             [
@@ -629,35 +675,50 @@ class BrownModel:
         self.base = np.log10((n + 1) / self.denominator) if len(n) else n
         self.emissions = np.log10(n) + self.tail_scale[self.classes] if len(n) else n
 
-    def score(self, text: bytes | None):
-        """n_tokens, known, base and score of the head words; counts of the others, and the
-        transitions beside them: two numbers each, classes or -1 - place among the others."""
-        words = tokens(text)
-        get = self.index.get
-        found = [get(w, -1) for w in words]
-        at = np.array(found, dtype=np.int64)
-        head = at[at >= 0]
-        after = np.empty(len(at), dtype=np.int64)
-        after[at >= 0] = self.classes[head] if len(head) else 0
-        rest: dict[bytes, int] = {}
-        times: list[int] = []
-        for i in np.nonzero(at < 0)[0].tolist():
-            place = rest.setdefault(words[i], len(rest))
-            if place == len(times):
-                times.append(0)
-            times[place] += 1
-            after[i] = -1 - place
-        before = np.concatenate([[self.end_class], after[:-1]])
+    def score(self, texts: pa.Array, index: _Numbers) -> list[pa.Array]:
+        """Of each text: n_tokens, known, base and score of the head words; counts of the others, and
+        the transitions beside them: two numbers each, classes or -1 - place among the others.
+        ``index`` looks up the head words."""
+        words, n = token_array(texts)
+        rows = len(n)
+        at = index.of(words)
+        text = np.repeat(np.arange(rows), n)
+        is_head = at >= 0
+        head = at[is_head]
+        after = np.append(self.classes, 0)[at]
+        rest = np.flatnonzero(~is_head)
+        others, number = _numbered([words.take(pa.array(rest))])
+        span = max(1, len(others))
+        each, place, times = np.unique(
+            text[rest] * span + number, return_inverse=True, return_counts=True
+        )
+        bounds = np.searchsorted(each, np.arange(rows + 1) * span)
+        after[rest] = -1 - (place - bounds[text[rest]])
+        before = np.roll(after, 1)
+        before[np.cumsum(n) - n] = self.end_class
         known = (before >= 0) & (after >= 0)
-        score = float(self.transitions[before[known], after[known]].sum())
-        base = 0.0
-        if len(head):
-            score += float(self.emissions[head].sum())
-            base = float(self.base[head].sum())
-        others = [w.decode() for w in rest]
-        unseen = [self.hashed_from + tail_class(w) for w in rest]
+        # Without any weight the sums are integers.
+        base = np.bincount(text[is_head], self.base[head], rows)
+        score = np.bincount(text[is_head], self.emissions[head], rows) + np.bincount(
+            text[known], self.transitions[before[known], after[known]], rows
+        )
         steps = np.stack([before[~known], after[~known]], axis=1).ravel().astype(np.int32)
-        return len(words), len(head), base, score, others, unseen, times, steps
+        step_bounds = np.append(0, np.cumsum(2 * np.bincount(text[~known], minlength=rows)))
+        unseen = (self.hashed_from + tail_classes(others))[each % span]
+
+        def lists(ends: np.ndarray, values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+
+        return [
+            pa.array(n.astype(np.int64)),
+            pa.array(np.bincount(text[is_head], minlength=rows).astype(np.int64)),
+            pa.array(base.astype(np.float64)),
+            pa.array(score.astype(np.float64)),
+            lists(bounds, others.take(pa.array(each % span))),
+            lists(bounds, pa.array(unseen.astype(np.int32))),
+            lists(bounds, pa.array(times.astype(np.int64))),
+            lists(step_bounds, pa.array(steps)),
+        ]
 
 
 def train(
@@ -731,13 +792,35 @@ _LOCAL = [
 ]
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column, one list after another, and how many each row has."""
+    n = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), n.astype(np.int64)
+
+
 def score(
     docs: DataFrame, model: BrownModel, vocabulary: DataFrame, text_col: str, id_col: str
 ) -> DataFrame:
     """id, n_tokens, n_known, base_score and score (both log10) of every whole text."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # HEAD words and class matrices
-    local = map_texts(docs, text_col, lambda: shared.value.score, _LOCAL, [id_col])
+    key = docs.schema[id_col]
+    schema = T.StructType([T.StructField(key.name, key.dataType), *_LOCAL])
+
+    def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        model, arrow = shared.value, to_arrow_schema(schema)
+        index = _Numbers({word: i for i, word in enumerate(model.index)})
+        for batch in batches:
+            for piece in pieces(batch, 1, _RUN):
+                columns = [piece.column(0), *model.score(piece.column(1), index)]
+                columns = [c.cast(f.type) for c, f in zip(columns, arrow)]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker serves other tasks afterwards
+
+    texts = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("text_in"))
+    local = texts.mapInArrow(here, schema)
     local = materialize(local.withColumn("row_id", F.monotonically_increasing_id()), "local")
     each = F.posexplode(F.arrays_zip("others", "unseen", "times"))
     words = local.select("row_id", each).select(
@@ -778,14 +861,16 @@ def score(
         transitions = shared.value.transitions
         for batch in batches:
             scores = batch.column("score").to_numpy(zero_copy_only=False).copy()
-            for i in range(batch.num_rows):
-                steps = batch.column("steps")[i].values.to_numpy()
-                if len(steps):
-                    pos = batch.column("pos")[i].values.to_numpy()
-                    classes = np.empty(len(pos), dtype=np.int32)
-                    classes[pos] = batch.column("unit")[i].values.to_numpy()
-                    ends = np.where(steps >= 0, steps, classes[np.maximum(-1 - steps, 0)])
-                    scores[i] += transitions[ends[::2], ends[1::2]].sum()
+            (steps, n), (pos, n_pos), (unit, _) = (
+                _lists(batch.column(c)) for c in ("steps", "pos", "unit")
+            )
+            starts = np.cumsum(n_pos) - n_pos
+            classes = np.zeros(len(pos) + 1, dtype=np.int64)
+            classes[np.repeat(starts, n_pos) + pos] = unit
+            place = np.where(steps >= 0, len(pos), np.repeat(starts, n) - 1 - steps)
+            ends = np.where(steps >= 0, steps, classes[place])
+            text = np.repeat(np.arange(batch.num_rows), n // 2)
+            scores += np.bincount(text, transitions[ends[::2], ends[1::2]], batch.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(scores)], names=batch.schema.names[:5]
             )

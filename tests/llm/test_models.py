@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyrank.llm import brown_lm, toxicity
@@ -391,3 +392,13 @@ def test_many_exception_phrases_in_linear_time():
 def test_raw_scores_have_no_ceiling():
     model = toxicity.Model({f"w{c}": 5.0 for c in "abcdefgh"})
     assert model.raw(b"wa wb wc wd") < model.raw(b"wa wb wc wd we wf wg wh")
+
+
+def test_token_array_holds_the_tokens_of_each_text():
+    texts = ["", None, " \t", "One\x0btwo\x0c THREE\x1cfour\x85five\u00a0six", "a", " É é\r\nß ", "x" * 9_000, "end "]
+    for column in (pa.array(texts), pa.array(texts * 3).slice(3, 11), pa.array(texts, pa.large_string())):
+        words, n = brown_lm.token_array(column)
+        want = [brown_lm.tokens((t or "").encode()) for t in column.to_pylist()]
+        assert words.to_pylist() == [w for one in want for w in one]
+        assert n.tolist() == [len(one) for one in want]
+        assert brown_lm.tail_classes(words).tolist() == [brown_lm.tail_class(w) for one in want for w in one]
