@@ -14,7 +14,7 @@ parameters break that (``bounded`` is false) is ranked by the plain join instead
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,10 @@ BLOCK = 8
 _FIRST, _SECOND = 16, 64
 # Scores are compared at 24 bits, so bounds must be clearly below the k-th score.
 _CLEAR = 1 - 1e-6
+# Postings that are weighed at once, and rows of a result that a task holds before it sends them.
+_SLICE = 1 << 18
+_SENT = 20_000
+_NUMBERS = ("idf_standard", "idf_smoothed", "idf_bm25", "avgdl")
 
 # weight(tf, dl, idf, avgdl) of a term as arrays, and whether repeated query terms count.
 Weight = Callable[[np.ndarray, np.ndarray, np.ndarray, float], np.ndarray]
@@ -108,52 +112,74 @@ def _flat(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 class Segment:
-    """The rows of a segment that some query asks for, as flat arrays."""
-
-    def __init__(self, table: pa.Table):
-        column = {c: table[c].combine_chunks() for c in table.column_names}
-        self.doc_ids, _ = _flat(column["doc_ids"])
-        lengths, _ = _flat(column["dls"])
-        self.dl = lengths.to_numpy(zero_copy_only=False).astype(np.float64)
-        places, n = _flat(column["places"])
-        self.place = places.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.tf = _flat(column["tfs"])[0].to_numpy(zero_copy_only=False).astype(np.float64)
-        self.term = np.repeat(np.arange(len(n)), n)
+    """The rows of a segment that some query asks for, as flat arrays.
+
+    Batches are taken in one by one and let go, so that the arrays are all that is held: some
+    thirty bytes for a posting.
+    """
+
+    def __init__(self, batches: Iterable[pa.RecordBatch]):
+        held: dict[str, list] = {name: [] for name in ("ids", "dl", "place", "tf", "n", "query", "qtf", "uses")}
+        numbers: dict[str, list] = {name: [] for name in _NUMBERS}
+        for batch in batches:
+            column = dict(zip(batch.schema.names, batch.columns))
+            ids, _ = _flat(column["doc_ids"])
+            if len(ids):
+                held["ids"].append(ids.take(pa.array(np.arange(len(ids)))))  # copies, as all below do
+                held["dl"].append(_flat(column["dls"])[0].to_numpy(zero_copy_only=False).astype(np.float64))
+            places, n = _flat(column["places"])
+            held["place"].append(places.to_numpy(zero_copy_only=False).astype(np.int32))
+            held["tf"].append(_flat(column["tfs"])[0].to_numpy(zero_copy_only=False).astype(np.int32))
+            held["n"].append(n)
+            uses, n_uses = _flat(column["uses"])
+            held["query"].append(uses.field("query_id").take(pa.array(np.arange(len(uses)))))
+            held["qtf"].append(uses.field("qtf").to_numpy(zero_copy_only=False).astype(np.float64))
+            held["uses"].append(n_uses)
+            for name, parts in numbers.items():
+                parts.append(column[name].to_numpy(zero_copy_only=False).astype(np.float64))
+
+        def whole(name: str) -> np.ndarray:
+            return np.concatenate(held.pop(name))
+
+        self.numbers = {name: np.concatenate(parts) for name, parts in numbers.items()}
+        self.doc_ids = pa.concat_arrays(held["ids"])
+        self.dl, self.place, self.tf, n = whole("dl"), whole("place"), whole("tf"), whole("n")
+        self.term = np.repeat(np.arange(len(n), dtype=np.int32), n)
         # An entry is the run of postings of one term in one block.
         if len(self.place):
-            key = self.term * (1 << 32) + self.place // BLOCK
-            self.first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            block = self.place // BLOCK
+            starts = (block[1:] != block[:-1]) | (self.term[1:] != self.term[:-1])
+            self.first = np.flatnonzero(np.concatenate([[True], starts]))
             self.largest = np.maximum.reduceat(self.tf, self.first)
+            self.block = block[self.first]
         else:
             self.first = np.zeros(0, dtype=np.int64)
-            self.largest = np.zeros(0)
+            self.largest = self.block = np.zeros(0, dtype=np.int32)
         self.length = np.diff(np.append(self.first, len(self.place)))
-        self.block = self.place[self.first] // BLOCK
         self.entries = np.searchsorted(self.first, np.concatenate([[0], np.cumsum(n)]))
-        uses, n_uses = _flat(column["uses"])
-        coded = pc.dictionary_encode(uses.field("query_id"))
+        n_uses = whole("uses")
+        coded = pc.dictionary_encode(pa.concat_arrays(held.pop("query")))
         query = coded.indices.to_numpy(zero_copy_only=False)
         order = np.argsort(query, kind="stable")
         self.query_ids = coded.dictionary
         self.use_query = query[order]
-        self.use_term = np.repeat(np.arange(len(n_uses)), n_uses)[order]
-        self.use_qtf = uses.field("qtf").to_numpy(zero_copy_only=False).astype(np.float64)[order]
-        self.column = column
-
-    def numbers(self, name: str) -> np.ndarray:
-        return self.column[name].to_numpy(zero_copy_only=False).astype(np.float64)
+        self.use_term = np.repeat(np.arange(len(n_uses), dtype=np.int32), n_uses)[order]
+        self.use_qtf = whole("qtf")[order]
 
     def weigh(self, weight: Weight, idf: str) -> tuple[np.ndarray, np.ndarray]:
         """What each posting is worth, and the bound of each entry."""
-        worth = self.numbers(idf)
-        known = self.numbers("avgdl")
+        worth = self.numbers[idf]
+        known = self.numbers["avgdl"]
         avgdl = known[~np.isnan(known)].max(initial=0.0)
+        each = np.empty(len(self.place))
+        for at in range(0, len(each), _SLICE):
+            part = slice(at, at + _SLICE)
+            tf, dl = self.tf[part].astype(np.float64), self.dl[self.place[part]]
+            each[part] = weight(tf, dl, worth[self.term[part]], avgdl)
         # A document without tokens can be the first of a block, but holds no posting.
         shortest = np.maximum(self.dl[self.block * BLOCK], 1.0)
-        return (
-            weight(self.tf, self.dl[self.place], worth[self.term], avgdl),
-            weight(self.largest, shortest, worth[self.term[self.first]], avgdl),
-        )
+        largest = self.largest.astype(np.float64)
+        return each, weight(largest, shortest, worth[self.term[self.first]], avgdl)
 
     def _cut(self, place: np.ndarray, score: np.ndarray, top_n: int, ties: str) -> np.ndarray:
         """Positions of the ``top_n`` by the order of ``rank``: first 24 bits, then the id."""
@@ -170,9 +196,17 @@ class Segment:
         return np.concatenate([above, even])
 
     def best(
-        self, terms: np.ndarray, factor: np.ndarray, worth: np.ndarray, bound: np.ndarray, top_n: int, ties: str
+        self,
+        terms: np.ndarray,
+        factor: np.ndarray,
+        worth: np.ndarray,
+        bound: np.ndarray,
+        top_n: int,
+        ties: str,
+        counts: bool = False,
     ) -> tuple[np.ndarray, np.ndarray, int, int]:
-        """Places and scores of a query's best documents; how many were scored, how many match."""
+        """Places and scores of a query's best documents; how many were scored, and with
+        ``counts`` how many match."""
         n_docs = len(self.dl)
         n_blocks = -(-n_docs // BLOCK)
         n_entries = self.entries[terms + 1] - self.entries[terms]
@@ -205,7 +239,10 @@ class Segment:
             place, score = place[keep], score[keep]
             if len(score) == top_n:
                 least = max(0.0, float(score.min()))
-        return place, score, scored, len(np.unique(self.place[_ranges(self.first[entry], self.length[entry])]))
+        matching = 0
+        if counts:
+            matching = len(np.unique(self.place[_ranges(self.first[entry], self.length[entry])]))
+        return place, score, scored, matching
 
 
 def _each_query(segment: Segment):
@@ -238,31 +275,41 @@ def top_of_segments(
         + T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in found)).fields
     )
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        segment = Segment(table)
-        queries, names, places, scores, numbers = [], [], [], [], []
+        segment = Segment(batches)
+
+        def sent(name: str, queries: list, places: list, scores: list, numbers: list) -> pa.RecordBatch:
+            query = np.concatenate(queries)
+            columns = [segment.query_ids.take(pa.array(query)), pa.array([name] * len(query))]
+            if counts:
+                columns += [pa.array(c) for c in zip(*numbers)]
+            else:
+                columns.append(segment.doc_ids.take(pa.array(np.concatenate(places))))
+                columns.append(pa.array(np.concatenate(scores)))
+            return pa.RecordBatch.from_arrays(
+                [c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow
+            )
+
         for name, (weight, idf, repeats) in variants.items():
             worth, bound = segment.weigh(weight, idf)
+            held: tuple[list, ...] = ([], [], [], [])
+            rows = 0
             for query, terms, qtf in _each_query(segment):
                 factor = qtf if repeats else np.ones(len(qtf))
-                place, score, *number = segment.best(terms, factor, worth, bound, top_n, ties)
+                place, score, *number = segment.best(terms, factor, worth, bound, top_n, ties, counts)
                 n = 1 if counts else len(place)
-                queries.append(np.full(n, query))
-                names += [name] * n
-                places.append(place)
-                scores.append(score)
-                numbers.append(number)
-        if not queries:
-            return arrow.empty_table()
-        columns = [segment.query_ids.take(pa.array(np.concatenate(queries))), pa.array(names)]
-        if counts:
-            columns += [pa.array(c) for c in zip(*numbers)]
-        else:
-            columns.append(segment.doc_ids.take(pa.array(np.concatenate(places))))
-            columns.append(pa.array(np.concatenate(scores)))
-        return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+                for parts, part in zip(held, (np.full(n, query), place, score, number)):
+                    parts.append(part)
+                rows += n
+                if rows >= _SENT:
+                    yield sent(name, *held)
+                    held, rows = ([], [], [], []), 0
+            if held[0]:
+                yield sent(name, *held)
+            del worth, bound
+        pa.default_memory_pool().release_unused()  # the worker takes other segments afterwards
 
     return asked.groupBy("segment").applyInArrow(run, schema)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyrank.functions import weights
 from tallyrank.operators import impacts
 from tallyrank.operators.index import CorpusIndex
 from tallyrank.operators.rankers import (
@@ -172,3 +174,42 @@ def test_few_pairs_are_scored(spark):
 def test_ranges():
     got = impacts._ranges(impacts.np.array([5, 0, 9]), impacts.np.array([2, 0, 3]))
     assert got.tolist() == [5, 6, 9, 10, 11]
+
+
+def test_a_segment_is_taken_in_by_batches():
+    rng = random.Random(3)
+    docs = sorted((rng.randrange(1, 30), 100 + i) for i in range(50))
+    row = {"segment": 1, "term": None, "places": None, "tfs": None, "idf_standard": None, "idf_smoothed": None}
+    row |= {"idf_bm25": None, "avgdl": None, "uses": None}
+    rows = [row | {"doc_ids": [d for _, d in docs], "dls": [n for n, _ in docs]}]
+    for t in range(9):
+        places = sorted(rng.sample(range(50), 20))
+        uses = [{"query_id": q, "qtf": rng.randrange(1, 3)} for q in range(t % 3, 40, 3)]
+        numbers = {"idf_standard": 1.0, "idf_smoothed": 1.5, "idf_bm25": 0.5 + t, "avgdl": 9.5}
+        rows.append(row | numbers | {"term": f"t{t}", "places": places, "tfs": [rng.randrange(1, 9) for _ in places], "uses": uses, "doc_ids": None, "dls": None})
+    names = ("places", "tfs", "doc_ids", "dls")
+    uses = impacts.pa.list_(impacts.pa.struct([("query_id", "int64"), ("qtf", "int64")]))
+    schema = impacts.pa.schema(
+        [("segment", "int32"), ("term", "string")]
+        + [(n, impacts.pa.list_(impacts.pa.int32() if n in names[:2] else impacts.pa.int64())) for n in names]
+        + [(n, "float64") for n in ("idf_standard", "idf_smoothed", "idf_bm25", "avgdl")]
+        + [("uses", uses)]
+    )
+    rng.shuffle(rows)
+    batch = impacts.pa.RecordBatch.from_pylist(rows, schema=schema)
+    weight = partial(weights.bm25_weights, 1.2, 0.75, 1.0)
+    for size in (1, 4, len(rows)):
+        segment = impacts.Segment(batch.slice(i, size) for i in range(0, len(rows), size))
+        worth, bound = segment.weigh(weight, "idf_bm25")
+        assert segment.place.itemsize == segment.tf.itemsize == segment.term.itemsize == 4
+        for query, terms, qtf in impacts._each_query(segment):
+            sums: dict = {}
+            for r in rows:
+                for use in r["uses"] or ():
+                    if use["query_id"] == segment.query_ids[query].as_py():
+                        for place, tf in zip(r["places"], r["tfs"]):
+                            args = [impacts.np.array([float(x)]) for x in (tf, docs[place][0], r["idf_bm25"])]
+                            sums[place] = sums.get(place, 0.0) + use["qtf"] * weight(*args, 9.5)[0]
+            place, score, scored, matching = segment.best(terms, qtf, worth, bound, 50, "desc", True)
+            assert dict(zip(place.tolist(), score.tolist())) == pytest.approx(sums)
+            assert matching == len(sums)
