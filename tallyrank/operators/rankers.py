@@ -109,9 +109,11 @@ class Ranker(ABC):
     def score(self, queries: DataFrame | str) -> DataFrame:
         """(query_id, doc_id, score) of the documents that share a term with the query.
 
-        Every other document scores 0.0; see ``score_all`` for those.
+        Every other document scores 0.0; see ``score_all`` for those. The sums that a task holds
+        are those of a bucket's documents for one batch of queries, however many there are.
         """
-        return self._scores(self._terms(queries)[1])
+        parts = self.index.batches(self._terms(queries)[1])
+        return reduce(DataFrame.unionByName, [self._scores(part) for part in parts])
 
     def score_all(self, query: str) -> DataFrame:
         """(doc_id, score) for one query and every document of the corpus."""
@@ -260,7 +262,8 @@ class TfidfRanker(Ranker):
 def score_variants(
     index: CorpusIndex, rankers: dict[str, Ranker], queries: DataFrame
 ) -> DataFrame:
-    """(query_id, doc_id, variant, score) of several rankers from one pass over postings.
+    """(query_id, doc_id, variant, score) of several rankers from one pass over postings for
+    each batch of queries.
 
     Each variant is one more sum in the same aggregation, so rows do not multiply before
     the scores exist.
@@ -272,7 +275,13 @@ def score_variants(
             F.col("tf"), F.col("dl"), F.col(ranker.idf_column), F.col("avgdl")
         )
         sums.append(F.sum(ranker.query_weight(F.col("qtf")) * weight).alias(f"_s{i}"))
-    summed = index.match(index.query_terms(queries)).groupBy("query_id", "doc_id").agg(*sums)
+    summed = reduce(
+        DataFrame.unionByName,
+        [
+            index.match(part).groupBy("query_id", "doc_id").agg(*sums)
+            for part in index.batches(index.query_terms(queries))
+        ],
+    )
     variants = F.array(
         *[
             F.struct(F.lit(name).alias("variant"), F.col(f"_s{i}").alias("score"))

@@ -227,3 +227,22 @@ def test_scores_that_differ_by_rounding_only_are_ties(spark):
     rows = [(0, 1, 0.1 + 0.2), (0, 2, 0.3)]
     df = spark.createDataFrame(rows, "query_id long, doc_id long, score double")
     assert [r["doc_id"] for r in top_documents(df, 1).collect()] == [2]
+
+
+def test_scores_of_many_queries_come_in_batches(case, monkeypatch):
+    index, _, query_df, *_ = case
+
+    def found():
+        ranker = BM25Ranker(index)
+        scores = ranker.score(query_df)
+        swept = score_variants(index, {"a": ranker, "b": TfidfRanker(index)}, query_df)
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (scores, swept)]
+        rows = {tuple(r)[:-1]: r["score"] for df in (scores, swept) for r in df.collect()}
+        return plans, rows
+
+    at_once, want = found()
+    monkeypatch.setattr("tallyrank.operators.index.QUERIES_PER_BATCH", 2)
+    batched, got = found()
+    assert not any("Union" in plan for plan in at_once)
+    assert all("Union" in plan for plan in batched)
+    assert got == pytest.approx(want)
