@@ -341,12 +341,12 @@ def score_candidates(
     if any(ranker.index is not index for ranker in rankers.values()):
         raise ValueError("rankers that score together must share one index")
     terms = index.query_terms(queries)
-    texts = candidates.withColumn("_tokens", text_fn.tokens(text_col, index.tokenizer))
+    tokens = text_fn.tokens(text_col, index.tokenizer)
     length = F.size("_tokens").cast("long")
     if index.lemmas is None:
         entries = terms.rows.withColumn("form", F.col("term"))
         size = {"dim_rows": terms.n_terms, "dim_bytes": 2 * terms.n_bytes}
-        sized = texts.withColumn("_length", length)
+        sized = candidates  # cut into tokens after the join, which may have to move them
     else:
         # One row per form of a query term: that many entries reach every task in a broadcast.
         entries = _with_forms(terms.rows, index.lemmas)
@@ -357,7 +357,7 @@ def score_candidates(
             F.lit(0).cast("long"),
             lambda n, hit: n + hit["tf"],
         )
-        sized = _with_dropped(texts, index.lemmas)
+        sized = _with_dropped(candidates.withColumn("_tokens", tokens), index.lemmas)
         sized = sized.withColumn("_length", length - lost).drop("_dropped")
     statistics = F.struct("term", "qtf", "idf_standard", "idf_smoothed", "idf_bm25", "avgdl")
     profiles = entries.groupBy("query_id").agg(
@@ -366,6 +366,8 @@ def score_candidates(
     joined = lookup_join(
         sized, profiles, ["query_id"], "left", limit=index.broadcast_limit, **size
     )
+    if index.lemmas is None:
+        joined = joined.withColumn("_tokens", tokens).withColumn("_length", length)
     # The intersection is what is walked over: captured by a lambda it would run per element.
     held = F.array_intersect(F.col("_query.form"), "_tokens")
 

@@ -246,3 +246,18 @@ def test_scores_of_many_queries_come_in_batches(case, monkeypatch):
     assert not any("Union" in plan for plan in at_once)
     assert all("Union" in plan for plan in batched)
     assert got == pytest.approx(want)
+
+
+def test_candidates_are_cut_into_tokens_after_the_join(case):
+    index, doc_df, query_df, *_ = case
+    candidates = doc_df.withColumn("query_id", F.col("doc_id") % 8)
+    index.broadcast_limit = 0
+    try:
+        scored = BM25Ranker(index).score_docs(candidates, query_df)
+        plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        index.broadcast_limit = None
+    # What is split lies above the join that moves the candidates by query.
+    joined = next(i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line)
+    assert any("_tokens" in line for line in plan.splitlines()[:joined])
+    assert not any("AS _tokens" in line for line in plan.splitlines()[joined:])
