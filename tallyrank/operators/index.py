@@ -295,16 +295,35 @@ class CorpusIndex:
         if idf_method not in weights.IDF_METHODS:
             raise ValueError(f"unknown IDF method {idf_method!r}, expected one of {weights.IDF_METHODS}")
         tf = weights.tf_weight(tf_method, F.col("tf"), F.col("dl"))
-        idf = self.terms.select("term", F.col(f"idf_{idf_method}").alias("idf"))
-        joined = lookup_join(
-            self.postings,
-            idf,
-            ["term"],
-            **broadcast_size(self.terms.select("term")),
-            **self._term_skew(),
-        )
+        idf = self.terms.select("term", "df", F.col(f"idf_{idf_method}").alias("idf"))
+        least = self._least_frequent()
+        if least is None:
+            joined = lookup_join(self.postings, idf, ["term"], hot=self._term_skew()["hot"], spread_by=[F.col("doc_id")])
+        else:
+            # The frequent terms hold most postings, which stay where they are; the others have few each.
+            frequent = F.broadcast(idf.where(F.col("df") >= least))
+            joined = self.postings.join(frequent, "term")
+            if least > 1:
+                rest = self.postings.join(F.broadcast(frequent.select("term")), "term", "left_anti")
+                joined = joined.unionByName(rest.join(idf.where(F.col("df") < least), "term"))
         return joined.select("doc_id", "term", (tf * F.col("idf")).alias("weight"))
 
+    def _least_frequent(self) -> int | None:
+        """Terms of at least this many documents fit a broadcast; 1 if all do, None if none."""
+        size = F.floor(F.log2("df") * 64)  # 64 * 63 sizes at most
+        sizes = self.terms.groupBy(size.alias("size")).agg(
+            F.min("df").alias("df"),
+            F.count(F.lit(1)).alias("terms"),
+            F.sum(F.octet_length("term")).alias("bytes"),
+        )
+        least, terms, text_bytes = None, 0, 0
+        for row in sorted(sizes.collect(), key=lambda r: -r["df"]):
+            terms, text_bytes = terms + row["terms"], text_bytes + row["bytes"]
+            if not fits_broadcast(terms, self.broadcast_limit, text_bytes):
+                return least
+            least = row["df"]
+        return 1
+
     def n_terms(self) -> int:
         return self.terms.count()
 

@@ -248,6 +248,22 @@ def test_scores_of_many_queries_come_in_batches(case, monkeypatch):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("limit", [0, 5, None])
+def test_weights_leave_postings_of_frequent_terms_in_place(case, limit):
+    index, _, _, tokens, _ = case
+    want = {(r["doc_id"], r["term"]): r["weight"] for r in index.weights().collect()}
+    index.broadcast_limit = limit
+    try:
+        weights = index.weights()
+        plan = weights._jdf.queryExecution().optimizedPlan().toString()
+        got = weights.collect()
+    finally:
+        index.broadcast_limit = None
+    assert {(r["doc_id"], r["term"]): r["weight"] for r in got} == pytest.approx(want)
+    assert len(got) == len(want) == sum(len(set(t)) for t in tokens.values())
+    assert ("LeftAnti" in plan) == (limit == 5)
+
+
 def test_candidates_are_cut_into_tokens_after_the_join(case):
     index, doc_df, query_df, *_ = case
     candidates = doc_df.withColumn("query_id", F.col("doc_id") % 8)
