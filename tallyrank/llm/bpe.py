@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyrank.llm.common import map_texts
-from tallyrank.sources.scratch import materialize
+from tallyrank.sources.scratch import gathered, materialize
 
 MIN_CHUNK, MAX_CHUNK = 64, 4096
 _MASK = 0xFF  # a cut every 256 bytes on average, beyond the smallest size
@@ -374,7 +374,7 @@ def encode(
     keep = [c for c in keep or docs.columns if c not in ("ids", "decoded")]
     shared = count_chunks(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")))
     spec_ = spark.sparkContext.broadcast(spec)
-    shared = materialize(shared.select("hash"), "shared")
+    shared = materialize(gathered(shared.select("hash")), "shared")
     words = spark.sparkContext.broadcast(build_filter(shared))
 
     def whole():
@@ -406,7 +406,7 @@ def _put_together(split: DataFrame, names: list[str], spec) -> DataFrame:
         return lambda chunk: (codec.encode([chunk])[0].astype(codec.packed).tobytes(),)
 
     once = split.select(F.inline("new")).groupBy("hash").agg(F.first("chunk").alias("chunk"))
-    table = map_texts(once, "chunk", encoder, [T.StructField("tokens", T.BinaryType())], ["hash"])
+    table = map_texts(gathered(once), "chunk", encoder, [T.StructField("tokens", T.BinaryType())], ["hash"])
     table = materialize(table, "encoded-chunks")
     holes = split.select("row_id", F.posexplode("parts").alias("at", "part")).where(
         "part.hash is not null"

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrank.llm.common import ascii_lower, row_hash, unused_name
-from tallyrank.sources.scratch import materialize
+from tallyrank.sources.scratch import gathered, materialize
 
 FAN_IN = 8
 DEPTH = 2
@@ -120,10 +120,8 @@ def drop_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     marked = mark_duplicates(docs, text_col, id_col, keep)
-    kept = materialize(
-        marked.where("like_kept").groupBy("digest", "row").agg(F.count(F.lit(1)).alias("n")),
-        "kept",
-    )
+    alike = marked.where("like_kept").groupBy("digest", "row").agg(F.count(F.lit(1)).alias("n"))
+    kept = materialize(gathered(alike), "kept")
     return pick_rows(docs, kept, _normalised(text_col))
 
 

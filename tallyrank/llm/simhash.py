@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tallyrank.llm.common import map_texts, row_hash, salted_lookup
 from tallyrank.llm.exact_dedup import merge_tree, pick_rows
-from tallyrank.sources.scratch import materialize
+from tallyrank.sources.scratch import gathered, materialize
 
 SHINGLE = 3
 SEGMENT_BITS = 2
@@ -133,7 +133,7 @@ def components(links: DataFrame, a: str = "fp", b: str = "hub") -> DataFrame:
 
     Alternating large and small stars; a round is two joins and one written table.
     """
-    edges = materialize(links.select(F.col(a).alias("u"), F.col(b).alias("v")), "links")
+    edges = materialize(gathered(links.select(F.col(a).alias("u"), F.col(b).alias("v"))), "links")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -143,7 +143,7 @@ def components(links: DataFrame, a: str = "fp", b: str = "hub") -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         small_m = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(small_m, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        edges = materialize(small.where("u <> v").distinct(), "stars")
+        edges = materialize(gathered(small.where("u <> v").distinct()), "stars")
         now = edges.agg(
             F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))
         ).first()
@@ -175,7 +175,7 @@ def near_duplicates(
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root")
     )
-    rows = materialize(salted_lookup(prints, rooted, ["fp"], F.col("row_id")), "rooted")
+    rows = materialize(gathered(salted_lookup(prints, rooted, ["fp"], F.col("row_id"))), "rooted")
     best = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "row_id")
     return merge_tree(rows, ["root"], best).select(
         "id",
@@ -196,5 +196,6 @@ def drop_near_duplicates(
     kept = marked.where("kept").select("row", "digest", F.lit(1).cast("long").alias("kept"))
     # Rows like a kept one in every column: pick_rows drops the copies.
     alike = marked.groupBy("digest", "row").agg(F.count(F.lit(1)).alias("n"))
-    kept = materialize(kept.join(alike, ["digest", "row"]).select("row", "digest", "n"), "kept")
+    kept = kept.join(alike, ["digest", "row"]).select("row", "digest", "n")
+    kept = materialize(gathered(kept), "kept")
     return pick_rows(docs, kept, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
